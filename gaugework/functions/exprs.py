@@ -117,5 +117,5 @@ def days_after(ts: Column, days: Column) -> Column:
 
 def split_tags(tags: Column) -> Column:
     """Comma-separated tag text to ``array<string>``, trimmed, without empty parts."""
-    parts = F.transform(F.split(tags, ","), F.trim)
+    parts = F.transform(F.split(tags, ","), lambda t: F.trim(t))
     return F.filter(parts, lambda t: F.length(t) > 0)

@@ -11,16 +11,14 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LinearSVC,
     LogisticRegression,
-    OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-import numpy as np
+from gaugework.operators import svm
 
 FEATURES = "features"
 TARGET = "target"
@@ -54,10 +52,7 @@ def prepare(
     return ready.repartition(key).sortWithinPartitions(key)
 
 
-def build(
-    algorithm: str, settings: dict, features: Sequence[str], train: DataFrame, train_rows: int,
-    seed: int = 42,
-) -> Pipeline:
+def build(algorithm: str, settings: dict, seed: int = 42) -> Pipeline:
     """The unfitted pipeline for typed ``settings`` (see ``catalog.typed_settings``)."""
     if algorithm == "DECISION_TREE":
         stages = [DecisionTreeClassifier(
@@ -76,64 +71,28 @@ def build(
             featuresCol=FEATURES, labelCol=TARGET, family="multinomial",
             maxIter=settings["max_iter"], regParam=settings.get("l2_reg", 0.0), elasticNetParam=0.0,
         )]
-    elif algorithm == "SVM":
-        stages = _svm_stages(settings, features, train, train_rows, seed)
     else:
         raise ValueError(f"unknown algorithm {algorithm}")
     return Pipeline(stages=stages)
 
 
-def _svm_stages(settings, features, train, train_rows, seed, max_iter=20):
-    """One-vs-rest linear machines, then a logistic fit from margins to probabilities.
+def fit_svm_folds(
+    ready: DataFrame, settings: dict, features: Sequence[str], classes: int, seed: int = 42
+) -> dict[int, PipelineModel]:
+    """A fitted pipeline per held-out fold; the machines of all folds are trained together.
 
-    The Gaussian kernel is approximated by random Fourier features (Rahimi and Recht, 2007).
-    The margins are calibrated jointly, a multi-class form of Platt (1999). A complexity
-    factor C on the summed loss is the mean-loss penalty 1 / (C n).
+    A logistic fit turns margins into probabilities, a joint multi-class form of Platt (1999).
     """
-    stages, column = [], FEATURES
-    if settings["kernel"] == "gaussian":
-        statement, names = _fourier_sql(features, train, seed)
-        column = "fourier"
-        stages += [SQLTransformer(statement=statement),
-                   VectorAssembler(inputCols=names, outputCol=column)]
-    machine = LinearSVC(
-        maxIter=max_iter, regParam=1.0 / (settings["complexity"] * max(train_rows, 1)),
-        standardization=True,
-    )
-    stages.append(OneVsRest(
-        classifier=machine, featuresCol=column, labelCol=TARGET,
-        predictionCol="svm_prediction", rawPredictionCol="margins", parallelism=4,
-    ))
-    stages.append(LogisticRegression(
-        featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=max_iter,
-    ))
-    return stages
-
-
-def _fourier_sql(features, train, seed, size=64):
-    """SQL that adds ``size`` cosine features approximating a Gaussian kernel.
-
-    The kernel width is 1 / number of features on standardised data. Mean and deviation come
-    from one aggregate over the training rows.
-    """
-    stats = train.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)],
-    ).first()
-    d = len(features)
-    rng = np.random.default_rng(seed)
-    weights = rng.normal(0.0, np.sqrt(2.0 / d), size=(size, d))
-    shifts = rng.uniform(0.0, 2.0 * np.pi, size=size)
-    names, exprs = [], []
-    for j in range(size):
-        terms = [
-            f"{float(weights[j, i])!r}D * (`{c}` - {stats[f'm{i}']!r}D) / {stats[f's{i}'] or 1.0!r}D"
-            for i, c in enumerate(features)
-        ]
-        names.append(f"fourier_{j}")
-        phase = f"{' + '.join(terms)} + {float(shifts[j])!r}D"
-        exprs.append(f"{float(np.sqrt(2.0 / size))!r}D * cos({phase}) AS fourier_{j}")
-    return f"SELECT *, {', '.join(exprs)} FROM __THIS__", names
+    kernels = svm.fold_kernels(ready, features, settings["kernel"] == "gaussian", seed)
+    weights = svm.fit(ready, features, classes, settings["complexity"], kernels)
+    models = {}
+    for held, kernel in kernels.items():
+        stages = svm.margin_stages(features, kernel, weights[held], "margins")
+        stages.append(LogisticRegression(
+            featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=20,
+        ))
+        models[held] = Pipeline(stages=stages).fit(ready.filter(F.col("fold_id") != held))
+    return models
 
 
 def score(
@@ -142,8 +101,7 @@ def score(
 ) -> DataFrame:
     """(key, fold_id, features, actual, predicted, probs) for prepared rows.
 
-    ``probs`` maps every label to its probability. For a support vector machine the
-    prediction is the largest calibrated probability.
+    ``probs`` maps every label to its probability; the prediction is the most probable label.
     """
     names = F.array(*[F.lit(x) for x in labels])
     return model.transform(test).select(

@@ -17,6 +17,22 @@ from gaugework.operators.ordering import sorted_rank
 BY = ("run_id", "model_name", "fold_id")
 
 
+def join_truth(scores: DataFrame, truth: DataFrame, key: str = "id") -> DataFrame:
+    """Scores with their true labels, joined on the unique row key.
+
+    Feature values are no key: rows with equal features would match each other.
+    """
+    return scores.join(truth, key)
+
+
+def unpack_prediction(held: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """Replace a ``struct<predicted_value, probability>`` by two plain columns."""
+    return held.withColumns({
+        "predicted_label": F.col(f"{prediction}.predicted_value"),
+        "predicted_prob": F.col(f"{prediction}.probability"),
+    }).drop(prediction)
+
+
 def confusion_matrix(scored: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """(by, actual, predicted, cnt)."""
     return scored.groupBy(*by, "actual", "predicted").agg(F.count(F.lit(1)).alias("cnt"))
@@ -88,6 +104,26 @@ def cv_mean(
     )
 
 
+def cross_validation_rows(scored: DataFrame, prefix: str) -> DataFrame:
+    """(run_id, model_name, fold_number, metric_name, metric_value) of a k-fold run.
+
+    Accuracy and number of predictions per fold, and their run's mean accuracy as fold 0.
+    """
+    per_fold = fold_accuracy(scored, BY)
+    lines = per_fold.select("run_id", "model_name", F.col("fold_id").alias("fold_number"), F.inline(
+        F.array(
+            F.struct(F.lit("accuracy").alias("metric_name"), F.col("accuracy").alias("metric_value")),
+            F.struct(F.lit("total_predictions").alias("metric_name"),
+                     F.col("total").cast("double").alias("metric_value")),
+        )
+    ))
+    mean = cv_mean(per_fold, ["run_id"]).select(
+        "run_id", F.lit(f"{prefix}_cv").alias("model_name"), F.lit(0).alias("fold_number"),
+        F.lit("cv_mean_accuracy").alias("metric_name"), F.col("cv_mean_accuracy").alias("metric_value"),
+    )
+    return lines.unionByName(mean)
+
+
 def rank_scores(
     scored: DataFrame, positive: str, by: Sequence[str] = BY, key: str = "id"
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from gaugework.operators import classifiers, knn
@@ -31,7 +32,8 @@ def run_sweep(
 
     Returns one scored table: (run_id, model_name, fold_id, parameter_set_id, algorithm,
     version_tag, key, features, actual, predicted, probs). The prepared table is cached once
-    for all fits; the fits are independent Spark jobs, ``parallelism`` of them at a time. With
+    for all fits; the fits are independent Spark jobs, ``parallelism`` of them at a time
+    (support vector machines of one parameter set train for all folds together). With
     ``model_folder`` each fitted pipeline is saved under ``<folder>/<run>/<model name>``.
     """
     spark = folds.sparkSession
@@ -39,20 +41,22 @@ def run_sweep(
     ready = classifiers.prepare(
         folds.filter(F.col("fold_id").isNotNull()), features, labels, key, label
     ).persist()
-    # One line per fold; k is the caller's small number of folds.
-    sizes = {r["fold_id"]: r["count"] for r in ready.groupBy("fold_id").count().collect()}
-    check_folds(len(sizes))
-    rows = sum(sizes.values())
+    fold_ids = sorted(r["fold_id"] for r in ready.select("fold_id").distinct().collect())
+    check_folds(len(fold_ids))
 
-    def fit_and_score(fold: int, p: ParameterSet) -> DataFrame:
-        train, test = holdout(ready, fold)
+    def fit(job: tuple[ParameterSet, int | None]) -> list[DataFrame]:
+        p, fold = job
+        if fold is None:
+            models = classifiers.fit_svm_folds(ready, p.typed(), features, len(labels), seed)
+        else:
+            models = {fold: classifiers.build(p.algorithm, p.typed(), seed).fit(holdout(ready, fold)[0])}
+        return [scored(p, held, model) for held, model in models.items()]
+
+    def scored(p: ParameterSet, fold: int, model: PipelineModel) -> DataFrame:
         name = f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}"
-        estimator = classifiers.build(
-            p.algorithm, p.typed(), features, train, rows - sizes[fold], seed
-        )
-        model = estimator.fit(train)
         if model_folder:
             model.write().overwrite().save(f"{model_folder}/{run_id}/{name}")
+        test = holdout(ready, fold)[1]
         return classifiers.score(model, test, labels, features, key, label).select(
             F.lit(run_id).alias("run_id"), F.lit(name).alias("model_name"), "fold_id",
             F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
@@ -60,13 +64,14 @@ def run_sweep(
             key, *features, "actual", "predicted", "probs",
         )
 
-    jobs = [(fold, p) for fold in sorted(sizes) for p in sets]
+    jobs: list[tuple[ParameterSet, int | None]] = []
+    for p in sets:
+        jobs += [(p, None)] if p.algorithm == "SVM" else [(p, fold) for fold in fold_ids]
     with ThreadPoolExecutor(parallelism) as pool:
-        task = inheritable_thread_target(spark)(fit_and_score)
-        parts = list(pool.map(lambda j: task(*j), jobs))
-    scored = materialise(reduce(DataFrame.unionByName, parts))
+        parts = list(pool.map(inheritable_thread_target(spark)(fit), jobs))
+    result = materialise(reduce(DataFrame.unionByName, [df for part in parts for df in part]))
     ready.unpersist()
-    return scored
+    return result
 
 
 def run_knn(

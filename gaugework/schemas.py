@@ -1,53 +1,78 @@
 """Schemas of the log and record tables."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+TEXT, REAL, INT, BIG, INSTANT = StringType(), DoubleType(), IntegerType(), LongType(), TimestampType()
+
+
+def _table(key: tuple[str, ...] = (), **columns: DataType) -> StructType:
+    """A schema whose ``key`` columns are NOT NULL."""
+    return StructType([StructField(n, t, n not in key) for n, t in columns.items()])
+
 
-RUN_REGISTRY = StructType.fromDDL(
-    "run_id string NOT NULL, created_at timestamp, model_family string, notes string"
+RUN_REGISTRY = _table(
+    ("run_id",), run_id=TEXT, created_at=INSTANT, model_family=TEXT, notes=TEXT
 )
 
-METRICS_LOG = StructType.fromDDL(
-    "platform string, run_id string, model_name string, fold_number int, metric_name string, "
-    "metric_value double, hyperparameters string, created_at timestamp"
+PARAMETER_SETS = _table(
+    ("parameter_set_id",), parameter_set_id=BIG, algorithm=TEXT, version_tag=TEXT, created_on=INSTANT
 )
 
-METRICS_WIDE = StructType.fromDDL(
-    "metric_id bigint, model_id bigint, parameter_set_id bigint, fold_id bigint, "
-    "algorithm string, hyperparameters string, accuracy double, precision_macro double, "
-    "recall_macro double, f1_macro double, roc_auc double, lift_value double, "
-    "evaluated_on timestamp"
+PARAMETERS = _table(
+    ("parameter_set_id", "parameter_name"),
+    parameter_set_id=BIG, parameter_name=TEXT, parameter_value=TEXT,
 )
 
-PREDICTIONS = StructType.fromDDL(
-    "run_id string, model_name string, fold_number int, id bigint, features array<double>, "
-    "predicted_label string, predicted_prob double, probs map<string,double>, "
-    "actual_label string, created_at timestamp"
+METRICS_LOG = _table(
+    platform=TEXT, run_id=TEXT, model_name=TEXT, fold_number=INT, metric_name=TEXT,
+    metric_value=REAL, hyperparameters=TEXT, created_at=INSTANT,
 )
 
-MODEL_LIFECYCLE = StructType.fromDDL(
-    "model_id bigint, model_name string, algorithm string, fold_id bigint, "
-    "parameter_set_id bigint, version_tag string, status string, created_on timestamp, "
-    "next_retrain_on timestamp"
+METRICS_WIDE = _table(
+    ("metric_id",), metric_id=BIG, model_id=BIG, parameter_set_id=BIG, fold_id=BIG, algorithm=TEXT,
+    hyperparameters=TEXT, accuracy=REAL, precision_macro=REAL, recall_macro=REAL, f1_macro=REAL,
+    roc_auc=REAL, lift_value=REAL, evaluated_on=INSTANT,
 )
 
-RETRAINING_SCHEDULE = StructType.fromDDL(
-    "schedule_id bigint, model_id bigint, parameter_set_id bigint, fold_id bigint, "
-    "frequency_days bigint, next_run_on timestamp, last_trained_on timestamp, notes string"
+PREDICTIONS = _table(
+    run_id=TEXT, model_name=TEXT, fold_number=INT, id=BIG, predicted_label=TEXT,
+    predicted_prob=REAL, probs=MapType(TEXT, REAL), actual_label=TEXT, created_at=INSTANT,
 )
 
-MODELS = StructType.fromDDL(
-    "run_id string NOT NULL, fold_number int NOT NULL, model_name string, artefact string, "
-    "hyperparameters string, created_at timestamp"
+MODEL_LIFECYCLE = _table(
+    ("model_id",), model_id=BIG, model_name=TEXT, algorithm=TEXT, fold_id=BIG, parameter_set_id=BIG,
+    version_tag=TEXT, status=TEXT, created_on=INSTANT, next_retrain_on=INSTANT,
 )
 
-ML_METRICS = StructType.fromDDL(
-    "pipeline_id string NOT NULL, run_id string NOT NULL, metric_name string NOT NULL, "
-    "metric_value double, metric_type string, recorded_at timestamp, model_version string, "
-    "environment_label string, tags array<string>, metadata_json string"
+RETRAINING_SCHEDULE = _table(
+    ("schedule_id",), schedule_id=BIG, model_id=BIG, parameter_set_id=BIG, fold_id=BIG,
+    frequency_days=BIG, next_run_on=INSTANT, last_trained_on=INSTANT, notes=TEXT,
+)
+
+MODELS = _table(
+    ("run_id", "fold_number"), run_id=TEXT, fold_number=INT, model_name=TEXT, artefact=TEXT,
+    hyperparameters=TEXT, created_at=INSTANT,
 )
 
 ML_METRICS_KEY = ("pipeline_id", "run_id", "metric_name")
 
+ML_METRICS = _table(
+    ML_METRICS_KEY, pipeline_id=TEXT, run_id=TEXT, metric_name=TEXT, metric_value=REAL,
+    metric_type=TEXT, recorded_at=INSTANT, model_version=TEXT, environment_label=TEXT,
+    tags=ArrayType(TEXT), metadata_json=TEXT,
+)
+
 # Longest text allowed per column.
 ML_METRICS_LENGTHS = {
     "pipeline_id": 128,
