@@ -34,7 +34,7 @@ def neighbours(
     k: int,
     key: str = "id",
     label: str = "label",
-    cell_rows: int = 256,
+    cell_rows: int = 128,
     fanout: int = 32,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -60,7 +60,7 @@ def predict(
     k: int,
     key: str = "id",
     label: str = "label",
-    cell_rows: int = 256,
+    cell_rows: int = 128,
     fanout: int = 32,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -80,12 +80,18 @@ def predict(
             ratio(-F.col("best.col1"), F.lit(k)).alias("confidence"),
         )
     )
-    answered = owners.join(best, "rep").select(F.col("id").alias(key), "predicted", "confidence")
-    return (
-        folds.filter(F.col("fold_id").isNotNull())
-        .select(key, "fold_id", F.col(label).alias("actual"))
-        .join(answered, key, "left")
+    answered = owners.join(best, "rep", "left").select(
+        F.col("id").alias(key), F.col("fold").alias("fold_id"), F.col("label").alias("actual"),
+        "predicted", "confidence",
+    )
+    no_features = F.lit(False)
+    for c in features:
+        no_features = no_features | F.col(c).isNull() | F.isnan(c)
+    unanswered = folds.filter(F.col("fold_id").isNotNull() & no_features).select(
+        key, "fold_id", F.col(label).alias("actual"),
+        F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("double").alias("confidence"),
     )
+    return answered.unionByName(unanswered)
 
 
 def _base(folds: DataFrame, features: Sequence[str], key: str, label: str) -> DataFrame:
@@ -119,10 +125,8 @@ def _search(base, features, k, cell_rows, fanout, hot_rows):
     points, depth = _grow_cells(points, d, cell_rows, fanout)
     points = materialise(points)
 
-    own = materialise(_own_cell(points, d, k))
-    found = own.select("rep", F.inline("near"))
-    if depth:
-        found = found.unionByName(_other_cells(points, own, d, k, depth))
+    own = materialise(_own_radius(points, d, k))
+    found = _within_radius(points, own, d, k, depth)
     closest = Window.partitionBy("rep").orderBy("distance", "nid")
     near = found.withColumn("rank", F.row_number().over(closest)).filter(F.col("rank") <= k)
     return near, _owners(base, points, d, k, hot_rows)
@@ -134,85 +138,99 @@ def _grow_cells(points, d, cell_rows, fanout):
     A leaf may exceed that only where all its vectors are equal; then it holds at most k
     candidates per fold. Returns the frame and the number of levels.
     """
-    names = _names(d)
-    shares = [i / fanout for i in range(1, fanout)]
     points = points.withColumn("cell", F.lit("r")).withColumn("level", F.lit(0))
     level = 0
     while True:
-        stats = (
-            points.filter(F.col("level") == level).groupBy("cell").agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.struct(
-                    (F.max(c) - F.min(c)).alias("spread"),
-                    F.lit(i).alias("dim"),
-                    F.min(c).alias("lo"),
-                    F.max(c).alias("hi"),
-                    F.percentile_approx(c, shares, 1000).alias("quantiles"),
-                ).alias(f"s{i}") for i, c in enumerate(names)],
-            )
-            .filter(F.col("n") > cell_rows)
-            .select("cell", "n", F.array_max(F.array(*[f"s{i}" for i in range(d)])).alias("s"))
-            .filter(F.col("s.hi") > F.col("s.lo"))
-        )
-        # Children of about half the cap. Every cut lies in [lo, hi), so each one separates
-        # something; the midpoint keeps frequent values from stalling the split.
-        ways = F.least(F.lit(fanout), F.ceil(2 * F.col("n") / cell_rows).cast("int"))
-        wanted = F.transform(
-            F.sequence(F.lit(1), ways - 1),
-            lambda i: F.element_at("s.quantiles", F.greatest(
-                F.floor(i * F.lit(fanout) / ways).cast("int"), F.lit(1))),
-        )
-        middle = F.array(F.col("s.lo") / 2 + F.col("s.hi") / 2, F.col("s.lo"))
-        cuts = F.filter(
-            F.concat(wanted, F.slice(middle, 1, 1)),
-            lambda c: (c >= F.col("s.lo")) & (c < F.col("s.hi")),
-        )
-        splits = materialise(stats.select(
-            "cell",
-            F.col("s.dim").alias("dim"),
-            F.array_sort(F.array_distinct(
-                F.when(F.size(cuts) > 0, cuts).otherwise(F.slice(middle, 2, 1))
-            )).alias("cuts"),
-        ))
-        if splits.isEmpty():
+        splits = _splits(points.filter(F.col("level") == level), d, cell_rows, fanout)
+        if splits is None:
             return points.drop("level"), level
-        value = F.element_at(F.array(*names), F.col("dim") + 1)
-        child = F.size(F.filter("cuts", lambda c: c < value))
         points = (
             points.join(broadcast_if_small(splits), "cell", "left")
-            .withColumn("cell", F.when(
-                F.col("cuts").isNotNull(), F.concat_ws(".", "cell", child.cast("string"))
-            ).otherwise(F.col("cell")))
-            .withColumn("level", F.when(F.col("cuts").isNotNull(), level + 1).otherwise(F.col("level")))
-            .drop("dim", "cuts")
+            .withColumn("value", F.get(F.array(*_names(d)), F.col("dim")))
+            .withColumn("child", F.lit(0))
+        )
+        # Binary search for the number of cuts below the value, as plain expressions.
+        step = 1 << fanout.bit_length()
+        while step:
+            below = F.get("cuts", F.col("child") + (step - 1)) < F.col("value")
+            points = points.withColumn("child", F.col("child") + F.when(below, step).otherwise(0))
+            step //= 2
+        split = F.col("cuts").isNotNull()
+        points = (
+            points
+            .withColumn("cell", F.when(split, F.concat_ws(".", "cell", F.col("child").cast("string")))
+                        .otherwise(F.col("cell")))
+            .withColumn("level", F.when(split, level + 1).otherwise(F.col("level")))
+            .drop("dim", "cuts", "value", "child")
         )
         level += 1
 
 
-def _own_cell(points, d, k):
-    """Per representative: its k nearest inside its own cell, and the radius they prove."""
+def _splits(points, d, cell_rows, fanout):
+    """(cell, dim, cuts) of the cells that are too large, or None if there are none.
+
+    A cell is cut along its widest feature into children of about half the cap.
+    """
+    names = _names(d)
+    widest = F.array_max(F.array(*[
+        F.struct((F.max(c) - F.min(c)).alias("spread"), F.lit(i).alias("dim"),
+                 F.min(c).alias("lo"), F.max(c).alias("hi"))
+        for i, c in enumerate(names)
+    ]))
+    oversize = materialise(
+        points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), widest.alias("s"))
+        .filter((F.col("n") > cell_rows) & (F.col("s.hi") > F.col("s.lo")))
+        .select("cell", "n", "s.dim", "s.lo", "s.hi")
+    )
+    if oversize.isEmpty():
+        return None
+    shares = [i / fanout for i in range(1, fanout)]
+    value = F.get(F.array(*names), F.col("dim"))
+    quantiles = (
+        points.join(broadcast_if_small(oversize), "cell")
+        .groupBy("cell", "n", "dim", "lo", "hi")
+        .agg(F.percentile_approx(value, shares, 1000).alias("q"))
+    )
+    ways = F.least(F.lit(fanout), F.ceil(2 * F.col("n") / cell_rows).cast("int"))
+    wanted = F.transform(
+        F.sequence(F.lit(1), ways - 1),
+        lambda i: F.element_at("q", F.greatest(F.floor(i * F.lit(fanout) / ways).cast("int"), F.lit(1))),
+    )
+    # A cut in [lo, hi) always separates something; the middle keeps frequent values from
+    # stalling the split, and lo serves where lo and hi are neighbouring numbers.
+    middle = F.array(F.col("lo") / 2 + F.col("hi") / 2)
+    cuts = F.filter(F.concat(wanted, middle), lambda c: (c >= F.col("lo")) & (c < F.col("hi")))
+    return materialise(quantiles.withColumn("cuts", cuts).select(
+        "cell", "dim",
+        F.array_sort(F.array_distinct(
+            F.when(F.size("cuts") > 0, F.col("cuts")).otherwise(F.array("lo"))
+        )).alias("cuts"),
+    ))
+
+
+def _own_radius(points, d, k):
+    """Per representative: a radius that surely holds k candidates.
+
+    It is the distance of the k-th neighbour inside the own cell, from squares and widened
+    a little so that rounding cannot make it too small.
+    """
     names = _names(d)
     members = points.groupBy("cell").agg(
-        F.collect_list(F.struct("fold", "id", "label", *names)).alias("members")
+        F.collect_list(F.struct("fold", *names)).alias("members")
     )
     rows = points.filter(F.col("copy") == 1).select(
         F.col("id").alias("rep"), "fold", "cell", *names
     )
-    others = F.filter("members", lambda m: m["fold"] != F.col("fold"))
-    ranked = F.array_sort(F.transform(others, lambda m: F.struct(
-        euclidean(_cols(d, "x"), [m[n] for n in names]).alias("distance"),
-        m["id"].alias("nid"),
-        m["label"].alias("nlabel"),
-    )))
-    near = rows.join(members, "cell").withColumn("near", F.slice(ranked, 1, k)).drop("members")
-    return near.withColumn(
-        "radius",
-        F.when(F.size("near") >= k, F.element_at("near", k)["distance"]).otherwise(F.lit(_INF)),
-    )
+    # One pass over the members; those of the own fold sort last.
+    squares = F.sort_array(F.transform("members", lambda m: F.when(
+        m["fold"] != F.col("fold"), sum((F.pow(F.col(n) - m[n], F.lit(2.0)) for n in names), F.lit(0.0))
+    ).otherwise(F.lit(_INF))))
+    radius = F.sqrt(F.coalesce(F.get(squares, F.lit(k - 1)), F.lit(_INF))) * (1 + 1e-9)
+    return rows.join(members, "cell").withColumn("radius", radius).drop("members")
 
 
-def _other_cells(points, own, d, k, depth):
-    """Candidates outside the own cell that lie within each representative's radius."""
+def _within_radius(points, own, d, k, depth):
+    """(rep, distance, nid, nlabel): the candidates within each representative's radius."""
     names = _names(d)
     pairs = _cell_pairs(points, own, d, k, depth)
     asked = own.select("rep", "fold", "cell", *names, F.col("radius").alias("own_radius"))
@@ -238,7 +256,10 @@ def _other_cells(points, own, d, k, depth):
 
 
 def _cell_pairs(points, own, d, k, depth):
-    """(home, node, box of node, radius): cells that may hold neighbours of a home cell."""
+    """(home, node, box of node, radius): cells that may hold neighbours of a home cell.
+
+    The home cell is one of them. ``radius`` holds for every row of the home cell.
+    """
     names, los, his = _names(d), _names(d, "lo"), _names(d, "hi")
     per_fold = points.groupBy("cell", "fold").agg(
         F.count(F.lit(1)).alias("n"),
@@ -280,7 +301,10 @@ def _cell_pairs(points, own, d, k, depth):
         *[F.col(c).alias(f"home_{c}") for c in los + his],
     )
     radii = own.groupBy("cell").agg(F.max("radius").alias("radius"))
-    frontier = homes.join(radii, homes["home"] == radii["cell"]).drop("cell").withColumn("node", F.lit("r"))
+    # Start at the root; its box only matters where it is the single cell.
+    frontier = homes.join(radii, homes["home"] == radii["cell"]).drop("cell").select(
+        "*", F.lit("r").alias("node"), *[F.col(f"home_{c}").alias(c) for c in los + his]
+    )
     box = (_cols(d, "home_lo"), _cols(d, "home_hi"), _cols(d, "lo"), _cols(d, "hi"))
     by_reach = Window.partitionBy("home").orderBy("reach").rowsBetween(Window.unboundedPreceding, 0)
     all_of_home = Window.partitionBy("home")
@@ -300,12 +324,12 @@ def _cell_pairs(points, own, d, k, depth):
             .drop("gap", "reach", "enough", "bound")
         )
     return materialise(
-        frontier.filter(F.col("home") != F.col("node")).select("home", "node", "radius", *los, *his)
+        frontier.select("home", "node", "radius", *los, *his)
     )
 
 
 def _owners(base, points, d, k, hot_rows):
-    """(rep, id, fold) for every row: which representative's neighbours it takes.
+    """(rep, id, fold, label) for every row: which representative's neighbours it takes.
 
     Vectors with very many copies are spread by salt. Only copies beyond ``hot_rows`` are
     salted, so at most (rows / hot_rows) keys are.
@@ -313,9 +337,9 @@ def _owners(base, points, d, k, hot_rows):
     keys = [*_names(d), "fold"]
     reps = points.filter(F.col("copy") == 1).select(F.col("id").alias("rep"), *keys)
     if points.filter(F.col("copy") > 1).isEmpty():
-        return reps.select("rep", F.col("rep").alias("id"), "fold")
+        return points.select(F.col("id").alias("rep"), "id", "fold", "label")
     if points.filter(F.col("copy") == k).isEmpty():
-        return base.join(reps, keys).select("rep", "id", "fold")
+        return base.join(reps, keys).select("rep", "id", "fold", "label")
     hot = materialise(
         base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
         .withColumn("salts", F.ceil(F.col("n") / hot_rows).cast("int")).drop("n")
@@ -329,5 +353,5 @@ def _owners(base, points, d, k, hot_rows):
         "salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
     return salted_rows.drop("salts").join(salted_reps.drop("salts"), [*keys, "salt"]).select(
-        "rep", "id", "fold"
+        "rep", "id", "fold", "label"
     )
