@@ -76,23 +76,25 @@ def build(algorithm: str, settings: dict, seed: int = 42) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def fit_svm_folds(
+def train_machines(
     ready: DataFrame, settings: dict, features: Sequence[str], classes: int, seed: int = 42
-) -> dict[int, PipelineModel]:
-    """A fitted pipeline per held-out fold; the machines of all folds are trained together.
+) -> dict[int, Pipeline]:
+    """Per held-out fold the pipeline of trained machines with an unfitted calibration.
 
-    A logistic fit turns margins into probabilities, a joint multi-class form of Platt (1999).
+    The machines of all folds are trained together. Fitting the pipeline turns margins into
+    probabilities by a logistic fit, a joint multi-class form of Platt (1999).
     """
     kernels = svm.fold_kernels(ready, features, settings["kernel"] == "gaussian", seed)
     weights = svm.fit(ready, features, classes, settings["complexity"], kernels)
-    models = {}
-    for held, kernel in kernels.items():
-        stages = svm.margin_stages(features, kernel, weights[held], "margins")
-        stages.append(LogisticRegression(
-            featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=20,
-        ))
-        models[held] = Pipeline(stages=stages).fit(ready.filter(F.col("fold_id") != held))
-    return models
+    calibration = LogisticRegression(
+        featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=20,
+    )
+    return {
+        held: Pipeline(stages=[
+            *svm.margin_stages(features, kernel, weights[held], "margins"), calibration
+        ])
+        for held, kernel in kernels.items()
+    }
 
 
 def score(

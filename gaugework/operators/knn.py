@@ -19,8 +19,9 @@ bounding boxes prune little, as for every exact method.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugework.functions.exprs import box_gap, box_reach, euclidean, ratio
 from gaugework.session import broadcast_if_small, materialise
@@ -40,8 +41,8 @@ def neighbours(
 ) -> DataFrame:
     """(key, fold_id, rank, neighbour_id, neighbour_label, distance), k lines per row.
 
-    Rows with a NULL or NaN feature, or without a fold, have no distance to anything: they
-    neither vote nor get neighbours.
+    Rows with a feature that is NULL or not finite, or without a fold, have no distance to
+    anything: they neither vote nor get neighbours.
     """
     base = _base(folds, features, key, label)
     near, owners = _search(base, features, k, cell_rows, fanout, hot_rows)
@@ -84,10 +85,7 @@ def predict(
         F.col("id").alias(key), F.col("fold").alias("fold_id"), F.col("label").alias("actual"),
         "predicted", "confidence",
     )
-    no_features = F.lit(False)
-    for c in features:
-        no_features = no_features | F.col(c).isNull() | F.isnan(c)
-    unanswered = folds.filter(F.col("fold_id").isNotNull() & no_features).select(
+    unanswered = folds.filter(F.col("fold_id").isNotNull() & ~_usable(features)).select(
         key, "fold_id", F.col(label).alias("actual"),
         F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("double").alias("confidence"),
     )
@@ -100,9 +98,13 @@ def _base(folds: DataFrame, features: Sequence[str], key: str, label: str) -> Da
         F.col(key).alias("id"), F.col("fold_id").alias("fold"), F.col(label).alias("label"),
         *[F.col(c).cast("double").alias(n) for c, n in zip(features, names)],
     )
-    for n in names:
-        df = df.filter(F.col(n).isNotNull() & ~F.isnan(n))
-    return df.filter(F.col("fold").isNotNull())
+    return df.filter(_usable(names) & F.col("fold").isNotNull())
+
+
+def _usable(features: Sequence[str]) -> Column:
+    """True where every feature is a finite number (NaN compares as the largest value)."""
+    finite = [F.coalesce(F.abs(F.col(c).cast("double")) < _INF, F.lit(False)) for c in features]
+    return reduce(lambda a, b: a & b, finite)
 
 
 def _names(d: int, prefix: str = "x") -> list[str]:

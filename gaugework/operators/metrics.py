@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugework.functions.exprs import log_loss_term, prob_of, ratio, ratio_or_zero, tile_of
 from gaugework.operators.ordering import sorted_rank
+from gaugework.session import materialise
 
 BY = ("run_id", "model_name", "fold_id")
 
@@ -204,15 +205,26 @@ def evaluate(
     macro_over: Sequence[str] | None = None,
     key: str = "id",
 ) -> DataFrame:
-    """All metrics of all models and folds, one row per group (the wide metrics form)."""
+    """All metrics of all models and folds, one row per group (the wide metrics form).
+
+    Two passes over the scored table: one for the confusion matrix with the summed loss per
+    cell, from which accuracy, macro scores and log loss follow, and one for the ranking.
+    """
     keys = list(by)
-    matrix = confusion_matrix(scored, by)
+    loss = log_loss_term(prob_of(F.col("probs"), F.col("actual")))
+    matrix = materialise(scored.groupBy(*by, "actual", "predicted").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(loss).alias("loss")
+    ))
+    hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("cnt")).otherwise(0))
+    totals = matrix.groupBy(*by).agg(
+        ratio(hits, F.sum("cnt")).alias("accuracy"),
+        F.sum("cnt").alias("total_predictions"),
+        ratio(F.sum("loss"), F.sum("cnt")).alias("log_loss"),
+    )
     ranked = rank_scores(scored, positive, by, key)
-    lifts = top_bucket_lift(lift_table(ranked, by), by)
     return (
-        fold_accuracy(scored, by).select(*by, "accuracy", F.col("total").alias("total_predictions"))
+        totals
         .join(macro_scores(matrix, by, macro_over), keys)
         .join(roc_auc(ranked, by).select(*by, "roc_auc"), keys)
-        .join(lifts, keys)
-        .join(log_loss(scored, by), keys)
+        .join(top_bucket_lift(lift_table(ranked, by), by), keys)
     )

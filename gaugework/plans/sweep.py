@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from gaugework.operators import classifiers, knn
@@ -44,32 +44,36 @@ def run_sweep(
     fold_ids = sorted(r["fold_id"] for r in ready.select("fold_id").distinct().collect())
     check_folds(len(fold_ids))
 
-    def fit(job: tuple[ParameterSet, int | None]) -> list[DataFrame]:
+    machines = [p for p in sets if p.algorithm == "SVM"]
+    jobs = [(p, fold) for p in sets for fold in fold_ids]
+
+    def train(p: ParameterSet) -> dict[int, Pipeline]:
+        return classifiers.train_machines(ready, p.typed(), features, len(labels), seed)
+
+    def fit_and_score(job: tuple[ParameterSet, int]) -> DataFrame:
         p, fold = job
-        if fold is None:
-            models = classifiers.fit_svm_folds(ready, p.typed(), features, len(labels), seed)
+        train_rows, test_rows = holdout(ready, fold)
+        if p.algorithm == "SVM":
+            estimator = trained[p.parameter_set_id][fold]
         else:
-            models = {fold: classifiers.build(p.algorithm, p.typed(), seed).fit(holdout(ready, fold)[0])}
-        return [scored(p, held, model) for held, model in models.items()]
-
-    def scored(p: ParameterSet, fold: int, model: PipelineModel) -> DataFrame:
+            estimator = classifiers.build(p.algorithm, p.typed(), seed)
+        model = estimator.fit(train_rows)
         name = f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}"
         if model_folder:
             model.write().overwrite().save(f"{model_folder}/{run_id}/{name}")
-        test = holdout(ready, fold)[1]
-        return classifiers.score(model, test, labels, features, key, label).select(
+        return classifiers.score(model, test_rows, labels, features, key, label).select(
             F.lit(run_id).alias("run_id"), F.lit(name).alias("model_name"), "fold_id",
             F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
             F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag"),
             key, *features, "actual", "predicted", "probs",
         )
 
-    jobs: list[tuple[ParameterSet, int | None]] = []
-    for p in sets:
-        jobs += [(p, None)] if p.algorithm == "SVM" else [(p, fold) for fold in fold_ids]
+    on_thread = inheritable_thread_target(spark)
     with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(inheritable_thread_target(spark)(fit), jobs))
-    result = materialise(reduce(DataFrame.unionByName, [df for part in parts for df in part]))
+        by_set = pool.map(on_thread(train), machines)
+        trained = {p.parameter_set_id: m for p, m in zip(machines, by_set)}
+        parts = list(pool.map(on_thread(fit_and_score), jobs))
+    result = materialise(reduce(DataFrame.unionByName, parts))
     ready.unpersist()
     return result
 

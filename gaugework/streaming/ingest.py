@@ -1,37 +1,48 @@
-"""Streaming ingest into the unified metrics table."""
+"""Streaming ingest into the unified metrics table.
+
+A batch writes only its own rows, so its cost does not grow with the table; the current
+table is the newest row per key over all batches, and compaction writes that down.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from gaugework.plans.mlmetrics import ingest, with_defaults
-from gaugework.schemas import ML_METRICS
+from gaugework.operators.checks import latest_per_key
+from gaugework.plans.mlmetrics import enforce, with_defaults, write_layout
+from gaugework.schemas import ML_METRICS, ML_METRICS_KEY
 
 
-def snapshot_path(root: str, number: int) -> str:
-    return f"{root}/snapshot={number:012d}"
+def _newest(rows: DataFrame, *first: str) -> DataFrame:
+    order = [F.col(c) for c in (*first, "recorded_at", "metric_value")]
+    return latest_per_key(rows, ML_METRICS_KEY, order)
 
 
-def upsert_stream(stream: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Start an upsert of a stream of metric rows into snapshots under ``root``.
+def ingest_stream(stream: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Start writing a stream of metric rows below ``root``, one folder per batch.
 
-    Batch n reads snapshot n and writes snapshot n + 1, so a repeated batch rewrites the same
-    snapshot with the same content. One writer at a time; snapshot 0 is the empty table.
+    A repeated batch overwrites its own folder with the same rows.
     """
-    def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if number == 0:
-            existing = spark.createDataFrame([], ML_METRICS)
-        else:
-            existing = spark.read.schema(ML_METRICS).parquet(snapshot_path(root, number))
-        ingest(existing, with_defaults(batch)).write.mode("overwrite").parquet(
-            snapshot_path(root, number + 1)
-        )
+    def write(batch: DataFrame, number: int) -> None:
+        rows = _newest(enforce(with_defaults(batch)))
+        rows.write.mode("overwrite").parquet(f"{root}/batch={number}")
 
     return (
-        stream.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The table as of now: per key the row of the latest batch that has it."""
+    schema = StructType([*ML_METRICS.fields, StructField("batch", LongType())])
+    return _newest(spark.read.schema(schema).parquet(root), "batch").drop("batch")
+
+
+def compact(spark: SparkSession, root: str, path: str) -> None:
+    """Write the current table to ``path`` in the layout of the unified metrics table."""
+    write_layout(current(spark, root), path)

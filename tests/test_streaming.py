@@ -1,26 +1,29 @@
 from pyspark.sql import functions as F
 
 from gaugework.schemas import ML_METRICS
-from gaugework.streaming.ingest import snapshot_path, upsert_stream
+from gaugework.streaming.ingest import compact, current, ingest_stream
 
 
-def test_stream_upserts_each_batch(spark, tmp_path):
-    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+def test_stream_keeps_one_row_per_key(spark, tmp_path):
+    source, root, checkpoint, table = (str(tmp_path / n) for n in ("in", "out", "ckpt", "table"))
 
     def feed(values):
         rows = [("p", f"r{i}", "m", float(v)) for i, v in values]
-        spark.createDataFrame(rows, "pipeline_id string, run_id string, metric_name string, metric_value double") \
-            .coalesce(1).write.mode("append").json(source)
+        spark.createDataFrame(
+            rows, "pipeline_id string, run_id string, metric_name string, metric_value double"
+        ).coalesce(1).write.mode("append").json(source)
 
     def run():
-        stream = spark.readStream.schema(ML_METRICS).json(source)
-        upsert_stream(stream, root, checkpoint).awaitTermination()
+        ingest_stream(spark.readStream.schema(ML_METRICS).json(source), root, checkpoint).awaitTermination()
 
-    feed([(1, 0.1), (2, 0.2)])
+    feed([(1, 0.1), (2, 0.2), (2, 0.2)])
     run()
-    feed([(2, 0.9), (3, 0.3)])
+    feed([(2, 0.05), (3, 0.3)])
     run()
     run()  # nothing new: no batch
-    table = spark.read.parquet(snapshot_path(root, 2))
-    assert {r["run_id"]: r["metric_value"] for r in table.collect()} == {"r1": 0.1, "r2": 0.9, "r3": 0.3}
-    assert table.filter(F.col("metric_type") != "scalar").isEmpty()
+    want = {"r1": 0.1, "r2": 0.05, "r3": 0.3}
+    now = current(spark, root)
+    assert now.count() == 3 and now.filter(F.col("metric_type") != "scalar").isEmpty()
+    assert {r["run_id"]: r["metric_value"] for r in now.collect()} == want
+    compact(spark, root, table)
+    assert {r["run_id"]: r["metric_value"] for r in spark.read.parquet(table).collect()} == want
