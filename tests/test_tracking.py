@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugework.plans import mlmetrics, records
-from gaugework.schemas import METRICS_LOG, ML_METRICS, ML_METRICS_KEY, RUN_REGISTRY
+from gaugework.schemas import METRICS_LOG, METRICS_WIDE, ML_METRICS, ML_METRICS_KEY, RUN_REGISTRY
 from gaugework.sources import tables
 
 NOW = datetime(2024, 5, 1, tzinfo=timezone.utc)
@@ -121,5 +121,20 @@ def test_records(spark):
     assert spark.sql("SELECT model_name FROM retraining").first()[0] == "M_F1"
 
 
+def test_wide_log(spark):
+    models = spark.createDataFrame(
+        [(7, 5, 1, "SVM")], "model_id long, parameter_set_id long, fold_id int, algorithm string"
+    )
+    wide = spark.createDataFrame(
+        [(7, 0.9, 0.8, 0.7, 0.6, None, 2.0)],
+        "model_id long, accuracy double, precision_macro double, recall_macro double, "
+        "f1_of_macro double, roc_auc double, lift_value double",
+    )
+    log = records.metrics_wide_log(wide, models, F.lit("a=1"), F.lit(NOW))
+    assert log.columns == METRICS_WIDE.names
+    row = log.first()
+    assert (row["metric_id"], row["f1_macro"], row["roc_auc"], row["hyperparameters"]) == (7, 0.6, None, "a=1")
+
+
 def test_key_columns_are_not_null():
     assert [f.name for f in ML_METRICS.fields if not f.nullable] == list(ML_METRICS_KEY)
