@@ -1,10 +1,10 @@
 """One-vs-rest support vector machines for all folds and classes at once.
 
-Fitting one machine per fold and class is many small optimisations, each with hundreds of
-passes over the data. Here all of them advance together: one pass of a Newton iteration on the
+Fitting one machine per fold and class is a separate optimisation each, with its own passes
+over the data. Here all of them advance together: one pass of a Newton iteration on the
 squared hinge loss (Chapelle, "Training a support vector machine in the primal", 2007) sums,
-for every fold and class, the small matrices the next step needs. About ten passes train
-everything. Partial sums of a task are one row; they are added up in a tree.
+for every fold and class, the small matrices the next step needs. At most ``max_passes`` passes
+train everything; the embeddings test table took three to five. Partial sums of a task are one row; they are added up in a tree.
 
 The Gaussian kernel is approximated by random Fourier features (Rahimi and Recht, 2007).
 """
