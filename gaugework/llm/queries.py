@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import decontaminate, exact_dedup, sharding
+from gaugework.llm import bpe, decontaminate, exact_dedup, quality, sharding, token_files
 from gaugework.llm.common import documents
+from gaugework.session import new_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +83,34 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.refine(documents(spark, sf_dir), digest_all=True).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"),
     )
+
+
+@query()
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all texts, and the texts decoded from them."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+        F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, and what a reader finds in them."""
+    folder = new_table_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_documents(spark, folder)
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it is accepted."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found, names = quality.judge(docs, labels)
+    return found.select(
+        "doc_id", "lang", F.col(names["bytes"]).alias("n_bytes"), names["perplexity"], names["excess"],
+        names["threshold"], names["accepted"],
+    )
