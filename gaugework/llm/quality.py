@@ -39,7 +39,7 @@ from gaugework.llm.common import bounded_broadcast, slices, written
 ORDER = 4
 PAD = b"\0" * (ORDER - 1)
 SHARD_CONTEXTS = 65_535
-KEEP = 0.998
+KEEP = 0.997
 #: Distinct n-grams that a task gathers before it sends them on.
 TASK_GRAMS = 2_000_000
 
@@ -111,7 +111,7 @@ def discounts(counts: dict[int, int]) -> np.ndarray:
     if not (n1 and n2 and n3):
         return np.array([0.0, 0.5, 0.5, 0.5])
     y = n1 / (n1 + 2 * n2)
-    return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 1, 2, 3])
+    return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 1, 2, 3])
 
 
 def interpolate(grams: np.ndarray, n: np.ndarray, discount: np.ndarray, lower) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import bpe, decontaminate, exact_dedup, quality, sharding, token_files
+from gaugework.llm import bpe, decontaminate, exact_dedup, language, quality, sharding, token_files
 from gaugework.llm.common import documents
 from gaugework.session import new_table_path
 
@@ -114,3 +114,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lang", F.col(names["bytes"]).alias("n_bytes"), names["perplexity"], names["excess"],
         names["threshold"], names["accepted"],
     )
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of the labelled ones."""
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))).select("lang", "text"))
+    return language.predict(docs, model).select(
+        F.col("id").alias("doc_id"), language.held_out(F.col("id")).alias("held_out"),
+        F.col("nearest").alias("lang_pred"), "score", (F.col("lang") == language.UNDETERMINED).alias("rejected"),
+    )
