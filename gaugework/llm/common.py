@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -64,3 +65,65 @@ def arrow_type(df: DataFrame, column: str) -> pa.DataType:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(docs: DataFrame, id_col: str, digest: Column, gone: DataFrame, once: DataFrame, max_rows: int = 250_000) -> DataFrame:
+    """``docs`` less the rows whose (id, digest) is in ``gone``, and one row for each pair in ``once``.
+
+    ``gone`` and ``once`` are written tables of distinct (id, digest); ``once`` names rows that occur
+    several times with the same id and text.
+    """
+    def meet(keys: DataFrame, how: str, frame: DataFrame) -> DataFrame:
+        keys = bounded_broadcast(keys.select("id", "digest"), max_rows)
+        return frame.join(keys, frame[id_col].eqNullSafe(keys["id"]) & (digest == keys["digest"]), how)
+
+    stay = meet(gone, "left_anti", docs)
+    if once.isEmpty():
+        return stay
+    name = fresh(docs, "row_key")
+    single = meet(once, "left_semi", docs).withColumn(name, F.struct(F.col(id_col), digest)).dropDuplicates([name]).drop(name)
+    return meet(once, "left_anti", stay).unionByName(single)
+
+
+class Memo(dict):
+    """Values of ``make`` by key; emptied at ``limit`` entries, so it does not grow with the input."""
+
+    def __init__(self, make: Callable, limit: int = 400_000):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with the rows of one key each, from batches sorted by ``keys``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for key in keys:
+            column = batch.column(key).to_numpy(zero_copy_only=False)
+            new[1:] |= column[1:] != column[:-1]
+            new[0] |= bool(held) and held[-1].column(key)[-1] != batch.column(key)[0]
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if start and held or start == 0 and new[0] and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            if end > start:
+                held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import bpe, decontaminate, exact_dedup, language, quality, sharding, token_files
+from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, token_files
 from gaugework.llm.common import documents
 from gaugework.session import new_table_path
 
@@ -125,3 +125,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), language.held_out(F.col("id")).alias("held_out"),
         F.col("nearest").alias("lang_pred"), "score", (F.col("lang") == language.UNDETERMINED).alias("rejected"),
     )
+
+
+@query()
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 85 % of their shingles, the smallest doc_id kept."""
+    return near_dedup.near_duplicates(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"),
+    )
