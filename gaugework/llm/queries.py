@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, token_files
+from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, substring_dedup, token_files
 from gaugework.llm.common import documents
 from gaugework.session import new_table_path
 
@@ -133,3 +133,33 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"),
     )
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+r AS (SELECT win FROM s GROUP BY win HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM s JOIN r USING (win)),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n_kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query(SUBSTRING_SQL)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without runs of 35 words that start elsewhere too."""
+    docs = documents(spark, sf_dir)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["start"])
+    of_text = substring_dedup.clean_texts(docs).select(
+        "a", "b", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    return substring_dedup.text_names(docs).join(of_text, ["a", "b"]).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256",
+    )
