@@ -29,7 +29,9 @@ from gaugework.llm.common import arrow_type, slices
 
 NONE = np.int64(1) << 40
 #: Bytes of pieces in one array of trees.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 17
+#: Bytes of texts encoded in one step.
+SLICE_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> bytes:
@@ -38,15 +40,15 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def parsed(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
+
+
 class Vocabulary:
-    """Tokens by rank, and the rank that each pair of tokens merges into."""
+    """Ranks of tokens, and the rank that each pair of tokens merges into."""
 
     def __init__(self, lines: bytes):
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
-        self.ranks = ranks
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
+        self.ranks = ranks = parsed(lines)
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -163,9 +165,6 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.memo.encode(texts)
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
-
 
 @lru_cache(maxsize=2)
 def encoder(lines: bytes, pattern: str) -> Encoder:
@@ -181,7 +180,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(lines.value, pattern)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             ids = own.encode(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], schema=schema)
 
@@ -189,16 +188,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return named.mapInArrow(run, out)
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with a column ``decoded``: the bytes of its column ``ids``."""
     lines = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     named = encoded.select("id", "ids")
     schema = pa.schema([("id", arrow_type(named, "id")), ("ids", pa.binary()), ("decoded", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(lines.value, pattern)
-        for part in slices(batches, "ids"):
-            decoded = [own.decode(x or b"") for x in part.column("ids").to_pylist()]
+        token = {rank: token for token, rank in parsed(lines.value).items()}.__getitem__
+        for part in slices(batches, "ids", SLICE_BYTES):
+            decoded = [b"".join(map(token, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids").cast(pa.binary()), pa.array(decoded, pa.binary())], schema=schema)
 
     out = T.StructType([*named.schema.fields, T.StructField("decoded", T.BinaryType())])

@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable, Sequence
 
 _RUN = re.compile(r"\s | \s")
-MAX_MEMO = 400_000
+MAX_MEMO = 150_000
 
 
 class ChunkMemo:

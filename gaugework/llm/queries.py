@@ -90,7 +90,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all texts, and the texts decoded from them."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+    return bpe.decode(encoded, ranks).select(
         F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -33,6 +33,7 @@ from gaugework.llm.common import arrow_type, slices
 
 SEGMENT_TOKENS = 1 << 18
 RANK_BITS = 512
+MEMO = 300_000
 
 Level = tuple[bytes, bytes, bytes]  # chunks, bitmap, rank directory
 
@@ -93,7 +94,7 @@ def memo(tokenizer_json: str) -> ChunkMemo:
         found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    return ChunkMemo(encode_new)
+    return ChunkMemo(encode_new, MEMO)
 
 
 def _segment_schema(kind: T.DataType) -> T.StructType:
