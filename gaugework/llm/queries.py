@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, substring_dedup, token_files
+from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, substring_dedup, token_files, url_filter
 from gaugework.llm.common import documents
 from gaugework.session import new_table_path
 
@@ -163,3 +163,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.text_names(docs).join(of_text, ["a", "b"]).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256",
     )
+
+
+@query()
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL: the stated rule's, else that of the rules mined from labels."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    index = url_filter.mine(url_filter.labelled_pages(pages, labels))
+    return url_filter.judge(pages, index).withColumnRenamed("id", "page_id")
