@@ -31,7 +31,7 @@ NONE = np.int64(1) << 40
 #: Bytes of pieces in one array of trees.
 BLOCK_BYTES = 1 << 17
 #: Bytes of texts encoded in one step.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read_ranks(path: str) -> bytes:
@@ -134,7 +134,7 @@ class Encoder:
         self.vocabulary = Vocabulary(lines)
         # white space as Unicode defines it, which is what the rank files were made with
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.memo = ChunkMemo(self.encode_strings)
+        self.memo = ChunkMemo(self.encode_strings, lambda chunks: self.encode_strings([" " + c for c in chunks]))
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of each piece."""
@@ -162,7 +162,7 @@ class Encoder:
         flat = iter(self.encode_pieces([p for pieces in split for p in pieces]))
         return [b"".join([next(flat) for _ in pieces]) for pieces in split]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         return self.memo.encode(texts)
 
 
@@ -181,7 +181,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(lines.value, pattern)
         for part in slices(batches, "text", SLICE_BYTES):
-            ids = own.encode(part.column("text").to_pylist())
+            ids = own.encode(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], schema=schema)
 
     out = T.StructType([named.schema["id"], T.StructField("ids", T.BinaryType())])

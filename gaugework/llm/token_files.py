@@ -34,6 +34,9 @@ from gaugework.llm.common import arrow_type, slices
 SEGMENT_TOKENS = 1 << 18
 RANK_BITS = 512
 MEMO = 300_000
+#: Chunks handed to the tokenizer at once.
+TOGETHER = 4_000
+SLICE_BYTES = 6 << 20
 
 Level = tuple[bytes, bytes, bytes]  # chunks, bitmap, rank directory
 
@@ -90,11 +93,28 @@ def memo(tokenizer_json: str) -> ChunkMemo:
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = True
 
-    def encode_new(strings: list[str]) -> list[bytes]:
+    def whole(strings: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    return ChunkMemo(encode_new, MEMO)
+    # a byte-level token has one character for each of its bytes
+    n_bytes = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        n_bytes[i] = len(token)
+
+    def after_space(chunks: list[str]) -> list[bytes]:
+        """Many chunks in one call: the bytes of the ids tell where each ends."""
+        encoded = []
+        for i in range(0, len(chunks), TOGETHER):
+            part = [" " + c for c in chunks[i:i + TOGETHER]]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(c.encode()) for c in part])
+            last = ((np.searchsorted(np.cumsum(n_bytes[ids]), ends) + 1) * 4).tolist()
+            packed = ids.tobytes()
+            encoded += map(packed.__getitem__, map(slice, [0, *last[:-1]], last))
+        return encoded
+
+    return ChunkMemo(whole, after_space, MEMO)
 
 
 def _segment_schema(kind: T.DataType) -> T.StructType:
@@ -128,8 +148,8 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(kind), pa.list_(pa.int64()), blobs, blobs, blobs]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=out.names)
 
-        for part in slices(batches, "text"):
-            encoded = own.encode(part.column("text").to_pylist())
+        for part in slices(batches, "text", SLICE_BYTES):
+            encoded = own.encode(part.column("text"))
             for doc_id, one in zip(part.column("id").to_pylist(), encoded, strict=True):
                 ids.append(doc_id)
                 packed.append(one + end)
