@@ -10,11 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugework.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
-from gaugework.llm.common import documents, written
+from gaugework.llm.common import documents, find_package, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the perplexity classifier accepts."""
+    find_package(spark)
     return quality.accepted_only(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -25,6 +26,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
+    find_package(spark)
     return near_dedup.drop_near_copies(docs)
 
 
@@ -35,6 +37,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of the text decoded from them."""
+    find_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return bpe.decode(encoded, ranks).select(

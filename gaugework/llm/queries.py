@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, substring_dedup, token_files, url_filter
-from gaugework.llm.common import documents
+from gaugework.llm.common import documents, find_package
 from gaugework.session import new_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,10 +18,15 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            find_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql:
             ORACLES[fn.__name__] = sql
-        return fn
+        return run
     return add
 
 
