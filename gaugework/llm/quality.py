@@ -13,7 +13,9 @@ scans, and the shards' bits are summed per document.
 
 A document is judged by its excess: the mean bits per byte above the median of trusted documents of its
 language, times the square root of its bytes, so that a short text needs a larger deviation. It is
-accepted up to the ``keep`` quantile of that excess among trusted documents of its language.
+accepted up to the ``keep`` quantile of that excess among trusted documents of its language. Medians
+and quantiles come from one half of the trusted texts, scored by a model of the other half, so they
+hold for unseen texts too; documents are scored by the model of both.
 
 Edge cases: null and empty texts have no perplexity and are not accepted. A language without
 trusted documents, null included, takes the figures of all trusted documents. Without trusted
@@ -257,10 +259,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     trusted = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     trusted = trusted.join(ids, "trusted_id", "left_semi").drop("trusted_id")
     shards = list(train(trusted))
-    scored, bits_col, bytes_col = score(trusted, shards)
-    base = written(scored.filter(F.col(bytes_col) > 0).select(
-        "lang", (F.col(bits_col) / F.col(bytes_col)).alias("mean"), F.col(bytes_col).alias("bytes"),
-    ), "kn-trusted-scores")
+    half = F.pmod(F.xxhash64("text"), F.lit(2))  # copies of a text are in one half
+    learned = list(train(trusted.filter(half == 0)))
+    base = _means(trusted.filter(half == 1), learned)
+    if base.isEmpty():
+        base = _means(trusted, shards)
     figures = _thresholds(base, keep)
     overall = _thresholds(base.withColumn("lang", F.lit("all")), keep).first()
     center_all, limit_all = (overall["center"], overall["limit"]) if overall else (0.0, float("inf"))
@@ -280,6 +283,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     }).drop(center, limit, lang, bits_col), names | {"bytes": bytes_col}
 
 
+def _means(docs: DataFrame, shards: list[Shard]) -> DataFrame:
+    """(lang, mean bits per byte, bytes) of the texts with content, written."""
+    scored, bits_col, bytes_col = score(docs, shards)
+    scored = scored.filter((F.col(bytes_col) > 0) & F.col(bits_col).isNotNull())
+    return written(scored.select(
+        "lang", (F.col(bits_col) / F.col(bytes_col)).alias("mean"), F.col(bytes_col).alias("bytes"),
+    ), "kn-trusted-scores")
+
+
 def _thresholds(scores: DataFrame, keep: float) -> DataFrame:
     """Per language the median of the means, and the ``keep`` quantile of the excess over it."""
     centers = scores.groupBy("lang").agg(F.percentile_approx("mean", 0.5, 10_000).alias("center"))

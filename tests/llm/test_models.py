@@ -1,0 +1,86 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from gaugework.llm import language, quality
+
+
+def slow_probability(texts):
+    """The interpolated model from its definition, with dictionaries."""
+    counts = {4: Counter()}
+    for t in texts:
+        b = quality.PAD + t.encode()
+        counts[4].update(b[i - 3:i + 1] for i in range(3, len(b)))
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    d = {n: quality.discounts(Counter(min(c, 5) for c in counts[n].values())) for n in counts}
+
+    def p(context, byte, n):
+        if n == 0:
+            return 1 / 256
+        own = {g[-1]: c for g, c in counts[n].items() if g[:-1] == context}
+        lower = p(context[1:], byte, n - 1)
+        if not own:
+            return lower
+        total = sum(own.values())
+        c = own.get(byte, 0)
+        kept = c - d[n][min(c, 3)] if c else 0
+        return kept / total + sum(d[n][min(x, 3)] for x in own.values()) / total * lower
+
+    return lambda b, i: p(b[i - 3:i], b[i], 4)
+
+
+@pytest.mark.parametrize("limit", [65_535, 7])
+def test_model_equals_definition(docs, monkeypatch, limit):
+    monkeypatch.setattr(quality, "SHARD_CONTEXTS", limit)
+    trusted = ["abab abc", "abcabc aab", "bca ab", "a", "ccab"]
+    shards = list(quality.train(docs([(i, t) for i, t in enumerate(trusted)])))
+    assert (len(shards) > 1) == (limit == 7)
+    probability = slow_probability(trusted)
+    rows = [(1, "abc ab"), (2, "zzzé"), (3, ""), (4, None), (5, "cab" * 400)]
+    scored, bits_col, bytes_col = quality.score(docs(rows), shards)
+    for r in scored.collect():
+        b = quality.PAD + (r["text"] or "").encode()
+        want = -sum(math.log2(probability(b, i)) for i in range(3, len(b)))
+        assert r[bytes_col] == len(b) - 3
+        assert r[bits_col] == pytest.approx(want, rel=1e-4, abs=1e-4)
+
+
+def test_judging(spark, docs, prose):
+    good = [(i, prose(60, i), "en" if i % 2 else "de") for i in range(300)]
+    bad = [(1000 + i, "%%% ### @@ " * 40, "en") for i in range(20)]
+    odd = [(2000, None, "en"), (2001, "", None), (2002, prose(60, 5), None), (2003, prose(60, 6), "xx"), (None, prose(60, 7), "en"), (3, prose(60, 3), "en")]
+    table = docs(good + bad + odd)
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(200)] + [(1000, 0, 0), (1001, 1, 1), (7, 0, 0), (8, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    found, names = quality.judge(table, labels)
+    rows = found.collect()
+    assert len(rows) == len(good + bad + odd)
+    verdict = {r["doc_id"]: r[names["accepted"]] for r in rows}
+    assert sum(verdict[i] for i, *_ in good) >= 295 and not any(verdict[i] for i, *_ in bad)
+    assert [verdict[i] for i in (2000, 2001, 2002, 2003, None)] == [False, False, True, True, True]
+    left = quality.accepted_only(table, labels)
+    assert left.columns == table.columns and left.count() == sum(bool(r[names["accepted"]]) for r in rows)
+    none = spark.createDataFrame([], labels.schema)
+    assert quality.accepted_only(table, none).count() == len(good + bad + odd) - 2
+    assert quality.accepted_only(docs([]), labels).count() == 0
+
+
+WORDS = {"en": "the of and thing over with", "de": "der die und ung ein sch", "fr": "le la les eaux pour que"}
+
+
+def test_language(docs):
+    rng = np.random.default_rng(0)
+    rows = [(i, " ".join(rng.choice(WORDS[lang].split(), 30)), lang) for i, lang in enumerate(["en", "de", "fr"] * 60)]
+    model = language.fit(docs(rows + [(900, "blah", None), (901, None, "en"), (902, "123", "de")]))
+    assert set(model.languages) == {"en", "de", "fr"}
+    tests = [(1, "the thing over", None), (2, "der die ung", None), (3, "les eaux pour", None), (4, None), (5, ""), (6, "123 ..."),
+             (7, "中文"), (None, "le la"), (1, "the thing over"), (8, "und der " * 20_000)]
+    found = {(r["id"], r["nearest"]) for r in language.predict(docs(tests), model).collect()}
+    assert {(1, "en"), (2, "de"), (3, "fr"), (4, "und"), (5, "und"), (6, "und"), (None, "fr"), (8, "de")} <= found
+    rejected = {r["id"]: r["lang"] for r in language.predict(docs(tests), model).collect()}
+    assert rejected[7] == "und"
+    assert {r["nearest"] for r in language.predict(docs(tests), language.fit(docs([]))).collect()} == {"und"}
+    assert all(0 <= r["score"] <= 1 for r in language.predict(docs(tests), model).collect())
