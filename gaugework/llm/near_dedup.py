@@ -3,7 +3,8 @@
 A text's set is its distinct five-word shingles (words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z;
 fewer words count as one shingle). A hash places each shingle in one of 128 buckets; a bucket keeps the
 leading zeros of its smallest hash and ten bits after them in 16 bits. Four registers form a band;
-32 bands. Two sets of similarity 0.85 share no band with a probability of about 5e-11.
+32 bands. Two sets of similarity 0.85 share no band with a probability of about 5e-11. Registers of
+1024 buckets, folded to four bits each, compare the pairs that share a band.
 
 Texts with equal sets are one node. Links are found without making the pairs of a bucket:
 
@@ -13,9 +14,10 @@ Texts with equal sets are one node. Links are found without making the pairs of
    size inside tasks, and only pairs of different components whose registers allow a link come out;
    these are verified on full sets as well.
 
-Registers rule a pair out by the sizes of the sets; by the mismatching registers, each of which proves a shingle
-that is in one set only; and by the Jaccard estimate, corrected for chance collisions of
-registers, if it is more than 5.5 standard deviations below the threshold.
+A pair is ruled out by the sizes of the sets; by the mismatching registers, each of which proves a
+shingle that is in one set only; and by the Jaccard estimate, corrected for chance collisions of
+folded registers, if it is more than 5.5 standard deviations below the threshold. The first two are
+exact, and with a few hundred shingles they alone rule out nearly every pair that is no link.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing.
 Repeated rows are members of one node. Null ids take part and never become a component's id while
@@ -45,6 +47,10 @@ BANDS = BUCKETS // BAND
 PERCENT = 85
 DEVIATIONS = 5.5
 BLOCK = 1024
+FINE_BITS = 10
+FINE = 1 << FINE_BITS
+#: Values of a folded register besides 0 for an empty bucket.
+FOLD = 15
 MAX_BROADCAST_IDS = 500_000
 
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -75,12 +81,12 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def registers(found: np.ndarray) -> np.ndarray:
+def registers(found: np.ndarray, bits: int = BUCKET_BITS) -> np.ndarray:
     """HyperMinHash registers of a sorted set: (leading zeros + 1) and mantissa of each bucket's minimum; 0 if empty."""
-    out = np.zeros(BUCKETS, dtype=np.uint16)
+    out = np.zeros(1 << bits, dtype=np.uint16)
     if len(found):
-        bucket, first = np.unique(found >> np.uint64(64 - BUCKET_BITS), return_index=True)
-        low = (found[first] << np.uint64(BUCKET_BITS)) | np.uint64(1 << (BUCKET_BITS - 1))  # never zero
+        bucket, first = np.unique(found >> np.uint64(64 - bits), return_index=True)
+        low = (found[first] << np.uint64(bits)) | np.uint64(1 << (bits - 1))  # never zero
         length = np.floor(np.log2(low.astype(np.float64))).astype(np.int64)
         length -= (low >> length.clip(0, 63).astype(np.uint64)) == 0  # a float may round up to the next power
         mantissa = np.where(length >= MANTISSA_BITS, low >> (length - MANTISSA_BITS).clip(0).astype(np.uint64),
@@ -90,22 +96,25 @@ def registers(found: np.ndarray) -> np.ndarray:
     return out
 
 
-def expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Registers that two disjoint sets of these sizes are expected to share by chance (published approximation)."""
-    ratio = np.maximum(n, m) / np.maximum(np.minimum(n, m), 1)
-    return 0.169919487159739093975315012348 * 2.0 ** (BUCKET_BITS - MANTISSA_BITS) * 4 * ratio / (1 + ratio) ** 2
+def folded(found: np.ndarray) -> np.ndarray:
+    """The registers of 1024 buckets in four bits each, two to a byte; 0 only for an empty bucket."""
+    r = registers(found, FINE_BITS)
+    four = np.where(r > 0, r % FOLD + 1, 0).astype(np.uint8)
+    return four[0::2] | (four[1::2] << 4)
 
 
 def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Which rows of registers ``a`` (set sizes ``n``) and ``b`` (sizes ``m``) can belong to linked sets."""
+    """Which rows of folded registers ``a`` (set sizes ``n``) and ``b`` (sizes ``m``) can belong to linked sets."""
     keep = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
-    different = (a != b).sum(axis=-1)
+    apart, either = a ^ b, a | b
+    different = np.count_nonzero(apart & 15, axis=-1) + np.count_nonzero(apart >> 4, axis=-1)
     # every mismatch is an element of one set only: with s of them, similarity <= (n + m - s) / (n + m + s)
     keep &= 100 * (n + m - different) >= PERCENT * (n + m + different)
-    used = ((a | b) != 0).sum(axis=-1)
-    estimate = (used - different - expected_collisions(n, m)) / np.maximum(used, 1)
+    used = np.maximum(np.count_nonzero(either & 15, axis=-1) + np.count_nonzero(either >> 4, axis=-1), 1)
+    # one in FOLD of the registers that differ collides by chance
+    estimate = 1 - different * FOLD / (FOLD - 1) / used
     limit = PERCENT / 100
-    return keep & (estimate >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)))
+    return keep & (estimate >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / used))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -114,10 +123,10 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, digest, n, a, b, registers): a and b are a 128-bit hash of the whole set."""
+    """(id, digest, n, a, b, registers, fine): a and b are a 128-bit hash of the whole set."""
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
     kind = arrow_type(named, "id")
-    names = ["id", "digest", "n", "a", "b", "registers"]
+    names = ["id", "digest", "n", "a", "b", "registers", "fine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -126,10 +135,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 part.column("id"), part.column("digest"), pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()),
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+                pa.array([folded(s).tobytes() for s in sets], pa.binary()),
             ], names=names)
 
     long = T.LongType()
-    out = T.StructType([named.schema["id"], *(T.StructField(c, long) for c in names[1:5]), T.StructField("registers", T.BinaryType())])
+    out = T.StructType([named.schema["id"], *(T.StructField(c, long) for c in names[1:5]), T.StructField("registers", T.BinaryType()),
+                        T.StructField("fine", T.BinaryType())])
     assert kind is not None
     return named.mapInArrow(run, out)
 
@@ -142,18 +153,20 @@ def band_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(keys).alias("key"), "node").filter("key IS NOT NULL")
 
 
-def _with_registers(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    for side in ("x", "y"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}")), side)
-    return pairs
-
-
 def _table(column: pa.Array) -> np.ndarray:
-    """Registers of a column of binaries, one row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+    """Folded registers of a column of binaries, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, FINE // 2)
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (x, y) that may be links: sizes first, so that fewer rows carry registers."""
+    for side in ("x", "y"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
+    low, high = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
+    pairs = pairs.filter(100 * low >= PERCENT * high)
+    for side in ("x", "y"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("fine").alias(f"r_{side}")), side)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -161,7 +174,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep = may_link(_table(batch.column("r_x")), n, _table(batch.column("r_y")), m)
                 yield batch.select(["x", "y"]).filter(pa.array(keep))
 
-    return _with_registers(pairs, nodes).mapInArrow(run, "x long, y long")
+    return pairs.select("x", "y", "n_x", "n_y", "r_x", "r_y").mapInArrow(run, "x long, y long")
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -201,7 +214,7 @@ def _across(members: DataFrame) -> DataFrame:
     mixed = mixed.filter("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "registers")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "fine")
     keys = ["key", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +223,7 @@ def _across(members: DataFrame) -> DataFrame:
                 continue
             order = np.argsort(group.column("own").to_numpy(), kind="stable")
             own, node, label, n = (group.column(c).to_numpy()[order] for c in ("own", "node", "label", "n"))
-            table = _table(group.column("registers"))[order]
+            table = _table(group.column("fine"))[order]
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             first = np.arange(len(own)) if i == j else np.flatnonzero(own == i)
             start = None if i == j else len(first)
@@ -232,7 +245,7 @@ def _across(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, digest (of the text), n_shingles, component_id (smallest id reachable by links)."""
     rows = written(sketch(docs, id_col, text_col), "near-sketches")
-    nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers").agg(F.min("id").alias("first_id"))
+    nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers", "fine").agg(F.min("id").alias("first_id"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     keys = band_keys(nodes)
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -241,8 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = written(_possible(stars, nodes), "near-stars")
     links = verify(stars, nodes, docs, id_col, text_col)
     labels = connected_components(links)
-    named = members.join(labels, "node", "left").join(nodes.select("node", "n", "registers"), "node").select(
-        "key", "node", "n", "registers", F.coalesce("label", "node").alias("label"))
+    named = members.join(labels, "node", "left").join(nodes.select("node", "n", "fine"), "node").select(
+        "key", "node", "n", "fine", F.coalesce("label", "node").alias("label"))
     more = written(_across(named).join(stars, ["x", "y"], "left_anti"), "near-more")
     if not more.isEmpty():
         found = verify(more, nodes, docs, id_col, text_col)

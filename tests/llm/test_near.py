@@ -83,12 +83,21 @@ def test_registers():
     shared = rng.integers(0, 2**63, 4000, dtype=np.uint64) * np.uint64(2)
     a, b = np.unique(shared[:3000]), np.unique(shared[500:])
     x, y = near_dedup.registers(a), near_dedup.registers(b)
-    used = ((x | y) != 0).sum()
-    estimate = ((x == y).sum() - near_dedup.expected_collisions(len(a), len(b))) / used
+    estimate = ((x == y) & (x != 0)).sum() / ((x | y) != 0).sum()
     assert abs(estimate - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 0.15
     low = np.array([0, 1, 2**56 - 1, 2**57 - 1], dtype=np.uint64)
     assert (near_dedup.registers(low)[0] != 0) and (near_dedup.registers(np.zeros(0, np.uint64)) == 0).all()
-    assert near_dedup.may_link(x[None, :], np.array([len(a)]), x[None, :], np.array([len(a)]))[0]
+    one, size = near_dedup.folded(a)[None, :], np.array([len(a)])
+    assert near_dedup.may_link(one, size, one, size)[0]
+    for share in (0.5, 0.8, 0.86, 0.95):  # never rules out a link
+        for n in (20, 300, 5000):
+            pool = np.unique(rng.integers(0, 2**64 - 1, 2 * n, dtype=np.uint64))
+            both = int(share * n)
+            x = np.sort(rng.permutation(pool)[:n])
+            y = np.sort(np.concatenate((rng.permutation(x)[:both], rng.permutation(np.setdiff1d(pool, x))[:n - both])))
+            found = near_dedup.may_link(near_dedup.folded(x)[None], np.array([n]), near_dedup.folded(y)[None], np.array([len(y)]))[0]
+            assert found or not near_dedup.linked(x, y)
+            assert not found or share > 0.5
 
 
 def test_components(spark):
