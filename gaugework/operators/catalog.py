@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gaugework.operators.reshape import parameters_text
 
@@ -51,7 +51,11 @@ FOREST_200 = ("RANDOM_FOREST", "v3", (
     ("RF_NUM_TREES", "200"), ("RF_MAX_DEPTH", "5"), ("RF_SAMPLING_RATIO", "1.0"),
 ))
 
-# What each setting name means here, and the type or the allowed values.
+#: Every set has one id, whatever part of the catalog a caller passes on.
+_IDS = {(a, v): i for i, (a, v, _) in enumerate([*CATALOG, LOGISTIC_50, LOGISTIC_100, LOGISTIC_200, FOREST_200], start=1)}
+
+# What each setting name means here, and the type or the allowed values. All but
+# FOURIER_FEATURES, the size of the kernel's approximation, occur in the catalog.
 _SETTINGS = {
     "ALGO_NAME": ("algo_name", {
         "ALGO_DECISION_TREE": "DECISION_TREE",
@@ -67,6 +71,7 @@ _SETTINGS = {
     "RF_SAMPLING_RATIO": ("subsampling_rate", float),
     "SVMS_COMPLEXITY_FACTOR": ("complexity", float),
     "SVMS_KERNEL_FUNCTION": ("kernel", {"SVMS_LINEAR": "linear", "SVMS_GAUSSIAN": "gaussian"}),
+    "FOURIER_FEATURES": ("fourier_features", int),
     "MAX_ITERATIONS": ("max_iter", int),
     "L2_REG": ("l2_reg", float),
     "SOLVER": ("solver", {"lbfgs": "lbfgs"}),
@@ -104,8 +109,10 @@ class ParameterSet:
 
 
 def parameter_sets(catalog: Sequence = CATALOG) -> list[ParameterSet]:
-    """The catalog in order, with ids 1..n."""
-    return [ParameterSet(i, a, v, dict(s)) for i, (a, v, s) in enumerate(catalog, start=1)]
+    """The sets of ``catalog`` with their fixed ids; sets of the caller's own follow after those."""
+    own = [(a, v) for a, v, _ in catalog if (a, v) not in _IDS]
+    ids = _IDS | {name: len(_IDS) + i for i, name in enumerate(own, start=1)}
+    return [ParameterSet(ids[a, v], a, v, dict(s)) for a, v, s in catalog]
 
 
 def sets_frame(spark: SparkSession, catalog: Sequence = CATALOG) -> DataFrame:
@@ -154,9 +161,10 @@ def model_specs(
         )
         for i, p in enumerate(ordered, start=1)
     ])
+    # one row per fold and set, so numbering them in one task is small
+    number = F.row_number().over(Window.orderBy("fold_id", "place")).cast("bigint")
     return folds_present.select("fold_id", F.inline(lines)).select(
-        ((F.col("fold_id").cast("bigint") - 1) * len(ordered) + F.col("place")).alias("spec_no"),
-        model_name(prefix).alias("model_name"),
+        number.alias("spec_no"), model_name(prefix).alias("model_name"),
         "fold_id", "parameter_set_id", "algorithm", "version_tag", "hyperparameters",
     )
 

@@ -7,6 +7,7 @@ so the fold number and the id never become features.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -16,22 +17,28 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugework.operators import svm
 
 FEATURES = "features"
 TARGET = "target"
-MAX_LABELS = 1000
 
 
 def labels_of(df: DataFrame, label: str = "label") -> list[str]:
-    """The distinct labels in alphabetical order, checked against :data:`MAX_LABELS`."""
-    found = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_LABELS + 1)
-    labels = sorted(r[0] for r in found.collect())
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} distinct labels: not a classification target")
-    return labels
+    """The distinct labels in alphabetical order: part of the model, and as large as the model's classes."""
+    found = df.select(label).filter(F.col(label).isNotNull()).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
+def usable(features: Sequence[str], label: str = "label") -> Column:
+    """True where a row can be trained on: every feature is a finite number and the label is known."""
+    return trainable_features(features) & F.col(label).isNotNull()
+
+
+def trainable_features(features: Sequence[str]) -> Column:
+    finite = [F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False)) for c in features]
+    return reduce(lambda a, b: a & b, finite)
 
 
 def prepare(
@@ -52,8 +59,8 @@ def prepare(
     return ready.repartition(key).sortWithinPartitions(key)
 
 
-def build(algorithm: str, settings: dict, seed: int = 42) -> Pipeline:
-    """The unfitted pipeline for typed ``settings`` (see ``catalog.typed_settings``)."""
+def build(algorithm: str, settings: dict, rows: int, seed: int = 42) -> Pipeline:
+    """The unfitted pipeline for typed ``settings`` (see ``catalog.typed_settings``) and ``rows`` training rows."""
     if algorithm == "DECISION_TREE":
         stages = [DecisionTreeClassifier(
             featuresCol=FEATURES, labelCol=TARGET, seed=seed,
@@ -66,10 +73,14 @@ def build(algorithm: str, settings: dict, seed: int = 42) -> Pipeline:
             subsamplingRate=settings.get("subsampling_rate", 1.0),
         )]
     elif algorithm == "LOGISTIC_REGRESSION":
-        # Spark's penalty is regParam on the mean loss; the catalog's plain "0.1" is taken as it.
+        # Spark's penalty is regParam on the mean loss. The catalog's plain "0.1" is taken as it. With a
+        # named solver the penalty is that library's default, C = 1 on the summed loss and unscaled
+        # features. Spark minimises smooth penalties with L-BFGS, the only solver the catalog knows.
+        named = settings.get("solver") == "lbfgs"
         stages = [LogisticRegression(
-            featuresCol=FEATURES, labelCol=TARGET, family="multinomial",
-            maxIter=settings["max_iter"], regParam=settings.get("l2_reg", 0.0), elasticNetParam=0.0,
+            featuresCol=FEATURES, labelCol=TARGET, family="multinomial", maxIter=settings["max_iter"],
+            regParam=1.0 / max(rows, 1) if named else settings.get("l2_reg", 0.0),
+            standardization=not named, elasticNetParam=0.0,
         )]
     else:
         raise ValueError(f"unknown algorithm {algorithm}")
@@ -84,7 +95,8 @@ def train_machines(
     The machines of all folds are trained together. Fitting the pipeline turns margins into
     probabilities by a logistic fit, a joint multi-class form of Platt (1999).
     """
-    kernels = svm.fold_kernels(ready, features, settings["kernel"] == "gaussian", seed)
+    kernels = svm.fold_kernels(ready, features, settings["kernel"] == "gaussian", seed,
+                               settings.get("fourier_features", svm.FOURIER_FEATURES))
     weights = svm.fit(ready, features, classes, settings["complexity"], kernels)
     calibration = LogisticRegression(
         featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=20,

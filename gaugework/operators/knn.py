@@ -125,7 +125,6 @@ def _search(base, features, k, cell_rows, fanout, hot_rows):
         base.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k)
     )
     points, depth = _grow_cells(points, d, cell_rows, fanout)
-    points = materialise(points)
 
     own = materialise(_own_radius(points, d, k))
     found = _within_radius(points, own, d, k, depth)
@@ -165,6 +164,7 @@ def _grow_cells(points, d, cell_rows, fanout):
             .withColumn("level", F.when(split, level + 1).otherwise(F.col("level")))
             .drop("dim", "cuts", "value", "child")
         )
+        points = materialise(points)  # else every further level would repeat this one's join
         level += 1
 
 
@@ -338,7 +338,8 @@ def _owners(base, points, d, k, hot_rows):
     """
     keys = [*_names(d), "fold"]
     reps = points.filter(F.col("copy") == 1).select(F.col("id").alias("rep"), *keys)
-    if points.filter(F.col("copy") > 1).isEmpty():
+    # ``points`` holds at most k copies, so at k = 1 it cannot tell whether there were more
+    if k > 1 and points.filter(F.col("copy") > 1).isEmpty():
         return points.select(F.col("id").alias("rep"), "id", "fold", "label")
     if points.filter(F.col("copy") == k).isEmpty():
         return base.join(reps, keys).select("rep", "id", "fold", "label")

@@ -8,6 +8,7 @@ columns as ``by``; nothing loops over models.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -52,25 +53,26 @@ def per_class_counts(
 ) -> DataFrame:
     """(by, class_label, tp, actual_total, predicted_total) from a confusion matrix.
 
-    The classes are those that occur as actual label, or the fixed list ``macro_over``.
+    The classes are those that occur as actual label, or the fixed list ``macro_over``. Each cell
+    counts for the class it is of and the class it was taken for, in one aggregate.
     """
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("cnt")).otherwise(0)
-    of_actual = matrix.groupBy(*by, F.col("actual").alias("class_label")).agg(
-        F.sum(hit).alias("tp"), F.sum("cnt").alias("actual_total")
+    nothing = F.lit(0).cast("bigint")
+    cnt = F.col("cnt")
+
+    def line(label, tp, actual, predicted):
+        return F.struct(label.alias("class_label"), tp.alias("tp"), actual.alias("actual_total"),
+                        predicted.alias("predicted_total"))
+
+    hit = F.when(F.col("actual") == F.col("predicted"), cnt).otherwise(nothing)
+    lines = [line(F.col("actual"), hit, cnt, nothing), line(F.col("predicted"), nothing, nothing, cnt)]
+    for label in macro_over or ():
+        lines.append(line(F.lit(label), nothing, nothing, nothing))
+    counts = matrix.select(*by, F.inline(F.array(*lines))).groupBy(*by, "class_label").agg(
+        *[F.sum(c).alias(c) for c in ("tp", "actual_total", "predicted_total")]
     )
-    of_predicted = matrix.groupBy(*by, F.col("predicted").alias("class_label")).agg(
-        F.sum("cnt").alias("predicted_total")
-    )
-    keys = [*by, "class_label"]
     if macro_over is None:
-        return of_actual.join(of_predicted, keys, "left")
-    classes = matrix.groupBy(*by).agg(
-        F.array(*[F.lit(c) for c in macro_over]).alias("c")
-    ).select(*by, F.explode("c").alias("class_label"))
-    return (
-        classes.join(of_actual, keys, "left").join(of_predicted, keys, "left")
-        .fillna(0, ["tp", "actual_total", "predicted_total"])
-    )
+        return counts.filter("actual_total > 0")
+    return counts.filter(F.col("class_label").isin(list(macro_over)))
 
 
 def macro_scores(
@@ -84,7 +86,7 @@ def macro_scores(
     tp = F.col("tp")
     precision = ratio_or_zero(tp, F.col("predicted_total"))
     recall = ratio_or_zero(tp, F.col("actual_total"))
-    f1 = ratio_or_zero(2 * tp, F.coalesce("predicted_total", F.lit(0)) + F.col("actual_total"))
+    f1 = ratio_or_zero(2 * tp, F.col("predicted_total") + F.col("actual_total"))
     p, r = F.col("precision_macro"), F.col("recall_macro")
     return per_class_counts(matrix, by, macro_over).groupBy(*by).agg(
         F.avg(precision).alias("precision_macro"),
@@ -207,10 +209,12 @@ def evaluate(
 ) -> DataFrame:
     """All metrics of all models and folds, one row per group (the wide metrics form).
 
-    Two passes over the scored table: one for the confusion matrix with the summed loss per
-    cell, from which accuracy, macro scores and log loss follow, and one for the ranking.
+    The scored table is read once, into narrow rows; of these one pass gives the confusion matrix with
+    the summed loss per cell, from which accuracy, macro scores and log loss follow, and one the
+    ranking. Groups with a NULL key part are groups.
     """
     keys = list(by)
+    scored = materialise(scored.select(*dict.fromkeys([*by, key, "actual", "predicted", "probs"])))
     loss = log_loss_term(prob_of(F.col("probs"), F.col("actual")))
     matrix = materialise(scored.groupBy(*by, "actual", "predicted").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(loss).alias("loss")
@@ -222,9 +226,13 @@ def evaluate(
         ratio(F.sum("loss"), F.sum("cnt")).alias("log_loss"),
     )
     ranked = rank_scores(scored, positive, by, key)
-    return (
-        totals
-        .join(macro_scores(matrix, by, macro_over), keys)
-        .join(roc_auc(ranked, by).select(*by, "roc_auc"), keys)
-        .join(top_bucket_lift(lift_table(ranked, by), by), keys)
-    )
+    parts = [macro_scores(matrix, by, macro_over), roc_auc(ranked, by).select(*by, "roc_auc"),
+             top_bucket_lift(lift_table(ranked, by), by)]
+    return reduce(lambda a, b: same_group(a, b, keys), parts, totals)
+
+
+def same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on the grouping columns in which NULL is a value like any other."""
+    renamed = right.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_{c}"]) for c in by])
+    return left.join(renamed, same).drop(*[f"_{c}" for c in by])

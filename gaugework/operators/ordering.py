@@ -27,11 +27,12 @@ def hashed_rank(
     The hash is uniform, so its leading hex digits cut every group, also one that holds
     most of the table, into equal buckets in rank order. Bucket totals (at most
     16**hex_digits per group) give each bucket's starting rank; the row-level window then
-    runs per bucket. The table is shuffled once, and no sampling or checkpoint is needed.
+    runs per bucket. The rows are shuffled once, and no sampling or checkpoint is needed. Rows
+    without a key come first.
     """
     group = F.struct(*by) if by else F.lit(0)
     keyed = (
-        df.withColumn("_hash", hash_order(seed, F.col(key)))
+        df.withColumn("_hash", F.coalesce(hash_order(seed, F.col(key)), F.lit("")))
         .withColumn("_bucket", F.substring("_hash", 1, hex_digits))
         .withColumn("_group", group)
     )

@@ -3,8 +3,9 @@
 Fitting one machine per fold and class is a separate optimisation each, with its own passes
 over the data. Here all of them advance together: one pass of a Newton iteration on the
 squared hinge loss (Chapelle, "Training a support vector machine in the primal", 2007) sums,
-for every fold and class, the small matrices the next step needs. At most ``max_passes`` passes
-train everything; the embeddings test table took three to five. Partial sums of a task are one row; they are added up in a tree.
+for every fold and class, the small matrices the next step needs, and passes go on until every
+machine has converged. Tasks send one row per machine; these are added up by machine in the
+executors, where the next step is solved as well. Only weights and losses reach the driver.
 
 The Gaussian kernel is approximated by random Fourier features (Rahimi and Recht, 2007).
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FOURIER_FEATURES = 64
-# Doubles per task and pass; more classes than fit are trained in blocks.
+# Doubles that a task sums at a time; machines beyond that take their turn in further passes.
 PARTIAL_SIZE = 4_000_000
+# Partial sums of one machine are first added in this many groups.
+SPREAD = 16
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ class Kernel:
 
 
 def fold_kernels(
-    ready: DataFrame, features: Sequence[str], gaussian: bool, seed: int
+    ready: DataFrame, features: Sequence[str], gaussian: bool, seed: int, fourier: int = FOURIER_FEATURES
 ) -> dict[int, Kernel]:
     """Per held-out fold: standardisation from the other folds' rows, in one aggregate.
 
@@ -64,8 +67,8 @@ def fold_kernels(
     weights = shifts = None
     if gaussian:
         rng = np.random.default_rng(seed)
-        weights = rng.normal(0.0, np.sqrt(2.0 / d), size=(FOURIER_FEATURES, d))
-        shifts = rng.uniform(0.0, 2.0 * np.pi, size=FOURIER_FEATURES)
+        weights = rng.normal(0.0, np.sqrt(2.0 / d), size=(fourier, d))
+        shifts = rng.uniform(0.0, 2.0 * np.pi, size=fourier)
     kernels = {}
     for held in n:
         train = [f for f in n if f != held]
@@ -82,88 +85,94 @@ def fit(
     classes: int,
     complexity: float,
     kernels: dict[int, Kernel],
-    max_passes: int = 12,
     tolerance: float = 1e-4,
 ) -> dict[int, np.ndarray]:
     """Per held-out fold a (classes, inputs + 1) weight matrix; the last column is the bias.
 
-    Minimises 0.5 |w|^2 + complexity * sum(max(0, 1 - y f(x))^2) for every fold and class.
+    Minimises 0.5 |w|^2 + complexity * sum(max(0, 1 - y f(x))^2) for every fold and class. Each pass
+    of a machine lowers its objective by more than ``tolerance``, or halves its step, or ends it, so
+    all machines converge.
     """
-    width = FOURIER_FEATURES + 1 if next(iter(kernels.values())).weights is not None else len(features) + 1
-    per_class = len(kernels) * width * (width + 2)
-    block = max(1, PARTIAL_SIZE // per_class)
-    parts = [
-        _fit_block(ready, features, range(i, min(i + block, classes)), complexity, kernels, width,
-                   max_passes, tolerance)
-        for i in range(0, classes, block)
-    ]
-    return {f: np.vstack([p[f] for p in parts]) for f in kernels}
-
-
-def _fit_block(ready, features, classes, complexity, kernels, width, max_passes, tolerance):
-    folds = sorted(kernels)
-    shape = (len(folds), len(classes))
-    ridge = np.diag([1.0] * (width - 1) + [1e-8])
-    best = np.zeros((*shape, width))
-    best_loss = np.full(shape, np.inf)
-    trial = best.copy()
-    done = np.zeros(shape, bool)
-    for _ in range(max_passes):
-        outer, cross, losses = _sums(ready, features, classes, kernels, folds, trial, width)
-        objective = 0.5 * (trial[..., :-1] ** 2).sum(-1) + complexity * losses
-        better = objective < best_loss
-        gain = np.where(better, best_loss - objective, 0.0)
-        # A step that made things worse is halved; one that barely helps ends the machine.
-        done |= better & (gain < tolerance * np.abs(objective))
-        for i, j in np.ndindex(shape):
-            if better[i, j]:
-                best[i, j], best_loss[i, j] = trial[i, j], objective[i, j]
-                if not done[i, j]:
-                    trial[i, j] = np.linalg.solve(
-                        ridge + 2 * complexity * outer[i, j], 2 * complexity * cross[i, j]
-                    )
-            elif not done[i, j]:
-                if np.abs(trial[i, j] - best[i, j]).max() < 1e-9:
-                    done[i, j] = True
-                trial[i, j] = (trial[i, j] + best[i, j]) / 2
-        if done.all():
-            break
-    return {f: best[i] for i, f in enumerate(folds)}
-
-
-def _sums(ready, features, classes, kernels, folds, weights, width):
-    """Over the rows inside the margin: sum x x', sum y x, and the summed squared hinge."""
-    names = list(features)
-    shape = (len(folds), len(classes))
-    low = classes[0]
+    first = next(iter(kernels.values()))
+    width = (len(features) if first.weights is None else len(first.shifts)) + 1
+    machines = [(f, c) for f in sorted(kernels) for c in range(classes)]
+    step = max(1, PARTIAL_SIZE // (width * (width + 2)))
+    weights = {f: np.zeros((classes, width)) for f in kernels}
+    for i in range(0, len(machines), step):
+        part = machines[i:i + step]
+        for (f, c), w in zip(part, _fit_machines(ready, features, part, complexity, kernels, width, tolerance)):
+            weights[f][c] = w
+    return weights
+
+
+def _fit_machines(ready, features, machines, complexity, kernels, width, tolerance):
+    n = len(machines)
+    best, best_loss = np.zeros((n, width)), np.full(n, np.inf)
+    trial, done = best.copy(), np.zeros(n, bool)
+    while not done.all():
+        todo = np.flatnonzero(~done)
+        losses, steps = _pass(ready, features, [machines[i] for i in todo], complexity, kernels, trial[todo], width)
+        for at, i in enumerate(todo):
+            objective = 0.5 * (trial[i, :-1] ** 2).sum() + complexity * losses[at]
+            if objective < best_loss[i]:
+                # one that barely helped ends the machine
+                done[i] = best_loss[i] - objective < tolerance * abs(objective)
+                best[i], best_loss[i], trial[i] = trial[i], objective, steps[at]
+            else:
+                # a step that made things worse is halved
+                done[i] = np.abs(trial[i] - best[i]).max() < 1e-9
+                trial[i] = (trial[i] + best[i]) / 2
+    return best
+
+
+def _pass(ready, features, machines, complexity, kernels, weights, width):
+    """Per machine the summed squared hinge and the next Newton step, from one pass over the rows."""
+    names, square = list(features), width * width
+    folds = sorted({f for f, _ in machines})
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        outer = np.zeros((*shape, width, width))
-        cross = np.zeros((*shape, width))
-        loss = np.zeros(shape)
+        sums = np.zeros((len(machines), square + width + 1))
         for batch in batches:
             x = batch[names].to_numpy(float)
             target, fold = batch["target"].to_numpy(int), batch["fold_id"].to_numpy(int)
-            for i, held in enumerate(folds):
+            for held in folds:
                 train = fold != held
-                z = kernels[held].inputs(x[train])
-                y = np.where(target[train][:, None] == np.arange(low, low + shape[1]), 1.0, -1.0)
-                slack = np.maximum(0.0, 1.0 - y * (z @ weights[i].T))
-                loss[i] += (slack ** 2).sum(0)
-                for j in range(shape[1]):
-                    inside = slack[:, j] > 0
+                z, own = kernels[held].inputs(x[train]), target[train]
+                for at, (f, c) in enumerate(machines):
+                    if f != held:
+                        continue
+                    y = np.where(own == c, 1.0, -1.0)
+                    slack = np.maximum(0.0, 1.0 - y * (z @ weights[at]))
+                    inside = slack > 0
                     zi = z[inside]
-                    outer[i, j] += zi.T @ zi
-                    cross[i, j] += y[inside, j] @ zi
-        flat = np.concatenate([outer.ravel(), cross.ravel(), loss.ravel()])
-        yield pd.DataFrame({"part": [flat.tobytes()]})
-
-    partials = ready.select("fold_id", "target", *names).mapInPandas(partial, "part binary")
-    # DataFrames have no tree reduction; this is one small row per task.
-    total = partials.rdd.map(lambda r: np.frombuffer(r["part"])).treeReduce(np.add, depth=2)
-    cells = shape[0] * shape[1]
-    outer, cross, loss = np.split(total, [cells * width * width, cells * width * (width + 1)])
-    return outer.reshape(*shape, width, width), cross.reshape(*shape, width), loss.reshape(shape)
+                    sums[at, :square] += (zi.T @ zi).ravel()
+                    sums[at, square:-1] += y[inside] @ zi
+                    sums[at, -1] += (slack ** 2).sum()
+        salt = TaskContext.get().partitionId() % SPREAD
+        yield pd.DataFrame({"machine": range(len(machines)), "salt": salt, "part": [r.tobytes() for r in sums]})
+
+    def total(parts) -> np.ndarray:
+        out = np.zeros(square + width + 1)
+        for p in parts:
+            out += np.frombuffer(p)
+        return out
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"machine": [group["machine"].iloc[0]], "part": [total(group["part"]).tobytes()]})
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        sums = total(group["part"])
+        ridge = np.diag([1.0] * (width - 1) + [1e-8])
+        step = np.linalg.solve(ridge + 2 * complexity * sums[:square].reshape(width, width), 2 * complexity * sums[square:-1])
+        return pd.DataFrame({"machine": [group["machine"].iloc[0]], "loss": [sums[-1]], "step": [step.tobytes()]})
+
+    parts = ready.select("fold_id", "target", *names).mapInPandas(partial, "machine int, salt int, part binary")
+    added = parts.groupBy("machine", "salt").applyInPandas(add, "machine int, part binary")
+    rows = added.groupBy("machine").applyInPandas(solve, "machine int, loss double, step binary").collect()
+    losses, steps = np.zeros(len(machines)), np.zeros((len(machines), width))
+    for r in rows:
+        losses[r["machine"]], steps[r["machine"]] = r["loss"], np.frombuffer(r["step"])
+    return losses, steps
 
 
 def margin_stages(features: Sequence[str], kernel: Kernel, weights: np.ndarray, out: str) -> list:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugework.functions.exprs import split_tags
-from gaugework.operators.checks import key_violations, upsert
+from gaugework.operators.checks import key_violations, latest_per_key
 from gaugework.schemas import ML_METRICS, ML_METRICS_KEY, ML_METRICS_LENGTHS
 from gaugework.sources.tables import conform
 
@@ -71,8 +71,14 @@ def from_log(
 
 
 def ingest(existing: DataFrame, rows: DataFrame) -> DataFrame:
-    """The table after adding ``rows``: checked, one row per key, the latest time wins."""
-    return upsert(existing, enforce(rows), ML_METRICS_KEY, [F.col("recorded_at"), F.col("metric_value")])
+    """The table after adding ``rows``: checked, one row per key, the latest time wins.
+
+    A row older than the one in the table does not replace it; one of the same time does.
+    """
+    new = enforce(rows).select(*existing.columns)
+    both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    order = [F.col("recorded_at"), F.col("_new"), F.col("metric_value")]
+    return latest_per_key(both, ML_METRICS_KEY, order).drop("_new")
 
 
 def write_layout(rows: DataFrame, path: str) -> None:

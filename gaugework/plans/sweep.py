@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from gaugework.operators import classifiers, knn
-from gaugework.operators.catalog import ParameterSet
+from gaugework.operators.catalog import ParameterSet, model_name
 from gaugework.operators.folds import check_folds, holdout
 from gaugework.session import materialise
 
@@ -33,15 +33,17 @@ def run_sweep(
     Returns one scored table: (run_id, model_name, fold_id, parameter_set_id, algorithm,
     version_tag, key, features, actual, predicted, probs). The prepared table is cached once
     for all fits; the fits are independent Spark jobs, ``parallelism`` of them at a time
-    (support vector machines of one parameter set train for all folds together). With
+    (support vector machines of one parameter set train for all folds together). Rows without a label
+    or with a missing feature are not trained on and get no prediction. With
     ``model_folder`` each fitted pipeline is saved under ``<folder>/<run>/<model name>``.
     """
     spark = folds.sparkSession
-    labels = classifiers.labels_of(folds, label)
-    ready = classifiers.prepare(
-        folds.filter(F.col("fold_id").isNotNull()), features, labels, key, label
-    ).persist()
-    fold_ids = sorted(r["fold_id"] for r in ready.select("fold_id").distinct().collect())
+    in_folds = folds.filter(F.col("fold_id").isNotNull())
+    labels = classifiers.labels_of(in_folds, label)
+    complete = classifiers.usable(features, label)
+    ready = classifiers.prepare(in_folds.filter(complete), features, labels, key, label).persist()
+    rows = {r["fold_id"]: r["count"] for r in ready.groupBy("fold_id").count().collect()}
+    fold_ids = sorted(rows)
     check_folds(len(fold_ids))
 
     machines = [p for p in sets if p.algorithm == "SVM"]
@@ -56,7 +58,7 @@ def run_sweep(
         if p.algorithm == "SVM":
             estimator = trained[p.parameter_set_id][fold]
         else:
-            estimator = classifiers.build(p.algorithm, p.typed(), seed)
+            estimator = classifiers.build(p.algorithm, p.typed(), sum(rows.values()) - rows[fold], seed)
         model = estimator.fit(train_rows)
         name = f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}"
         if model_folder:
@@ -68,14 +70,28 @@ def run_sweep(
             key, *features, "actual", "predicted", "probs",
         )
 
+    # rows that cannot be scored get a line without a prediction for every set
+    none = F.array(*[
+        F.struct(F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
+                 F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag"))
+        for p in sets
+    ])
+    unscored = in_folds.filter(~complete).select("*", F.inline(none)).select(
+        F.lit(run_id).alias("run_id"), model_name(prefix).alias("model_name"), "fold_id",
+        "parameter_set_id", "algorithm", "version_tag", key,
+        *[F.col(c).cast("double").alias(c) for c in features], F.col(label).alias("actual"),
+        F.lit(None).cast("string").alias("predicted"),
+        F.lit(None).cast("map<string,double>").alias("probs"),
+    )
     on_thread = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(parallelism) as pool:
-        by_set = pool.map(on_thread(train), machines)
-        trained = {p.parameter_set_id: m for p, m in zip(machines, by_set)}
-        parts = list(pool.map(on_thread(fit_and_score), jobs))
-    result = materialise(reduce(DataFrame.unionByName, parts))
-    ready.unpersist()
-    return result
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            by_set = pool.map(on_thread(train), machines)
+            trained = {p.parameter_set_id: m for p, m in zip(machines, by_set)}
+            parts = list(pool.map(on_thread(fit_and_score), jobs))
+        return materialise(reduce(DataFrame.unionByName, [*parts, unscored]))
+    finally:
+        ready.unpersist()
 
 
 def run_knn(

@@ -27,23 +27,42 @@ def instant(text: str) -> Column:
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four features and a label per embedding."""
-    columns = {"id": ("vec_id", "bigint")}
-    columns |= {f: (f"embedding[{i}]", "double") for i, f in enumerate(FEATURES)}
-    columns["label"] = ("label", "string")
-    return load_table(spark, f"{sf_dir}/embeddings.parquet", columns)
+    """The whole vector and the label of every embedding."""
+    return load_table(spark, f"{sf_dir}/embeddings.parquet", {
+        "id": ("vec_id", "bigint"), "features": ("embedding", "array<double>"), "label": ("label", "string"),
+    })
 
 
-def embedding_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_folds(embedding_rows(spark, sf_dir), K, seed=SEED)
+def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four features and the market segment of every customer."""
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"),
+    )
+    return table(spark, sf_dir, "customer").join(orders, "c_custkey", "left").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_acctbal").cast("double").alias("f1"),
+        F.coalesce("n", F.lit(0)).cast("double").alias("f2"),
+        (F.coalesce("top", F.lit(0)) / 100).cast("double").alias("f3"),
+        F.col("c_nationkey").cast("double").alias("f4"),
+        F.col("c_mktsegment").alias("label"),
+    )
+
+
+def customer_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_folds(customer_rows(spark, sf_dir), K, seed=SEED)
+
+
+CUSTOMERS_SQL = """cu AS (
+  SELECT c_custkey AS id, CAST(c_acctbal AS DOUBLE) AS f1, CAST(coalesce(n, 0) AS DOUBLE) AS f2,
+         CAST(coalesce(top, 0) / 100 AS DOUBLE) AS f3, CAST(c_nationkey AS DOUBLE) AS f4, c_mktsegment AS label,
+         ntile(5) OVER (ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)), c_custkey) AS fold_id
+  FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n, max(o_totalprice) AS top
+                           FROM orders GROUP BY o_custkey) USING (c_custkey))"""
 
 
-E4_SQL = """e4 AS (
-  SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS f1, CAST(embedding[2] AS DOUBLE) AS f2,
-         CAST(embedding[3] AS DOUBLE) AS f3, CAST(embedding[4] AS DOUBLE) AS f4,
-         CAST(label AS VARCHAR) AS label,
-         ntile(5) OVER (ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id) AS fold_id
-  FROM embeddings)"""
+def separable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' features with a label that follows from one of them."""
+    return customer_rows(spark, sf_dir).withColumn("label", F.when(F.col("f1") < 4500, "low").otherwise("high"))
 
 
 def event_folds(spark: SparkSession, sf_dir: str) -> DataFrame:

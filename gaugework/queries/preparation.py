@@ -21,12 +21,12 @@ LINE_RANGES = {
 _OUTSIDE_SQL = " OR ".join(f"{c} < {lo!r}e0 OR {c} > {hi!r}e0" for c, (lo, hi) in LINE_RANGES.items())
 
 
-@query("""SELECT CAST(vec_id AS BIGINT) AS id, round(CAST(embedding[1] AS DOUBLE), 6) AS f1,
-       round(CAST(embedding[2] AS DOUBLE), 6) AS f2, round(CAST(embedding[3] AS DOUBLE), 6) AS f3,
-       round(CAST(embedding[4] AS DOUBLE), 6) AS f4, CAST(label AS VARCHAR) AS label
-FROM embeddings""")
+@query("""SELECT vec_id AS id, CAST(label AS VARCHAR) AS label, place, round(CAST(embedding[place] AS DOUBLE), 6) AS value
+FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS place FROM embeddings)""")
 def raw_load(spark, sf_dir):
-    return tidy(embedding_rows(spark, sf_dir))
+    """The typed raw table, all components of every vector, one line each."""
+    rows = embedding_rows(spark, sf_dir)
+    return tidy(rows.select("id", "label", F.posexplode("features").alias("place", "value")).withColumn("place", F.col("place") + 1))
 
 
 @query("""SELECT o_orderkey AS id,

@@ -7,8 +7,8 @@ from gaugework.operators import knn, metrics
 from gaugework.plans.sweep import run_knn
 from gaugework.queries.base import query, table, tidy
 from gaugework.queries.inputs import (
-    BY, BY_SQL, E4_SQL, EVENT_FOLDS_SQL, FEATURES, K, P_PREDICTED_SQL, P_TRUE_SQL, SC_SQL,
-    embedding_folds, event_folds, scored,
+    BY, BY_SQL, CUSTOMERS_SQL, EVENT_FOLDS_SQL, FEATURES, K, P_PREDICTED_SQL, P_TRUE_SQL, SC_SQL,
+    customer_folds, event_folds, scored,
 )
 
 NEIGHBOURS = 5
@@ -36,17 +36,17 @@ SELECT s.id, s.fold_id, s.label AS actual, b.predicted, round(b.confidence, 6) A
 FROM {source} s LEFT JOIN best b ON s.id = b.id"""
 
 
-@query(f"""WITH {E4_SQL}, {_near_sql('e4')}
+@query(f"""WITH {CUSTOMERS_SQL}, {_near_sql('cu')}
 SELECT id, fold_id, rank, b.id AS neighbour_id, b.label AS neighbour_label,
        round(b.distance, 6) AS distance
 FROM near""")
 def knn_neighbours(spark, sf_dir):
-    return tidy(knn.neighbours(embedding_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
+    return tidy(knn.neighbours(customer_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
 
 
-@query(_predict_sql("e4", E4_SQL))
+@query(_predict_sql("cu", CUSTOMERS_SQL))
 def knn_predict(spark, sf_dir):
-    return tidy(knn.predict(embedding_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
+    return tidy(knn.predict(customer_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
 
 
 @query(_predict_sql("ef", EVENT_FOLDS_SQL))
@@ -54,10 +54,10 @@ def knn_predict_events(spark, sf_dir):
     return tidy(knn.predict(event_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
 
 
-@query(f"""WITH {E4_SQL}, {_near_sql('e4')}, {_VOTES_SQL},
+@query(f"""WITH {CUSTOMERS_SQL}, {_near_sql('cu')}, {_VOTES_SQL},
 f AS (
   SELECT fold_id, count(*) AS total, count(*) FILTER (WHERE predicted = label) AS correct
-  FROM e4 LEFT JOIN (SELECT id, predicted FROM best) USING (id) GROUP BY fold_id),
+  FROM cu LEFT JOIN (SELECT id, predicted FROM best) USING (id) GROUP BY fold_id),
 a AS (SELECT fold_id, total, correct / CAST(total AS DOUBLE) AS accuracy FROM f)
 SELECT 'knn_model_fold_' || CAST(fold_id AS VARCHAR) AS model_name, fold_id AS fold_number,
        'accuracy' AS metric_name, round(accuracy, 6) AS metric_value FROM a
@@ -67,7 +67,7 @@ SELECT 'knn_model_fold_' || CAST(fold_id AS VARCHAR), fold_id, 'total_prediction
 UNION ALL
 SELECT 'knn_model_cv', CAST(0 AS BIGINT), 'cv_mean_accuracy', round(avg(accuracy), 6) FROM a""")
 def knn_cv(spark, sf_dir):
-    predicted = run_knn(embedding_folds(spark, sf_dir), FEATURES, NEIGHBOURS, "run-1")
+    predicted = run_knn(customer_folds(spark, sf_dir), FEATURES, NEIGHBOURS, "run-1")
     return tidy(metrics.cross_validation_rows(predicted, "knn_model").drop("run_id"))
 
 
@@ -108,43 +108,41 @@ def struct_extract(spark, sf_dir):
 
 # --- confusion matrix and what follows from it ------------------------------------------
 
-CM_SQL = f"""cm AS (
-  SELECT {BY_SQL}, actual, predicted, count(*) AS cnt FROM sc GROUP BY {BY_SQL}, actual, predicted)"""
-PC_SQL = f"""pa AS (
-  SELECT {BY_SQL}, actual AS class_label,
-         CAST(sum(CASE WHEN actual = predicted THEN cnt ELSE 0 END) AS BIGINT) AS tp,
-         CAST(sum(cnt) AS BIGINT) AS actual_total
-  FROM cm GROUP BY {BY_SQL}, actual),
-pp2 AS (
-  SELECT {BY_SQL}, predicted AS class_label, CAST(sum(cnt) AS BIGINT) AS predicted_total
-  FROM cm GROUP BY {BY_SQL}, predicted),
-pc AS (SELECT * FROM pa LEFT JOIN pp2 USING ({BY_SQL}, class_label))"""
-_MACRO_SELECT = """SELECT {by},
-         avg(CASE WHEN predicted_total > 0 THEN tp / CAST(predicted_total AS DOUBLE) ELSE 0e0 END) AS precision_macro,
-         avg(CASE WHEN actual_total > 0 THEN tp / CAST(actual_total AS DOUBLE) ELSE 0e0 END) AS recall_macro,
-         avg(CASE WHEN tp > 0 THEN 2e0 * tp / (coalesce(predicted_total, 0) + actual_total) ELSE 0e0 END) AS f1_macro_mean
-  FROM {source} GROUP BY {by}"""
-MACRO_SQL = f"""mac AS ({_MACRO_SELECT.format(by=BY_SQL, source='pc')}),
-ma AS (
-  SELECT *, CASE WHEN precision_macro + recall_macro = 0 THEN 0e0
-                 ELSE 2 * precision_macro * recall_macro / (precision_macro + recall_macro) END AS f1_of_macro
-  FROM mac)"""
+
+def _classes_sql(labels: str, only_true: bool) -> str:
+    """Per group and label: rows of it, rows called it, rows of it called it, straight from the scores."""
+    having = "HAVING count(*) FILTER (actual = l) > 0" if only_true else ""
+    return f"""SELECT {BY_SQL}, l AS class_label, count(*) FILTER (actual = l AND predicted = l) AS tp,
+         count(*) FILTER (actual = l) AS actual_total, count(*) FILTER (predicted = l) AS predicted_total
+  FROM sc, (SELECT unnest({labels}) AS l) GROUP BY {BY_SQL}, l {having}"""
+
+
+def _scores_sql(classes: str) -> str:
+    """Macro scores: means of tp / called, tp / true and 2 tp / (called + true), 0 where undefined."""
+    return f"""WITH k AS ({classes}),
+  s AS (SELECT {BY_SQL}, CAST(tp AS DOUBLE) AS tp, actual_total AS t, predicted_total AS c FROM k),
+  a AS (SELECT {BY_SQL}, avg(coalesce(tp / nullif(c, 0), 0)) AS precision_macro,
+               avg(coalesce(tp / nullif(t, 0), 0)) AS recall_macro,
+               avg(coalesce(2 * tp / nullif(c + t, 0), 0)) AS f1_macro_mean FROM s GROUP BY {BY_SQL})
+  SELECT *, coalesce(2 / nullif(1 / nullif(precision_macro, 0) + 1 / nullif(recall_macro, 0), 0), 0) AS f1_of_macro FROM a"""
+
+
+_TRUE_CLASSES = _classes_sql("['F', 'O', 'P']", True)
+MACRO_SQL = f"ma AS ({_scores_sql(_TRUE_CLASSES)})"
 ACC_SQL = f"""ac AS (
   SELECT {BY_SQL}, count(*) FILTER (WHERE predicted = actual) AS correct, count(*) AS total,
          count(*) FILTER (WHERE predicted = actual) / CAST(count(*) AS DOUBLE) AS accuracy
   FROM sc GROUP BY {BY_SQL})"""
 
 
-@query(f"WITH {SC_SQL}, {CM_SQL} SELECT * FROM cm")
+@query(f"WITH {SC_SQL} SELECT {BY_SQL}, actual, predicted, count(*) AS cnt FROM sc GROUP BY ALL")
 def confusion_matrix(spark, sf_dir):
     return tidy(metrics.confusion_matrix(scored(spark, sf_dir), BY))
 
 
-@query(f"""WITH {SC_SQL}, {CM_SQL}, {PC_SQL}
-SELECT {BY_SQL}, class_label, tp, actual_total, coalesce(predicted_total, 0) AS predicted_total FROM pc""")
+@query(f"WITH {SC_SQL} {_TRUE_CLASSES}")
 def per_class_counts(spark, sf_dir):
-    counts = metrics.per_class_counts(metrics.confusion_matrix(scored(spark, sf_dir), BY), BY)
-    return tidy(counts.fillna(0, ["predicted_total"]))
+    return tidy(metrics.per_class_counts(metrics.confusion_matrix(scored(spark, sf_dir), BY), BY))
 
 
 @query(f"WITH {SC_SQL}, {ACC_SQL} SELECT {BY_SQL}, correct, total, round(accuracy, 6) AS accuracy FROM ac")
@@ -157,32 +155,28 @@ def _macro(spark, sf_dir, *columns, macro_over=None):
     return tidy(metrics.macro_scores(matrix, BY, macro_over).select(*BY, *columns))
 
 
-@query(f"""WITH {SC_SQL}, {CM_SQL}, {PC_SQL}, {MACRO_SQL}
+@query(f"""WITH {SC_SQL}, {MACRO_SQL}
 SELECT {BY_SQL}, round(precision_macro, 6) AS precision_macro, round(recall_macro, 6) AS recall_macro FROM ma""")
 def macro_pr(spark, sf_dir):
     return _macro(spark, sf_dir, "precision_macro", "recall_macro")
 
 
-@query(f"""WITH {SC_SQL}, {CM_SQL}, {PC_SQL}, {MACRO_SQL}
+@query(f"""WITH {SC_SQL}, {MACRO_SQL}
 SELECT {BY_SQL}, round(f1_of_macro, 6) AS f1_of_macro FROM ma""")
 def f1_of_macro(spark, sf_dir):
     return _macro(spark, sf_dir, "f1_of_macro")
 
 
-@query(f"""WITH {SC_SQL}, {CM_SQL}, {PC_SQL}, {MACRO_SQL}
+@query(f"""WITH {SC_SQL}, {MACRO_SQL}
 SELECT {BY_SQL}, round(f1_macro_mean, 6) AS f1_macro_mean FROM ma""")
 def f1_macro_mean(spark, sf_dir):
     return _macro(spark, sf_dir, "f1_macro_mean")
 
 
-@query(f"""WITH {SC_SQL}, {CM_SQL}, {PC_SQL},
-g AS (SELECT DISTINCT {BY_SQL} FROM sc),
-fx AS (
-  SELECT {BY_SQL}, l.class_label, coalesce(tp, 0) AS tp, coalesce(actual_total, 0) AS actual_total,
-         coalesce(pp2.predicted_total, 0) AS predicted_total
-  FROM g CROSS JOIN (VALUES ('F'), ('O'), ('P'), ('X')) l(class_label)
-  LEFT JOIN pa USING ({BY_SQL}, class_label) LEFT JOIN pp2 USING ({BY_SQL}, class_label)),
-m AS ({_MACRO_SELECT.format(by=BY_SQL, source='fx')})
+_FIXED_SQL = _scores_sql(_classes_sql("['F', 'O', 'P', 'X']", False))
+
+
+@query(f"""WITH {SC_SQL}, m AS ({_FIXED_SQL})
 SELECT {BY_SQL}, round(precision_macro, 6) AS precision_macro, round(recall_macro, 6) AS recall_macro,
        round(f1_macro_mean, 6) AS f1_macro_mean FROM m""")
 def macro_fixed_labels(spark, sf_dir):

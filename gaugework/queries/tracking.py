@@ -8,18 +8,19 @@ from gaugework.queries.base import query, tidy
 from gaugework.queries.inputs import (
     AS_OF_SQL, BY, BY_SQL, MM_SQL, P_PREDICTED_SQL, SC_SQL, as_of, instant, metric_rows, scored,
 )
-from gaugework.queries.scoring import ACC_SQL, AUC_SQL, CM_SQL, LIFT_SQL, LL_SQL, MACRO_SQL, PC_SQL, TOP_SQL
+from gaugework.queries.scoring import ACC_SQL, AUC_SQL, LIFT_SQL, LL_SQL, MACRO_SQL, TOP_SQL
 from gaugework.schemas import METRICS_LOG, ML_METRICS_KEY
 from gaugework.session import new_table_path
 from gaugework.sources.tables import append_log, conform
 
 METRICS = ["accuracy", "precision_macro", "recall_macro", "f1_of_macro", "roc_auc", "lift_value", "log_loss"]
+# Column names of the record tables, here and in the SQL below.
 MODEL = ["model_id", "model_name", "algorithm", "fold_id", "parameter_set_id", "version_tag"]
 
 
 # --- metric logs ---------------------------------------------------------------------------
 
-WIDE_SQL = f"""{SC_SQL}, {CM_SQL}, {PC_SQL}, {MACRO_SQL}, {ACC_SQL}, {AUC_SQL}, {LIFT_SQL}, {TOP_SQL}, {LL_SQL},
+WIDE_SQL = f"""{SC_SQL}, {MACRO_SQL}, {ACC_SQL}, {AUC_SQL}, {LIFT_SQL}, {TOP_SQL}, {LL_SQL},
 wide AS (
   SELECT {BY_SQL}, round(accuracy, 6) AS accuracy, round(precision_macro, 6) AS precision_macro,
          round(recall_macro, 6) AS recall_macro, round(f1_of_macro, 6) AS f1_of_macro,
@@ -37,7 +38,7 @@ def _wide(spark, sf_dir):
     return tidy(metrics.evaluate(scored(spark, sf_dir), "P", BY)).select(*BY, *METRICS)
 
 
-_LABEL_SQL = f"""{SC_SQL}, {CM_SQL}, {PC_SQL}, {MACRO_SQL}, {ACC_SQL},
+_LABEL_SQL = f"""{SC_SQL}, {MACRO_SQL}, {ACC_SQL},
 aw AS (
   SELECT {BY_SQL}, round(accuracy, 6) AS accuracy, round(precision_macro, 6) AS precision_macro,
          round(recall_macro, 6) AS recall_macro, round(f1_of_macro, 6) AS f1_of_macro
@@ -132,7 +133,7 @@ lc AS (
 rs AS (
   SELECT model_id AS schedule_id, model_id, parameter_set_id, fold_id, CAST(30 AS BIGINT) AS frequency_days,
          created_on + INTERVAL 30 DAY AS next_run_on, created_on AS last_trained_on,
-         'Auto-generated from training job' AS notes
+         'Scheduled when the model was trained' AS notes
   FROM lc)"""
 _OVERVIEW_SQL = """SELECT model_id, model_name, frequency_days, next_run_on, last_trained_on, notes
 FROM rs JOIN (SELECT model_id, model_name FROM lc) USING (model_id)"""
@@ -145,11 +146,11 @@ def _lifecycle(spark, sf_dir):
 
 @query(f"""WITH {MM_SQL}
 SELECT run_id, min(recorded_at) AS created_at, min(pipeline_id) AS model_family,
-       'Automated k-fold training run' AS notes
+       'run found in the metric rows' AS notes
 FROM mm GROUP BY run_id""")
 def run_registry(spark, sf_dir):
     return tidy(records.run_registry(
-        metric_rows(spark, sf_dir), F.col("pipeline_id"), "Automated k-fold training run", "recorded_at"
+        metric_rows(spark, sf_dir), F.col("pipeline_id"), "run found in the metric rows", "recorded_at"
     ))
 
 

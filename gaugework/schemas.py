@@ -1,4 +1,4 @@
-"""Schemas of the log and record tables."""
+"""Schemas of the log and record tables. Their names, columns and types."""
 
 from pyspark.sql.types import (
     ArrayType,

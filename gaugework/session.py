@@ -59,11 +59,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting ``df`` (already materialised by the caller).
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring ``df`` (already materialised by the caller).
 
-    Beyond ``max_rows`` the frame is returned as it is and Spark shuffles the join.
+    Bounds the rows, and the bytes of their text form. Beyond either bound the frame is returned as
+    it is and Spark shuffles the join.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    text = F.length(F.to_json(F.struct(*df.columns)))
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text), F.lit(0)).alias("size")).first()
+    if seen["n"] <= max_rows and seen["size"] <= max_bytes:
         return F.broadcast(df)
     return df

@@ -88,3 +88,9 @@ def test_class_presence(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b")], "fold_id int, label string")
     got = {r["fold_id"]: (r["has_positive"], r["has_negative"]) for r in folds.class_presence(df, "label", "a").collect()}
     assert got == {1: (1, 0), 2: (1, 1)}
+
+
+def test_rows_without_a_key_stay(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "a"), (None, None)], "id long, label string")
+    assert folds.assign_folds(df, 2).count() == 4
+    assert folds.assign_folds(df, 2, stratify=["label"]).count() == 4

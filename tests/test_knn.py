@@ -85,3 +85,12 @@ def test_candidate_search_has_no_product_and_no_python(spark):
     plan = knn.neighbours(df, FEATURES, 3, cell_rows=16)._jdf.queryExecution().executedPlan().toString()
     for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert name not in plan
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_copies_are_all_answered(spark, k):
+    rows = [(i, float(i // 3), 0.0, "ab"[i % 2], 1 + i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label string, fold_id int")
+    found = {r["id"]: r["confidence"] for r in knn.predict(df, ["a", "b"], k).collect()}
+    assert len(found) == 30 and all(c for c in found.values())
+    assert knn.neighbours(df, ["a", "b"], k).count() == 30 * k

@@ -105,3 +105,11 @@ def test_long_wide_round_trip_and_evaluate(spark):
     again = to_wide(to_long(wide, G, names), G, names)
     assert one(wide) == one(again)
     assert None not in one(wide)
+
+
+def test_group_with_a_null_key_is_a_group(spark):
+    rows = [(None, "m", 1, i, "ab"[i % 2], "ab"[i % 2 if i < 8 else 0], {"a": 0.4 + 0.2 * (i % 2 == 0), "b": 0.6 - 0.2 * (i % 2 == 0)}) for i in range(10)]
+    df = spark.createDataFrame(rows, "run_id string, model_name string, fold_id int, id long, actual string, predicted string, probs map<string,double>")
+    named = df.withColumn("run_id", F.lit("r"))
+    got, want = (metrics.evaluate(x, "a").drop("run_id").collect() for x in (df, named))
+    assert len(got) == 1 and got == want and 0 < got[0]["f1_macro_mean"] <= 1

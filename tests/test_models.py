@@ -93,3 +93,41 @@ def test_grid_and_specs(spark):
     specs = catalog.model_specs(spark.createDataFrame([(1,), (2,)], "fold_id int")).orderBy("spec_no").collect()
     assert [r["spec_no"] for r in specs] == list(range(1, 13))
     assert specs[11]["model_name"] == "MODEL_SVM_F2_v2"
+
+
+def test_ids_do_not_depend_on_the_part_of_the_catalog():
+    assert [p.parameter_set_id for p in catalog.parameter_sets(catalog.CATALOG[2:3])] == [3]
+    assert [p.parameter_set_id for p in catalog.parameter_sets([catalog.LOGISTIC_100, ("OWN", "v1", ())])] == [8, 11]
+
+
+def test_specs_number_folds_with_gaps(spark):
+    specs = catalog.model_specs(spark.createDataFrame([(1,), (4,)], "fold_id int")).collect()
+    assert sorted(r["spec_no"] for r in specs) == list(range(1, 13))
+
+
+def test_incomplete_rows_and_many_labels(spark):
+    from gaugework.operators import classifiers
+
+    many = spark.createDataFrame([(f"l{i}",) for i in range(1001)], "label string")
+    assert len(classifiers.labels_of(many)) == 1001
+    rows = [(i, float(i % 2), "ab"[i % 2]) for i in range(40)] + [(100, None, "a"), (101, 0.0, None), (102, float("nan"), "b")]
+    df = folds.assign_folds(spark.createDataFrame(rows, "id long, a double, label string"), 2)
+    got = {r["id"]: r["predicted"] for r in run_sweep(df, ["a"], catalog.parameter_sets(catalog.CATALOG[:1]), "r").collect()}
+    assert len(got) == 43 and [got[i] for i in (100, 101, 102)] == [None] * 3 and got[1] == "b"
+
+
+def test_wide_svm_without_driver_sums(spark, monkeypatch):
+    """Many inputs and classes, machines in several turns: every one converges and separates its class."""
+    from gaugework.operators import classifiers, svm
+
+    monkeypatch.setattr(svm, "PARTIAL_SIZE", 100_000)
+    rng = np.random.default_rng(0)
+    centres = rng.normal(0, 3, (6, 40))
+    names = [f"x{i}" for i in range(40)]
+    rows = [(i, *map(float, centres[i % 6] + rng.normal(0, 0.5, 40)), f"c{i % 6}") for i in range(120)]
+    df = folds.assign_folds(spark.createDataFrame(rows, ", ".join(["id long", *[f"{n} double" for n in names], "label string"])), 2)
+    ready = classifiers.prepare(df, names, [f"c{i}" for i in range(6)])
+    weights = svm.fit(ready, names, 6, 1.0, svm.fold_kernels(ready, names, False, 1))
+    assert {f: w.shape for f, w in weights.items()} == {1: (6, 41), 2: (6, 41)}
+    scored = run_sweep(df, names, catalog.parameter_sets(catalog.CATALOG[4:5]), "r")
+    assert metrics.fold_accuracy(scored, ["run_id"]).first()["accuracy"] > 0.95

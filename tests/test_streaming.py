@@ -1,29 +1,69 @@
 from pyspark.sql import functions as F
 
 from gaugework.schemas import ML_METRICS
-from gaugework.streaming.ingest import compact, current, ingest_stream
+from gaugework.streaming.ingest import _BATCHES, _last_marks, _read, _since, compact, current, ingest_stream
+
+
+def feed(spark, source, values, pipeline="p"):
+    rows = [(pipeline, f"r{i}", "m", float(v)) for i, v in values]
+    spark.createDataFrame(
+        rows, "pipeline_id string, run_id string, metric_name string, metric_value double"
+    ).coalesce(1).write.mode("append").json(source)
+
+
+def run(spark, source, root, checkpoint, name="a"):
+    ingest_stream(spark.readStream.schema(ML_METRICS).json(source), root, checkpoint, name).awaitTermination()
+
+
+def values(df):
+    return {(r["pipeline_id"], r["run_id"]): r["metric_value"] for r in df.collect()}
 
 
 def test_stream_keeps_one_row_per_key(spark, tmp_path):
     source, root, checkpoint, table = (str(tmp_path / n) for n in ("in", "out", "ckpt", "table"))
-
-    def feed(values):
-        rows = [("p", f"r{i}", "m", float(v)) for i, v in values]
-        spark.createDataFrame(
-            rows, "pipeline_id string, run_id string, metric_name string, metric_value double"
-        ).coalesce(1).write.mode("append").json(source)
-
-    def run():
-        ingest_stream(spark.readStream.schema(ML_METRICS).json(source), root, checkpoint).awaitTermination()
-
-    feed([(1, 0.1), (2, 0.2), (2, 0.2)])
-    run()
-    feed([(2, 0.05), (3, 0.3)])
-    run()
-    run()  # nothing new: no batch
-    want = {"r1": 0.1, "r2": 0.05, "r3": 0.3}
+    assert current(spark, root).count() == 0
+    feed(spark, source, [(1, 0.1), (2, 0.2), (2, 0.2)])
+    run(spark, source, root, checkpoint)
+    feed(spark, source, [(2, 0.05), (3, 0.3)])
+    run(spark, source, root, checkpoint)
+    run(spark, source, root, checkpoint)  # nothing new: no batch
+    want = {("p", "r1"): 0.1, ("p", "r2"): 0.05, ("p", "r3"): 0.3}
     now = current(spark, root)
-    assert now.count() == 3 and now.filter(F.col("metric_type") != "scalar").isEmpty()
-    assert {r["run_id"]: r["metric_value"] for r in now.collect()} == want
+    assert values(now) == want and now.filter(F.col("metric_type") != "scalar").isEmpty()
     compact(spark, root, table)
-    assert {r["run_id"]: r["metric_value"] for r in spark.read.parquet(table).collect()} == want
+    assert values(spark.read.parquet(table)) == want
+
+
+def test_streams_do_not_overwrite_each_other(spark, tmp_path):
+    one, two, root = (str(tmp_path / n) for n in ("one", "two", "out"))
+    feed(spark, one, [(1, 0.1)])
+    feed(spark, two, [(1, 0.9)], "q")
+    run(spark, one, root, str(tmp_path / "c1"), "a")
+    run(spark, two, root, str(tmp_path / "c2"), "b")
+    assert values(current(spark, root)) == {("p", "r1"): 0.1, ("q", "r1"): 0.9}
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    feed(spark, source, [(1, 0.1)])
+    run(spark, source, root, str(tmp_path / "c1"))
+    before = current(spark, root).collect()
+    run(spark, source, root, str(tmp_path / "c2"))  # batch 0 of the same stream once more
+    assert current(spark, root).collect() == before
+
+
+def test_current_after_compaction_reads_only_later_batches(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    feed(spark, source, [(1, 0.1), (2, 0.2)])
+    run(spark, source, root, checkpoint)
+    compact(spark, root)
+    assert values(current(spark, root)) == {("p", "r1"): 0.1, ("p", "r2"): 0.2}
+    feed(spark, source, [(2, 0.5)])
+    run(spark, source, root, checkpoint)
+    assert values(current(spark, root)) == {("p", "r1"): 0.1, ("p", "r2"): 0.5}
+    last, marks = _last_marks(spark, root)
+    assert (last, marks) == (1, {"a": 0})
+    assert {r[0] for r in _since(_read(spark, _BATCHES, f"{root}/batches"), marks).select("batch").distinct().collect()} == {1}
+    compact(spark, root)
+    assert values(current(spark, root)) == {("p", "r1"): 0.1, ("p", "r2"): 0.5}
+    assert _since(_read(spark, _BATCHES, f"{root}/batches"), _last_marks(spark, root)[1]).isEmpty()
