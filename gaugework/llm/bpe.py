@@ -168,7 +168,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(lines: bytes, pattern: str) -> Encoder:
-    """One per worker process and vocabulary, so that tasks share the memo."""
+    """One per worker process and vocabulary."""
     return Encoder(lines, pattern)
 
 
@@ -183,6 +183,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         for part in slices(batches, "text", SLICE_BYTES):
             ids = own.encode(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], schema=schema)
+        own.memo.forget()
 
     out = T.StructType([named.schema["id"], T.StructField("ids", T.BinaryType())])
     return named.mapInArrow(run, out)

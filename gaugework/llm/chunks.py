@@ -37,6 +37,10 @@ class ChunkMemo:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give the memory back, for what the worker does next."""
+        self.recent, self.older = {}, {}
+
     def look_up(self, chunks: list[str]) -> list[bytes]:
         if len(self.recent) > self.max_memo:
             self.recent, self.older = {}, self.recent

@@ -137,6 +137,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()),
                 pa.array([folded(s).tobytes() for s in sets], pa.binary()),
             ], names=names)
+        _word_hashes().clear()
 
     long = T.LongType()
     out = T.StructType([named.schema["id"], *(T.StructField(c, long) for c in names[1:5]), T.StructField("registers", T.BinaryType()),
@@ -190,6 +191,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
             found = [s.tobytes() for s in map(shingles, part.column("text").to_pylist())]
             both = np.array([np.frombuffer(xxhash.xxh3_128_digest(s), dtype=">i8") for s in found], dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(found, pa.binary())], names=["a", "b", "members"])
+        _word_hashes().clear()
 
     full = texts.mapInArrow(sets, "a long, b long, members binary").join(needed.select("node", "a", "b"), ["a", "b"])
     full = written(full.select("node", "members").dropDuplicates(["node"]), "near-sets")

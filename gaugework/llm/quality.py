@@ -44,6 +44,8 @@ SHARD_CONTEXTS = 65_535
 KEEP = 0.997
 #: Distinct n-grams that a task gathers before it sends them on.
 TASK_GRAMS = 2_000_000
+#: Bytes of texts scored in one step; the arrays of a step take some twenty times that.
+SLICE_BYTES = 1 << 20
 
 
 def _buffer(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +78,7 @@ def count_grams(docs: DataFrame, text_col: str) -> DataFrame:
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
 
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             joined, lengths = _buffer(part.column("text").to_pylist())
             found = ((_contexts(joined).astype(np.int64) << 8) | joined[3:])[_inside(lengths)]
             new, n = np.unique(found, return_counts=True)
@@ -224,7 +226,7 @@ def score(docs: DataFrame, shards: list[Shard], text_col: str = "text") -> tuple
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = holder.value
             rows_of = _rows_of(shard.name, holder)
-            for part in slices(batches, text_col):
+            for part in slices(batches, text_col, SLICE_BYTES):
                 found, sizes = bits(shard, rows_of, part.column(text_col).to_pylist())
                 columns = list(part.columns)
                 if more:

@@ -150,6 +150,7 @@ def occurrences(texts: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [_signed(np.concatenate(anchor)), _signed(np.concatenate(extended)), pa.array(a), pa.array(b),
                      pa.array(np.concatenate(at).astype(np.int32))], names=["anchor", "extended", "a", "b", "at"])
+        _word_hashes().clear()
 
     return texts.select("a", "b", "text").mapInArrow(run, "anchor long, extended long, a long, b long, at int")
 
