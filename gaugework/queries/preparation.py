@@ -159,3 +159,15 @@ FROM f, p""")
 def model_specs(spark, sf_dir):
     present = folds.fold_list(order_folds(spark, sf_dir))
     return tidy(specs_of(present, "ORDERS"))
+
+
+@query("""WITH k AS (SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS id FROM orders),
+r AS (SELECT id, row_number() OVER (ORDER BY coalesce(md5('42:' || CAST(id AS VARCHAR)), ''), id) AS place,
+             count(*) OVER () AS n FROM k)
+SELECT fold_id, count(*) AS n_rows, count(id) AS n_keys, CAST(coalesce(sum(id), 0) AS BIGINT) AS key_sum
+FROM (SELECT id, ntile(4) OVER (ORDER BY place) AS fold_id FROM r) GROUP BY fold_id""")
+def fold_null_key(spark, sf_dir):
+    """Folds of a table in which a third of the keys is NULL: every row is in one."""
+    rows = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("id"))
+    return tidy(folds.assign_folds(rows, 4, seed=SEED).groupBy("fold_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_keys"), F.coalesce(F.sum("id"), F.lit(0)).alias("key_sum")))

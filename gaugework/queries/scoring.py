@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.exprs import prob_in_array, prob_of
 from gaugework.operators import knn, metrics
+from gaugework.operators.folds import assign_folds
 from gaugework.plans.sweep import run_knn
 from gaugework.queries.base import query, table, tidy
 from gaugework.queries.inputs import (
-    BY, BY_SQL, CUSTOMERS_SQL, EVENT_FOLDS_SQL, FEATURES, K, P_PREDICTED_SQL, P_TRUE_SQL, SC_SQL,
+    BY, BY_SQL, CUSTOMERS_SQL, EVENT_FOLDS_SQL, FEATURES, K, P_PREDICTED_SQL, P_TRUE_SQL, SC_SQL, SEED,
     customer_folds, event_folds, scored,
 )
 
@@ -282,3 +283,45 @@ def lift_top_bucket(spark, sf_dir):
 @query(f"WITH {SC_SQL}, {LL_SQL} SELECT {BY_SQL}, round(log_loss, 6) AS log_loss FROM ll")
 def log_loss(spark, sf_dir):
     return tidy(metrics.log_loss(scored(spark, sf_dir), BY))
+
+
+# --- copies, and groups and keys that are NULL ----------------------------------------------
+
+
+def _line_rows(spark, sf_dir):
+    """Suppliers' feature vectors, many of them equal: rounded balance and nation."""
+    rows = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.floor(F.col("s_acctbal") / 4000).cast("double").alias("f1"),
+        (F.col("s_nationkey") % 3).cast("double").alias("f2"), F.lit(0.0).alias("f3"), F.lit(0.0).alias("f4"),
+        (F.col("s_nationkey") % 2).cast("string").alias("label"),
+    )
+    return assign_folds(rows, K, seed=SEED)
+
+
+_COPIES_SQL = """cp AS (
+  SELECT s_suppkey AS id, CAST(floor(s_acctbal / 4000) AS DOUBLE) AS f1, CAST(s_nationkey % 3 AS DOUBLE) AS f2,
+         0e0 AS f3, 0e0 AS f4, CAST(s_nationkey % 2 AS VARCHAR) AS label,
+         ntile(5) OVER (ORDER BY md5('42:' || CAST(s_suppkey AS VARCHAR)), s_suppkey) AS fold_id
+  FROM supplier)"""
+
+
+@query(f"""WITH {_COPIES_SQL}, {_near_sql('cp')}, {_VOTES_SQL},
+one AS (SELECT id, b.label AS predicted FROM near WHERE rank = 1)
+SELECT 5 AS k, s.id, s.fold_id, b.predicted, round(b.confidence, 6) AS confidence FROM cp s LEFT JOIN best b USING (id)
+UNION ALL SELECT 1, s.id, s.fold_id, o.predicted, 1e0 FROM cp s LEFT JOIN one o USING (id)""")
+def knn_predict_copies(spark, sf_dir):
+    rows = _line_rows(spark, sf_dir)
+    parts = [knn.predict(rows, FEATURES, k).withColumn("k", F.lit(k)) for k in (5, 1)]
+    return tidy(parts[0].unionByName(parts[1]).select("k", "id", "fold_id", "predicted", "confidence"))
+
+
+@query(f"""WITH {SC_SQL},
+n AS (SELECT CASE WHEN fold_id < 3 THEN CAST(fold_id AS VARCHAR) END AS fold_id, actual, predicted, pf, po, pp FROM sc)
+SELECT fold_id, count(*) AS total_predictions,
+       round(count(*) FILTER (actual = predicted) / CAST(count(*) AS DOUBLE), 6) AS accuracy,
+       round(avg(-ln(greatest(least({P_TRUE_SQL}, 1e0 - 1e-15), 1e-15))), 6) AS log_loss
+FROM n GROUP BY fold_id""")
+def evaluate_null_group(spark, sf_dir):
+    """All metrics where the grouping column is NULL for three folds out of five."""
+    rows = scored(spark, sf_dir).withColumn("fold_id", F.when(F.col("fold_id") < 3, F.col("fold_id").cast("string")))
+    return tidy(metrics.evaluate(rows, "P", ["fold_id"])).select("fold_id", "total_predictions", "accuracy", "log_loss")

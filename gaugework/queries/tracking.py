@@ -1,5 +1,7 @@
 """Metric logs, run and model records, and the unified metrics table."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from gaugework.operators import checks, metrics, reshape
@@ -324,3 +326,32 @@ SELECT pipeline_id, model_version, environment_label, metric_name, count(*) AS n
 FROM mm GROUP BY pipeline_id, model_version, environment_label, metric_name""")
 def metrics_compare(spark, sf_dir):
     return tidy(mlmetrics.compare(metric_rows(spark, sf_dir)))
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, round(metric_value, 6) AS metric_value, environment_label FROM mm
+WHERE pipeline_id = 'error' AND environment_label = 'production'""")
+def metrics_all_tags(spark, sf_dir):
+    tagged = mlmetrics.with_all_tags(metric_rows(spark, sf_dir), ["error", "production"])
+    return tidy(tagged.select("pipeline_id", "run_id", "metric_value", "environment_label"))
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, round(metric_value, 6) AS metric_value, recorded_at FROM mm
+WHERE recorded_at >= TIMESTAMP '2024-01-10 00:00:00' AND recorded_at < TIMESTAMP '2024-01-20 00:00:00'""")
+def metrics_layout_read(spark, sf_dir):
+    """The same time range read from the written layout: partitions by year, sorted by pipeline and time."""
+    path = new_table_path(spark, "metrics-layout")
+    mlmetrics.write_layout(metric_rows(spark, sf_dir), path)
+    found = mlmetrics.read_range(spark, path, datetime(2024, 1, 10), datetime(2024, 1, 20))
+    return tidy(found.select("pipeline_id", "run_id", "metric_value", "recorded_at"))
+
+
+@query(f"""WITH {WIDE_SQL}, mk AS (SELECT DISTINCT {BY_SQL}, model_id, parameter_set_id, algorithm FROM sc)
+SELECT model_id AS metric_id, model_id, parameter_set_id, fold_id, algorithm, 'catalog' AS hyperparameters, accuracy,
+       precision_macro, recall_macro, f1_of_macro AS f1_macro, roc_auc, lift_value, {AS_OF_SQL} AS evaluated_on
+FROM wide JOIN mk USING ({BY_SQL})""")
+def metrics_wide_log(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    wide = metrics.evaluate(rows, "P", ["model_id"])
+    return tidy(records.metrics_wide_log(wide, rows.select(*MODEL).distinct(), F.lit("catalog"), as_of()))
