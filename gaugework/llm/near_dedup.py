@@ -17,7 +17,8 @@ Texts with equal sets are one node. Links are found without making the pairs of
 A pair is ruled out by the sizes of the sets; by the mismatching registers, each of which proves a
 shingle that is in one set only; and by the Jaccard estimate, corrected for chance collisions of
 folded registers, if it is more than 5.5 standard deviations below the threshold. The first two are
-exact, and with a few hundred shingles they alone rule out nearly every pair that is no link.
+exact. Sets of at most 256 shingles also bring 32 bits of each hash along, which settles a pair of
+them inside the task; other pairs that registers leave open are settled by verification alone.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing.
 Repeated rows are members of one node. Null ids take part and never become a component's id while
@@ -49,6 +50,8 @@ DEVIATIONS = 5.5
 BLOCK = 1024
 FINE_BITS = 10
 FINE = 1 << FINE_BITS
+#: Sets up to this size travel with 32 bits of each of their hashes.
+SMALL = 256
 #: Values of a folded register besides 0 for an empty bucket.
 FOLD = 15
 MAX_BROADCAST_IDS = 500_000
@@ -103,6 +106,23 @@ def folded(found: np.ndarray) -> np.ndarray:
     return four[0::2] | (four[1::2] << 4)
 
 
+def small(found: np.ndarray) -> bytes:
+    """The upper halves of the hashes of a sorted set, in order; nothing for larger sets."""
+    return (found >> np.uint64(32)).astype(np.uint32).tobytes() if len(found) <= SMALL else b""
+
+
+def small_may_link(one: bytes, others: list[bytes]) -> np.ndarray:
+    """Which of the small sets ``others`` can be linked with the small set ``one``; none is empty.
+
+    Hashes that agree in 32 bits only make sets look more alike, so no link is ruled out.
+    """
+    own, flat = np.frombuffer(one, dtype=np.uint32), np.frombuffer(b"".join(others), dtype=np.uint32)
+    n, m = len(own), np.fromiter(map(len, others), np.int64, len(others)) // 4
+    hit = own[np.minimum(np.searchsorted(own, flat), n - 1)] == flat
+    both = np.add.reduceat(hit, np.cumsum(m) - m, dtype=np.int64)
+    return 100 * both >= PERCENT * (n + m - both)
+
+
 def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Which rows of folded registers ``a`` (set sizes ``n``) and ``b`` (sizes ``m``) can belong to linked sets."""
     keep = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
@@ -123,10 +143,10 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, digest, n, a, b, registers, fine): a and b are a 128-bit hash of the whole set."""
+    """(id, digest, n, a, b, registers, fine, small): a and b are a 128-bit hash of the whole set."""
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
     kind = arrow_type(named, "id")
-    names = ["id", "digest", "n", "a", "b", "registers", "fine"]
+    names = ["id", "digest", "n", "a", "b", "registers", "fine", "small"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -136,12 +156,13 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 part.column("id"), part.column("digest"), pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()),
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()),
                 pa.array([folded(s).tobytes() for s in sets], pa.binary()),
+                pa.array([small(s) for s in sets], pa.binary()),
             ], names=names)
         _word_hashes().clear()
 
     long = T.LongType()
     out = T.StructType([named.schema["id"], *(T.StructField(c, long) for c in names[1:5]), T.StructField("registers", T.BinaryType()),
-                        T.StructField("fine", T.BinaryType())])
+                        T.StructField("fine", T.BinaryType()), T.StructField("small", T.BinaryType())])
     assert kind is not None
     return named.mapInArrow(run, out)
 
@@ -216,7 +237,7 @@ def _across(members: DataFrame) -> DataFrame:
     mixed = mixed.filter("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "fine")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "fine", "small")
     keys = ["key", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +246,7 @@ def _across(members: DataFrame) -> DataFrame:
                 continue
             order = np.argsort(group.column("own").to_numpy(), kind="stable")
             own, node, label, n = (group.column(c).to_numpy()[order] for c in ("own", "node", "label", "n"))
-            table = _table(group.column("fine"))[order]
+            table, sets = _table(group.column("fine"))[order], group.column("small").take(pa.array(order))
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             first = np.arange(len(own)) if i == j else np.flatnonzero(own == i)
             start = None if i == j else len(first)
@@ -235,6 +256,14 @@ def _across(members: DataFrame) -> DataFrame:
                 fit = np.flatnonzero((label[rest] != label[at]) & (100 * np.minimum(n[rest], n[at]) >= PERCENT * np.maximum(n[rest], n[at])))
                 if len(fit):
                     fit = fit[may_link(table[at], n[at], table[rest][fit], n[rest][fit])]
+                if len(fit) and n[at] <= SMALL:
+                    own_set, first_of_rest = sets[at].as_py(), rest.start
+                    tiny = n[rest][fit] <= SMALL
+                    settled = small_may_link(own_set, [sets[first_of_rest + f].as_py() for f in fit[tiny].tolist()]) if tiny.any() else []
+                    keep = ~tiny
+                    keep[tiny] = settled
+                    fit = fit[keep]
+                if len(fit):
                     left.append(np.full(len(fit), node[at]))
                     right.append(node[rest][fit])
             if left:
@@ -247,7 +276,7 @@ def _across(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, digest (of the text), n_shingles, component_id (smallest id reachable by links)."""
     rows = written(sketch(docs, id_col, text_col), "near-sketches")
-    nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers", "fine").agg(F.min("id").alias("first_id"))
+    nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers", "fine", "small").agg(F.min("id").alias("first_id"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     keys = band_keys(nodes)
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -256,8 +285,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = written(_possible(stars, nodes), "near-stars")
     links = verify(stars, nodes, docs, id_col, text_col)
     labels = connected_components(links)
-    named = members.join(labels, "node", "left").join(nodes.select("node", "n", "fine"), "node").select(
-        "key", "node", "n", "fine", F.coalesce("label", "node").alias("label"))
+    named = members.join(labels, "node", "left").join(nodes.select("node", "n", "fine", "small"), "node").select(
+        "key", "node", "n", "fine", "small", F.coalesce("label", "node").alias("label"))
     more = written(_across(named).join(stars, ["x", "y"], "left_anti"), "near-more")
     if not more.isEmpty():
         found = verify(more, nodes, docs, id_col, text_col)

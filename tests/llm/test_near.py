@@ -98,6 +98,9 @@ def test_registers():
             found = near_dedup.may_link(near_dedup.folded(x)[None], np.array([n]), near_dedup.folded(y)[None], np.array([len(y)]))[0]
             assert found or not near_dedup.linked(x, y)
             assert not found or share > 0.5
+            if n <= near_dedup.SMALL:
+                assert near_dedup.small_may_link(near_dedup.small(x), [near_dedup.small(y), near_dedup.small(x)]).tolist() == \
+                    [near_dedup.linked(x, y), True]
 
 
 def test_components(spark):
