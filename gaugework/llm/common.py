@@ -58,6 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 2
             size += n
         if start < batch.num_rows:
             yield batch.slice(start, batch.num_rows - start)
+    pa.default_memory_pool().release_unused()  # workers are reused: what one stage held is free for the next
 
 
 def arrow_type(df: DataFrame, column: str) -> pa.DataType:
