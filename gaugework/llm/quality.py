@@ -1,18 +1,10 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The units are the bytes of UTF-8: n-grams of four bytes are counted over all trusted texts (every
-row whose labels say so, no sample), lower orders are continuation counts of the order above, and
-each order has its own three discounts from its counts of counts. Tasks combine their counts before
-the shuffle, so what is gathered grows with the trusted text by task, while the table of distinct
-n-grams grows as slowly as the language's byte sequences do.
-
-Scoring joins the count table to the documents by shards: a shard holds the finished probabilities
-of at most ``SHARD_CONTEXTS`` three-byte contexts (at most 65 MB), is broadcast, and adds the bits of the positions
-whose context belongs to it. One shard is one scan without any shuffle; more contexts mean more
-scans, and the shards' bits are summed per document.
-
-A document is judged by its excess: the mean bits per byte above the median of trusted documents of its
-language, times the square root of its bytes, so that a short text needs a larger deviation. It is
+The units are words: trigrams are counted over all trusted texts (every row whose labels say so, no sample)
+and the model and the scores are joins and aggregates of the count tables (``words``).
+
+A document is judged by its excess: the mean bits per word above the median of trusted documents of its
+language, times the square root of its words, so that a short text needs a larger deviation. It is
 accepted up to the ``keep`` quantile of that excess among trusted documents of its language. Medians
 and quantiles come from one half of the trusted texts, scored by a model of the other half, so they
 hold for unseen texts too; documents are scored by the model of both.
@@ -22,6 +14,8 @@ trusted documents, null included, takes the figures of all trusted documents. Wi
 documents at all every text with content is accepted and perplexities are null. An id with several labels is
 trusted only if all agree; null labels are not trust. Repeated rows are scored as rows. Empty tables
 give empty results. Added columns get names that the table does not have.
+
+``train`` and ``score`` are a model of byte 4-grams in shards built on the driver. No query uses them.
 """
 
 from __future__ import annotations
@@ -36,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from gaugework.llm import words
 from gaugework.llm.common import bounded_broadcast, slices, written
+from gaugework.llm.words import discounts, discounts_of  # noqa: F401
 
 ORDER = 4
 PAD = b"\0" * (ORDER - 1)
@@ -109,15 +105,6 @@ class Shard:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-def discounts(counts: dict[int, int]) -> np.ndarray:
-    """Discounts for counts of 0, 1, 2 and more, from how many n-grams have counts 1 to 4."""
-    n1, n2, n3, n4 = (counts.get(i, 0) for i in (1, 2, 3, 4))
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n1 / (n1 + 2 * n2)
-    return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 1, 2, 3])
-
-
 def interpolate(grams: np.ndarray, n: np.ndarray, discount: np.ndarray, lower) -> tuple[np.ndarray, np.ndarray]:
     """Contexts of ``grams`` and the probabilities of all bytes after each; ``lower`` gives those of shorter contexts."""
     contexts, row = np.unique(grams >> 8, return_inverse=True)
@@ -134,11 +121,6 @@ def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table.column("gram").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(np.int64)
 
 
-def _discounts(grams: DataFrame) -> np.ndarray:
-    rows = grams.filter("n <= 4").groupBy("n").count().collect()
-    return discounts({int(r["n"]): r["count"] for r in rows})
-
-
 def train(docs: DataFrame, text_col: str = "text") -> Iterator[Shard]:
     """The shards of the model of all ``docs``; none if they hold no text."""
     orders = {4: written(count_grams(docs, text_col), "kn-grams")}
@@ -149,13 +131,13 @@ def train(docs: DataFrame, text_col: str = "text") -> Iterator[Shard]:
     grams, n = _arrays(orders[1])
     if not len(grams):
         return
-    d = _discounts(orders[1])[np.minimum(n, 3)]
+    d = discounts_of(orders[1])[np.minimum(n, 3)]
     unigram = np.full(256, d.sum() / n.sum() / 256)
     unigram[grams] += (n - d) / n.sum()
-    bi_contexts, bi = interpolate(*_arrays(orders[2]), _discounts(orders[2]), lambda c: unigram[None, :])
+    bi_contexts, bi = interpolate(*_arrays(orders[2]), discounts_of(orders[2]), lambda c: unigram[None, :])
     bigram = np.tile(unigram, (256, 1))
     bigram[bi_contexts] = bi
-    tri_contexts, tri = interpolate(*_arrays(orders[3]), _discounts(orders[3]), lambda c: bigram[c & 255])
+    tri_contexts, tri = interpolate(*_arrays(orders[3]), discounts_of(orders[3]), lambda c: bigram[c & 255])
 
     def lower(contexts: np.ndarray) -> np.ndarray:
         short = contexts & 0xFFFF
@@ -164,7 +146,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Iterator[Shard]:
 
     of = F.shiftright("gram", 8)
     shards = max(1, -(-orders[4].select(of.alias("c")).distinct().count() // SHARD_CONTEXTS))
-    discount = _discounts(orders[4])
+    discount = discounts_of(orders[4])
     while True:
         sizes = orders[4].select(of.alias("c")).distinct().groupBy((F.col("c") % shards).alias("s")).count().collect()
         if max(r["count"] for r in sizes) <= SHARD_CONTEXTS:
@@ -260,44 +242,54 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = bounded_broadcast(written(trusted_ids(labels, id_col), "kn-trusted"), 1_000_000)
     trusted = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     trusted = trusted.join(ids, "trusted_id", "left_semi").drop("trusted_id")
-    shards = list(train(trusted))
-    half = F.pmod(F.xxhash64("text"), F.lit(2))  # copies of a text are in one half
-    learned = list(train(trusted.filter(half == 0)))
-    base = _means(trusted.filter(half == 1), learned)
+    trusted = trusted.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)))  # copies of a text are in one half
+    counts = words.count(trusted)
+    model = words.train(counts, F.col("n0") + F.col("n1"))
+    learned = words.train(counts, F.col("n0"))
+    base = _means(trusted.filter("half = 1"), learned)
     if base.isEmpty():
-        base = _means(trusted, shards)
+        base = _means(trusted, model)
     figures = _thresholds(base, keep)
     overall = _thresholds(base.withColumn("lang", F.lit("all")), keep).first()
     center_all, limit_all = (overall["center"], overall["limit"]) if overall else (0.0, float("inf"))
-    found, bits_col, bytes_col = score(docs, shards, text_col)
+    bytes_col = fresh(docs, "kn_bytes")
+    found = docs.withColumn(bytes_col, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
+    bits_col, units_col = fresh(found, "kn_bits"), fresh(found, "kn_units")
+    if model is None:
+        found = found.withColumns({bits_col: F.lit(None).cast("double"), units_col: F.lit(None).cast("double")})
+    else:
+        a, b = fresh(found, "kn_a"), fresh(found, "kn_b")
+        scores = words.score(docs.select(F.col(text_col).alias("text")), model).toDF(a, b, bits_col, units_col)
+        keys = dict(zip((a, b), words.text_key(text_col)))
+        found = found.withColumns(keys).join(bounded_broadcast(scores, 250_000), [a, b], "left").drop(a, b)
     names = {n: fresh(found, n) for n in ("perplexity", "excess", "threshold", "accepted")}
     center, limit = fresh(found, "kn_center"), fresh(found, "kn_limit")
     lang = fresh(found, "kn_lang")
     figures = written(figures.select(F.col("lang").alias(lang), F.col("center").alias(center), F.col("limit").alias(limit)), "kn-limits")
-    mean = F.when(F.col(bytes_col) > 0, F.col(bits_col) / F.col(bytes_col))
+    mean = F.col(bits_col) / F.col(units_col)
     joined = found.join(bounded_broadcast(figures, 10_000), F.col(lang_col) == F.col(lang), "left")
-    excess = (mean - F.coalesce(center, F.lit(center_all))) * F.sqrt(bytes_col)
+    excess = (mean - F.coalesce(center, F.lit(center_all))) * F.sqrt(units_col)
     return joined.withColumns({
         names["perplexity"]: F.pow(F.lit(2.0), mean),
         names["excess"]: excess,
         names["threshold"]: F.coalesce(limit, F.lit(limit_all)),
         names["accepted"]: (F.col(bytes_col) > 0) & F.coalesce(excess <= F.coalesce(limit, F.lit(limit_all)), F.lit(True)),
-    }).drop(center, limit, lang, bits_col), names | {"bytes": bytes_col}
+    }).drop(center, limit, lang, bits_col, units_col), names | {"bytes": bytes_col}
 
 
-def _means(docs: DataFrame, shards: list[Shard]) -> DataFrame:
-    """(lang, mean bits per byte, bytes) of the texts with content, written."""
-    scored, bits_col, bytes_col = score(docs, shards)
-    scored = scored.filter((F.col(bytes_col) > 0) & F.col(bits_col).isNotNull())
-    return written(scored.select(
-        "lang", (F.col(bits_col) / F.col(bytes_col)).alias("mean"), F.col(bytes_col).alias("bytes"),
-    ), "kn-trusted-scores")
+def _means(docs: DataFrame, model: words.Model | None) -> DataFrame:
+    """(lang, mean bits per word, words) of the texts with content, written; none without a model."""
+    if model is None:
+        return docs.limit(0).select("lang", F.lit(0.0).alias("mean"), F.lit(0.0).alias("units"))
+    named = docs.select("lang", *(c.alias(n) for c, n in zip(words.text_key("text"), "ab")))
+    scored = named.join(bounded_broadcast(words.score(docs, model), 250_000), ["a", "b"])
+    return written(scored.select("lang", (F.col("bits") / F.col("units")).alias("mean"), "units"), "kn-trusted-scores")
 
 
 def _thresholds(scores: DataFrame, keep: float) -> DataFrame:
     """Per language the median of the means, and the ``keep`` quantile of the excess over it."""
     centers = scores.groupBy("lang").agg(F.percentile_approx("mean", 0.5, 10_000).alias("center"))
-    excess = scores.join(centers, "lang").withColumn("excess", (F.col("mean") - F.col("center")) * F.sqrt("bytes"))
+    excess = scores.join(centers, "lang").withColumn("excess", (F.col("mean") - F.col("center")) * F.sqrt("units"))
     return excess.groupBy("lang", "center").agg(F.percentile_approx("excess", keep, 100_000).alias("limit"))
 
 

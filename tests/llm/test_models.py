@@ -4,7 +4,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from gaugework.llm import language, quality
+from pyspark.sql import functions as F
+
+from gaugework.llm import language, quality, words
 
 
 def slow_probability(texts):
@@ -84,3 +86,51 @@ def test_language(docs):
     assert rejected[7] == "und"
     assert {r["nearest"] for r in language.predict(docs(tests), language.fit(docs([]))).collect()} == {"und"}
     assert all(0 <= r["score"] <= 1 for r in language.predict(docs(tests), model).collect())
+
+
+def test_word_model_equals_definition(docs, monkeypatch):
+    trusted = ["a b c a b", "a b d.", "c a b a", "b", "a b c d e f"]
+    rows = [(1, "a b c x"), (2, "zz 中文 A"), (3, " "), (4, "a b c x"), (5, "c d e f a b " * 50), (6, None), (7, "")]
+
+    def sequence(t):
+        return ["<s>", "<s>", *words.WORD.findall(t.lower()), "</s>"]
+
+    counts = {3: Counter(tuple(s[i - 2:i + 1]) for t in trusted for s in [sequence(t)] for i in range(2, len(s)))}
+    for n in (2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    d = {n: quality.discounts(Counter(min(c, 5) for c in counts[n].values())) for n in counts}
+
+    def p(context, word, n):
+        if n == 0:
+            return 1 / (len(counts[1]) + 1)
+        own = {g[-1]: c for g, c in counts[n].items() if g[:-1] == context}
+        lower = p(context[1:], word, n - 1)
+        if not own:
+            return lower
+        c, total = own.get(word, 0), sum(own.values())
+        return max(c - d[n][min(c, 3)], 0) / total + sum(d[n][min(x, 3)] for x in own.values()) / total * lower
+
+    want = sorted((-sum(math.log2(p((s[i - 2], s[i - 1]), s[i], 3)) for i in range(2, len(s))), len(s) - 2)
+                  for t in {t for _, t in rows if t} for s in [sequence(t)])
+    count = words.count(docs(list(enumerate(trusted))).withColumn("half", F.col("doc_id") % 2))
+    for share in (words.HOT_SHARE, 0.15, 1.0):  # all weights in the scan, some, none
+        monkeypatch.setattr(words, "HOT_SHARE", share)
+        model = words.train(count, F.col("n0") + F.col("n1"))
+        found = sorted((r["bits"], r["units"]) for r in words.score(docs(rows), model).collect())
+        assert np.allclose(found, want, rtol=1e-6)
+
+
+def test_wrong_words_are_rejected(spark, docs):
+    """Trusted words in another order, letters and words as in trusted text."""
+    def text(seed):
+        rng = np.random.default_rng(seed)
+        return " ".join(f"{a} sees the {b} near this {c} ." for a, b, c in rng.choice(["cat", "dog", "bird", "fox", "cow"], (12, 3)))
+
+    def shuffled(seed):
+        return " ".join(np.random.default_rng(seed).permutation(text(seed).split()))
+
+    rows = [(i, text(i)) for i in range(300)] + [(1000 + i, shuffled(5000 + i)) for i in range(20)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    found, names = quality.judge(docs(rows), labels)
+    verdict = {r["doc_id"]: r[names["accepted"]] for r in found.collect()}
+    assert sum(verdict[i] for i in range(300)) >= 295 and not any(verdict[1000 + i] for i in range(20))
