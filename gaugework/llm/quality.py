@@ -6,8 +6,9 @@ and the model and the scores are joins and aggregates of the count tables (``wor
 A document is judged by its excess: the mean bits per word above the median of trusted documents of its
 language, times the square root of its words, so that a short text needs a larger deviation. It is
 accepted up to the ``keep`` quantile of that excess among trusted documents of its language. Medians
-and quantiles come from one half of the trusted texts, scored by a model of the other half, so they
-hold for unseen texts too; documents are scored by the model of both.
+and quantiles come from all trusted texts, each half scored by a model of the other half, so they
+hold for unseen texts too; documents are scored by the model of both. A language with too few trusted texts
+for a quantile of its own keeps its median and takes the quantile of all languages' excesses.
 
 Edge cases: null and empty texts have no perplexity and are not accepted. A language without
 trusted documents, null included, takes the figures of all trusted documents. Without trusted
@@ -38,6 +39,8 @@ ORDER = 4
 PAD = b"\0" * (ORDER - 1)
 SHARD_CONTEXTS = 65_535
 KEEP = 0.997
+#: Trusted texts beyond the quantile that a language needs for a limit of its own: 1,000 texts at ``KEEP``.
+SUPPORT = 3
 #: Distinct n-grams that a task gathers before it sends them on.
 TASK_GRAMS = 2_000_000
 #: Bytes of texts scored in one step; the arrays of a step take some twenty times that.
@@ -245,9 +248,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     trusted = trusted.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)))  # copies of a text are in one half
     counts = words.count(trusted)
     model = words.train(counts, F.col("n0") + F.col("n1"))
-    learned = words.train(counts, F.col("n0"))
-    base = _means(trusted.filter("half = 1"), learned)
-    if base.isEmpty():
+    base = _means(trusted.filter("half = 1"), words.train(counts, F.col("n0")))
+    base = base.unionByName(_means(trusted.filter("half = 0"), words.train(counts, F.col("n1"))))
+    if base.isEmpty():  # all trusted texts are in one half
         base = _means(trusted, model)
     figures = _thresholds(base, keep)
     overall = _thresholds(base.withColumn("lang", F.lit("all")), keep).first()
@@ -287,10 +290,21 @@ def _means(docs: DataFrame, model: words.Model | None) -> DataFrame:
 
 
 def _thresholds(scores: DataFrame, keep: float) -> DataFrame:
-    """Per language the median of the means, and the ``keep`` quantile of the excess over it."""
-    centers = scores.groupBy("lang").agg(F.percentile_approx("mean", 0.5, 10_000).alias("center"))
-    excess = scores.join(centers, "lang").withColumn("excess", (F.col("mean") - F.col("center")) * F.sqrt("units"))
-    return excess.groupBy("lang", "center").agg(F.percentile_approx("excess", keep, 100_000).alias("limit"))
+    """Per language the median of the means, and the ``keep`` quantile of the excess over it.
+
+    Below ``SUPPORT / (1 - keep)`` texts the quantile is that of all languages' excesses over their own medians,
+    wider by the error of a median of so few texts.
+    """
+    centers = scores.groupBy(F.col("lang").alias("of")).agg(F.percentile_approx("mean", 0.5, 10_000).alias("center"))
+    excess = scores.join(centers, F.col("lang").eqNullSafe(F.col("of"))).select(
+        "lang", "center", ((F.col("mean") - F.col("center")) * F.sqrt("units")).alias("excess"))
+    excess = written(excess, "kn-trusted-excess")
+    limit = F.percentile_approx("excess", keep, 100_000)
+    pooled = excess.agg(limit.alias("limit")).first()["limit"]
+    wider = F.lit(pooled).cast("double") * F.sqrt(1 + F.lit(np.pi / 2) / F.col("texts"))
+    found = excess.groupBy("lang", "center").agg(limit.alias("limit"), F.count(F.lit(1)).alias("texts"))
+    enough = F.col("texts") * F.lit(1 - keep) >= SUPPORT
+    return found.select("lang", "center", F.when(enough, F.col("limit")).otherwise(wider).alias("limit"))
 
 
 def accepted_only(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -134,3 +134,21 @@ def test_wrong_words_are_rejected(spark, docs):
     found, names = quality.judge(docs(rows), labels)
     verdict = {r["doc_id"]: r[names["accepted"]] for r in found.collect()}
     assert sum(verdict[i] for i in range(300)) >= 295 and not any(verdict[1000 + i] for i in range(20))
+
+
+def test_few_trusted_texts_of_a_language(spark, docs, prose):
+    """A language with three trusted texts keeps its clean documents."""
+    rare = {i: prose(60, i).translate(str.maketrans("aeiou", "äëïöü")) for i in range(2000, 2060)}
+    rows = [(i, prose(60, i), "en") for i in range(300)] + [(i, t, "xx") for i, t in rare.items()]
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(200), 2000, 2001, 2002]], "doc_id long, quality int, toxic int")
+    found, names = quality.judge(docs(rows), labels)
+    verdict = {r["doc_id"]: r[names["accepted"]] for r in found.collect()}
+    assert sum(verdict[i] for i in rare) >= 57 and sum(verdict[i] for i in range(300)) >= 295
+
+
+def test_thresholds_of_small_and_large_languages(spark):
+    rng = np.random.default_rng(0)
+    rows = [("big", float(m), 100.0) for m in 8 + rng.normal(size=2000) / 10] + [("small", float(m), 100.0) for m in (11, 11.1, 11.2)]
+    found = {r["lang"]: r for r in quality._thresholds(spark.createDataFrame(rows, "lang string, mean double, units double"), 0.997).collect()}
+    assert found["big"]["limit"] == pytest.approx(2.75, rel=0.15)
+    assert found["small"]["center"] == pytest.approx(11.1) and found["small"]["limit"] > found["big"]["limit"]
