@@ -25,9 +25,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
+    """One document of each component of near copies: 80 % or more of the five-word shingles shared."""
     find_package(spark)
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, percent=80)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

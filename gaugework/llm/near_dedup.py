@@ -3,7 +3,7 @@
 A text's set is its distinct five-word shingles (words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z;
 fewer words count as one shingle). A hash places each shingle in one of 128 buckets; a bucket keeps the
 leading zeros of its smallest hash and ten bits after them in 16 bits. Four registers form a band;
-32 bands. Two sets of similarity 0.85 share no band with a probability of about 5e-11. Registers of
+32 bands. Two sets share no band with a probability of about 5e-11 at similarity 0.85 and 5e-8 at 0.80. Registers of
 1024 buckets, folded to four bits each, compare the pairs that share a band.
 
 Texts with equal sets are one node. Links are found without making the pairs of a bucket:
@@ -45,6 +45,7 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 BAND = 4
 BANDS = BUCKETS // BAND
+#: Similarity in percent from which sets are linked, unless the caller gives another.
 PERCENT = 85
 DEVIATIONS = 5.5
 BLOCK = 1024
@@ -111,7 +112,7 @@ def small(found: np.ndarray) -> bytes:
     return (found >> np.uint64(32)).astype(np.uint32).tobytes() if len(found) <= SMALL else b""
 
 
-def small_may_link(one: bytes, others: list[bytes]) -> np.ndarray:
+def small_may_link(one: bytes, others: list[bytes], percent: int = PERCENT) -> np.ndarray:
     """Which of the small sets ``others`` can be linked with the small set ``one``; none is empty.
 
     Hashes that agree in 32 bits only make sets look more alike, so no link is ruled out.
@@ -120,26 +121,26 @@ def small_may_link(one: bytes, others: list[bytes]) -> np.ndarray:
     n, m = len(own), np.fromiter(map(len, others), np.int64, len(others)) // 4
     hit = own[np.minimum(np.searchsorted(own, flat), n - 1)] == flat
     both = np.add.reduceat(hit, np.cumsum(m) - m, dtype=np.int64)
-    return 100 * both >= PERCENT * (n + m - both)
+    return 100 * both >= percent * (n + m - both)
 
 
-def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Which rows of folded registers ``a`` (set sizes ``n``) and ``b`` (sizes ``m``) can belong to linked sets."""
-    keep = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+    keep = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
     apart, either = a ^ b, a | b
     different = np.count_nonzero(apart & 15, axis=-1) + np.count_nonzero(apart >> 4, axis=-1)
     # every mismatch is an element of one set only: with s of them, similarity <= (n + m - s) / (n + m + s)
-    keep &= 100 * (n + m - different) >= PERCENT * (n + m + different)
+    keep &= 100 * (n + m - different) >= percent * (n + m + different)
     used = np.maximum(np.count_nonzero(either & 15, axis=-1) + np.count_nonzero(either >> 4, axis=-1), 1)
     # one in FOLD of the registers that differ collides by chance
     estimate = 1 - different * FOLD / (FOLD - 1) / used
-    limit = PERCENT / 100
+    limit = percent / 100
     return keep & (estimate >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / used))
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -180,12 +181,12 @@ def _table(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, FINE // 2)
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that may be links: sizes first, so that fewer rows carry registers."""
     for side in ("x", "y"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
     low, high = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
-    pairs = pairs.filter(100 * low >= PERCENT * high)
+    pairs = pairs.filter(100 * low >= percent * high)
     for side in ("x", "y"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("fine").alias(f"r_{side}")), side)
 
@@ -193,13 +194,13 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 n, m = (batch.column(c).to_numpy() for c in ("n_x", "n_y"))
-                keep = may_link(_table(batch.column("r_x")), n, _table(batch.column("r_y")), m)
+                keep = may_link(_table(batch.column("r_x")), n, _table(batch.column("r_y")), m, percent)
                 yield batch.select(["x", "y"]).filter(pa.array(keep))
 
     return pairs.select("x", "y", "n_x", "n_y", "r_x", "r_y").mapInArrow(run, "x long, y long")
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs (x, y) that are links on their full sets. ``pairs`` is a written table."""
     needed = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
     needed = written(needed.join(nodes, "node").select("node", "a", "b", F.col("first_id").alias("its_id")), "near-needed")
@@ -221,14 +222,14 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [linked(np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64))
+            keep = [linked(np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64), percent)
                     for a, b in zip(batch.column("s_x"), batch.column("s_y"), strict=True)]
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return written(pairs.mapInArrow(check, "x long, y long"), "near-links")
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a bucket and may link.
 
     Large buckets are dealt in blocks, and blocks meet in pairs, so a task never holds more than two blocks.
@@ -253,13 +254,13 @@ def _across(members: DataFrame) -> DataFrame:
             left, right = [], []
             for at in first.tolist():
                 rest = slice(at + 1 if start is None else start, None)
-                fit = np.flatnonzero((label[rest] != label[at]) & (100 * np.minimum(n[rest], n[at]) >= PERCENT * np.maximum(n[rest], n[at])))
+                fit = np.flatnonzero((label[rest] != label[at]) & (100 * np.minimum(n[rest], n[at]) >= percent * np.maximum(n[rest], n[at])))
                 if len(fit):
-                    fit = fit[may_link(table[at], n[at], table[rest][fit], n[rest][fit])]
+                    fit = fit[may_link(table[at], n[at], table[rest][fit], n[rest][fit], percent)]
                 if len(fit) and n[at] <= SMALL:
                     own_set, first_of_rest = sets[at].as_py(), rest.start
                     tiny = n[rest][fit] <= SMALL
-                    settled = small_may_link(own_set, [sets[first_of_rest + f].as_py() for f in fit[tiny].tolist()]) if tiny.any() else []
+                    settled = small_may_link(own_set, [sets[first_of_rest + f].as_py() for f in fit[tiny].tolist()], percent) if tiny.any() else []
                     keep = ~tiny
                     keep[tiny] = settled
                     fit = fit[keep]
@@ -273,7 +274,7 @@ def _across(members: DataFrame) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "x long, y long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, digest (of the text), n_shingles, component_id (smallest id reachable by links)."""
     rows = written(sketch(docs, id_col, text_col), "near-sketches")
     nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers", "fine", "small").agg(F.min("id").alias("first_id"))
@@ -282,14 +283,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(keys.join(shared.select("key", "head"), "key"), "near-members")
     stars = members.filter("node <> head").select(F.col("head").alias("x"), F.col("node").alias("y")).distinct()
-    stars = written(_possible(stars, nodes), "near-stars")
-    links = verify(stars, nodes, docs, id_col, text_col)
+    stars = written(_possible(stars, nodes, percent), "near-stars")
+    links = verify(stars, nodes, docs, id_col, text_col, percent)
     labels = connected_components(links)
     named = members.join(labels, "node", "left").join(nodes.select("node", "n", "fine", "small"), "node").select(
         "key", "node", "n", "fine", "small", F.coalesce("label", "node").alias("label"))
-    more = written(_across(named).join(stars, ["x", "y"], "left_anti"), "near-more")
+    more = written(_across(named, percent).join(stars, ["x", "y"], "left_anti"), "near-more")
     if not more.isEmpty():
-        found = verify(more, nodes, docs, id_col, text_col)
+        found = verify(more, nodes, docs, id_col, text_col, percent)
         if not found.isEmpty():
             labels = connected_components(links.unionByName(found))
     of_node = written(nodes.join(labels, "node", "left").select("a", "b", F.coalesce("label", "node").alias("label"), "first_id"), "near-labels")
@@ -300,9 +301,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return grouped_rows.unionByName(alone)
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, and every text without words."""
-    found = written(near_duplicates(docs, id_col, text_col).filter("n_shingles > 0"), "near-found")
+    found = written(near_duplicates(docs, id_col, text_col, percent).filter("n_shingles > 0"), "near-found")
     named = F.col("id").eqNullSafe(F.col("component_id"))
     chosen = found.filter(named).groupBy("id").agg(F.min("digest").alias("stays"))
     chosen = chosen.select(F.col("id").alias("head"), "stays")

@@ -136,7 +136,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 85 % of their shingles, the smallest doc_id kept."""
-    return near_dedup.near_duplicates(documents(spark, sf_dir)).select(
+    return near_dedup.near_duplicates(documents(spark, sf_dir), percent=85).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"),
     )
 

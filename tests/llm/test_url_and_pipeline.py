@@ -75,3 +75,11 @@ def test_pipeline(spark, sf):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         table = stage(spark, table, sf)
         assert table.columns == docs.columns, name
+
+
+def test_near_stage_drops_copies_of_0_81(spark, docs, prose):
+    words = prose(200, 3).split()
+    for at in (40, 80, 120, 160):
+        words[at] = f"changed{at}"
+    table = docs([(1, prose(200, 3)), (2, " ".join(words))])
+    assert [r["doc_id"] for r in corpus_pipeline.near_stage(spark, table, "").collect()] == [1]
