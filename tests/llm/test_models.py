@@ -152,3 +152,13 @@ def test_thresholds_of_small_and_large_languages(spark):
     found = {r["lang"]: r for r in quality._thresholds(spark.createDataFrame(rows, "lang string, mean double, units double"), 0.997).collect()}
     assert found["big"]["limit"] == pytest.approx(2.75, rel=0.15)
     assert found["small"]["center"] == pytest.approx(11.1) and found["small"]["limit"] > found["big"]["limit"]
+
+
+def test_judging_builds_no_model_on_the_driver(spark, docs, prose, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("counts collected")
+
+    for name in ("_arrays", "train", "score", "interpolate"):
+        monkeypatch.setattr(quality, name, refuse)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    assert quality.accepted_only(docs([(i, prose(20, i)) for i in range(6)]), labels).count() >= 5
