@@ -40,6 +40,20 @@ def test_mined_rules(spark):
     assert got[1] == ("block", "mined") and got[2] == ("allow", "mined") and got[3][0] in ("allow", "block")
 
 
+def test_rules_from_any_place(spark):
+    """A host of four labels, a third path segment and a fourth key, each alone, decide."""
+    labelled = []
+    for i in range(60):
+        verdict = "block" if i % 2 else "allow"
+        labelled += [(f"https://{'bad' if i % 2 else 'good'}.a.example.com/x/{i}", verdict),
+                     (f"https://h{i}.org/p/q/{'bad' if i % 2 else 'good'}", verdict),
+                     (f"https://k{i}.org/?a=1&b=2&c=3&{'bad' if i % 2 else 'good'}=4", verdict)]
+    index = url_filter.mine(spark.createDataFrame(labelled, "url string, label string"), support=0.02)
+    urls = ["https://bad.a.example.com/", "https://new.org/p/q/bad", "https://new.org/?a=1&b=2&c=3&bad=9"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert [(r["verdict"], r["by"]) for r in url_filter.judge(pages, index).orderBy("id").collect()] == [("block", "mined")] * 3
+
+
 @pytest.fixture(scope="module")
 def sf(spark, docs, prose, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sf"))
