@@ -91,10 +91,12 @@ def cluster(x: np.ndarray, clusters: int = CLUSTERS) -> np.ndarray:
 def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     """At most about ``per_language`` texts (lang, text) of each language: hash below a share of the hash space.
 
-    Copies of one text share its hash, so they are in or out together; they count once.
+    Copies of one text share its hash, so they are in or out together; they count once, in the share too, so
+    a language with no more distinct texts than that is learned from all of them.
     """
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", (per_language / F.col("n")).alias("share"))
+    distinct = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()
+    shares = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", (per_language / F.col("n")).alias("share"))
     rows = rows.join(bounded_broadcast(written(shares, "language-shares"), 10_000), "lang")
     return rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.col("share") * 1_000_003).select("lang", "text").distinct()
 

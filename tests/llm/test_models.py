@@ -162,3 +162,9 @@ def test_judging_builds_no_model_on_the_driver(spark, docs, prose, monkeypatch):
         monkeypatch.setattr(quality, name, refuse)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int")
     assert quality.accepted_only(docs([(i, prose(20, i)) for i in range(6)]), labels).count() >= 5
+
+
+def test_language_sample_takes_all_of_few_distinct_texts(docs):
+    rows = [(i, f"the of and {i % 20}", "en") for i in range(6000)] + [(i, f"der die {i}", "de") for i in range(3000)]
+    found = Counter(r["lang"] for r in language.sample(docs(rows), 100).collect())
+    assert found["en"] == 20 and 60 < found["de"] < 140
