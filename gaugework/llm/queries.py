@@ -8,7 +8,8 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugework.llm import bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding, substring_dedup, token_files, url_filter
+from gaugework.llm import (
+    bpe, decontaminate, exact_dedup, infill, language, mixing, near_dedup, quality, sharding, substring_dedup, token_files, url_filter, whitening)
 from gaugework.llm.common import documents, find_package
 from gaugework.session import new_table_path
 
@@ -178,3 +179,65 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     index = url_filter.mine(url_filter.labelled_pages(pages, labels))
     return url_filter.judge(pages, index).withColumnRenamed("id", "page_id")
+
+
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+n AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS total, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][place % 3 + 1] AS DOUBLE) AS weight, 3 * total AS most FROM n),
+l AS (
+  SELECT *, (sum(total) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (
+  SELECT source, total, CASE WHEN most <= weight * up THEN most ELSE weight * up END AS target
+  FROM (SELECT *, (SELECT max(level) FROM l) AS up FROM l)),
+p AS (
+  SELECT doc_id, size, total, target,
+    sum(size) OVER (PARTITION BY t.source ORDER BY md5('1:' || CAST(doc_id AS VARCHAR)) ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, total AS source_size, CAST(target AS DOUBLE) AS target, CAST(size * (
+    CAST(2 * start + size < 2 * target AS INT) + CAST(2 * (start + total) + size < 2 * target AS INT)
+    + CAST(2 * (start + 2 * total) + size < 2 * target AS INT)) AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query(MIXING_SQL)
+def op11_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of all sources takes."""
+    return mixing.mix(documents(spark, sf_dir)).rows.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
+
+
+INFILL_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS s FROM documents),
+h AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2,
+    CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, low) AS prefix, substring(t, low + 1, high - low) AS middle, substring(t, high + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query(INFILL_SQL)
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and the text rebuilt from it."""
+    return infill.restore(infill.transform(documents(spark, sf_dir))).select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query()
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every embedding."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return whitening.fit_and_whiten(rows).withColumnRenamed("id", "vec_id")
