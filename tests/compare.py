@@ -30,6 +30,15 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows)
 
 
+def whole_numbers(got: pd.DataFrame, want: pd.DataFrame) -> None:
+    """Nulls turn a column of integers into floats on one side or the other: make such columns integers again."""
+    for c in want.columns:
+        if pd.api.types.is_integer_dtype(got[c]) != pd.api.types.is_integer_dtype(want[c]):
+            for df in (got, want):
+                if pd.api.types.is_float_dtype(df[c]) and (df[c].dropna() % 1 == 0).all():
+                    df[c] = df[c].astype("Int64")
+
+
 def differences(spark, con, fn, sql: str, sf_dir: str) -> str | None:
     got = fn(spark, sf_dir).toPandas()
     want = con.execute(sql).df()
@@ -37,6 +46,7 @@ def differences(spark, con, fn, sql: str, sf_dir: str) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
+    whole_numbers(got, want)
     for c in got.columns:
         if pd.api.types.is_numeric_dtype(want[c]) != pd.api.types.is_numeric_dtype(got[c]):
             return f"type of {c}: {got[c].dtype} != {want[c].dtype}"
