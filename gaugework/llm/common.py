@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -19,11 +20,37 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors."""
-    path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def written(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors.
+
+    The shuffles of the job are given up as soon as the table stands, as nothing reads them again.
+    """
+    spark, path = df.sparkSession, path or new_table_path(df.sparkSession, name)
+    with _no_shuffles_left(spark):
+        df.write.mode(mode).parquet(path)
+    return spark.read.parquet(path)
+
+
+@contextmanager
+def _no_shuffles_left(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing will read again."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            spark, folder = table.sparkSession, files[0].rsplit("/", 1)[0]
+            assert "/tables/" in folder, folder
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -10,15 +10,19 @@ Texts with equal sets are one node. Links are found without making the pairs of
 
 1. every node of a band bucket is paired with the bucket's first node, which is one row per member;
    registers rule out most, the others are verified on full sets; linked nodes form components;
-2. only buckets that still hold several components are compared further, in blocks of bounded
-   size inside tasks, and only pairs of different components whose registers allow a link come out;
-   these are verified on full sets as well.
+2. buckets that still hold several components are compared inside tasks, pair by pair on registers. What
+   comes out is not the pairs that may be links but a spanning forest of them: its trees are the groups
+   in which such pairs lie, and a task sends at most as many rows as it has nodes;
+3. the full sets of a group's nodes meet in a task, which settles every pair of different components that
+   registers cannot rule out and sends the links that join components, again fewer than it has nodes.
+
+Large buckets and groups are dealt in blocks that meet in pairs, so a task never holds more than two
+blocks. Pairs within a component need no look: the largest component's nodes meet only the others' blocks.
 
 A pair is ruled out by the sizes of the sets; by the mismatching registers, each of which proves a
 shingle that is in one set only; and by the Jaccard estimate, corrected for chance collisions of
 folded registers, if it is more than 5.5 standard deviations below the threshold. The first two are
-exact. Sets of at most 256 shingles also bring 32 bits of each hash along, which settles a pair of
-them inside the task; other pairs that registers leave open are settled by verification alone.
+exact. What registers leave open is settled on full sets, whatever their size.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing.
 Repeated rows are members of one node. Null ids take part and never become a component's id while
@@ -27,7 +31,7 @@ another id is there. Empty tables give empty results. Extra columns do not matte
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from gaugework.llm.common import Memo, arrow_type, bounded_broadcast, grouped, slices, without, written
+from gaugework.llm.common import Memo, arrow_type, bounded_broadcast, discard, grouped, slices, without, written
 from gaugework.llm.components import connected_components
 
 SHINGLE = 5
@@ -51,8 +55,8 @@ DEVIATIONS = 5.5
 BLOCK = 1024
 FINE_BITS = 10
 FINE = 1 << FINE_BITS
-#: Sets up to this size travel with 32 bits of each of their hashes.
-SMALL = 256
+#: Bytes of full sets in a block.
+BLOCK_BYTES = 4 << 20
 #: Values of a folded register besides 0 for an empty bucket.
 FOLD = 15
 MAX_BROADCAST_IDS = 500_000
@@ -107,23 +111,6 @@ def folded(found: np.ndarray) -> np.ndarray:
     return four[0::2] | (four[1::2] << 4)
 
 
-def small(found: np.ndarray) -> bytes:
-    """The upper halves of the hashes of a sorted set, in order; nothing for larger sets."""
-    return (found >> np.uint64(32)).astype(np.uint32).tobytes() if len(found) <= SMALL else b""
-
-
-def small_may_link(one: bytes, others: list[bytes], percent: int = PERCENT) -> np.ndarray:
-    """Which of the small sets ``others`` can be linked with the small set ``one``; none is empty.
-
-    Hashes that agree in 32 bits only make sets look more alike, so no link is ruled out.
-    """
-    own, flat = np.frombuffer(one, dtype=np.uint32), np.frombuffer(b"".join(others), dtype=np.uint32)
-    n, m = len(own), np.fromiter(map(len, others), np.int64, len(others)) // 4
-    hit = own[np.minimum(np.searchsorted(own, flat), n - 1)] == flat
-    both = np.add.reduceat(hit, np.cumsum(m) - m, dtype=np.int64)
-    return 100 * both >= percent * (n + m - both)
-
-
 def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Which rows of folded registers ``a`` (set sizes ``n``) and ``b`` (sizes ``m``) can belong to linked sets."""
     keep = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
@@ -144,10 +131,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, digest, n, a, b, registers, fine, small): a and b are a 128-bit hash of the whole set."""
+    """(id, digest, n, a, b, registers, fine): a and b are a 128-bit hash of the whole set."""
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
     kind = arrow_type(named, "id")
-    names = ["id", "digest", "n", "a", "b", "registers", "fine", "small"]
+    names = ["id", "digest", "n", "a", "b", "registers", "fine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -157,13 +144,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 part.column("id"), part.column("digest"), pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()),
                 pa.array([registers(s).tobytes() for s in sets], pa.binary()),
                 pa.array([folded(s).tobytes() for s in sets], pa.binary()),
-                pa.array([small(s) for s in sets], pa.binary()),
             ], names=names)
         _word_hashes().clear()
 
     long = T.LongType()
     out = T.StructType([named.schema["id"], *(T.StructField(c, long) for c in names[1:5]), T.StructField("registers", T.BinaryType()),
-                        T.StructField("fine", T.BinaryType()), T.StructField("small", T.BinaryType())])
+                        T.StructField("fine", T.BinaryType())])
     assert kind is not None
     return named.mapInArrow(run, out)
 
@@ -200,9 +186,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("x", "y", "n_x", "n_y", "r_x", "r_y").mapInArrow(run, "x long, y long")
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs (x, y) that are links on their full sets. ``pairs`` is a written table."""
-    needed = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
+def full_sets(needed: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Written (node, members): the whole sets of the nodes in ``needed`` (written, distinct)."""
     needed = written(needed.join(nodes, "node").select("node", "a", "b", F.col("first_id").alias("its_id")), "near-needed")
     ids = bounded_broadcast(needed.select("its_id").distinct(), MAX_BROADCAST_IDS)
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -217,6 +202,14 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
 
     full = texts.mapInArrow(sets, "a long, b long, members binary").join(needed.select("node", "a", "b"), ["a", "b"])
     full = written(full.select("node", "members").dropDuplicates(["node"]), "near-sets")
+    discard(needed)
+    return full
+
+
+def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """The pairs (x, y) that are links on their full sets. ``pairs`` is a written table."""
+    needed = written(pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct(), "near-needed")
+    full = full_sets(needed, nodes, docs, id_col, text_col)
     for side in ("x", "y"):
         pairs = pairs.join(full.select(F.col("node").alias(side), F.col("members").alias(f"s_{side}")), side)
 
@@ -226,58 +219,127 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
                     for a, b in zip(batch.column("s_x"), batch.column("s_y"), strict=True)]
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    return written(pairs.mapInArrow(check, "x long, y long"), "near-links")
+    found = written(pairs.mapInArrow(check, "x long, y long"), "near-links")
+    discard(needed, full)
+    return found
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and may link.
+def deal(members: DataFrame, limit: int) -> DataFrame:
+    """(key, i, j, own, node, label): the nodes of every key with several labels, dealt so that all pairs of labels meet.
 
-    Large buckets are dealt in blocks, and blocks meet in pairs, so a task never holds more than two blocks.
+    ``members`` is (key, node, label, weight). The nodes of the label that weighs most are dealt into blocks of
+    about ``limit``, the others too. Each block of the former (``i`` below 0) meets each of the latter, and the
+    others' blocks meet in pairs. Nodes travel here alone; what tasks need of them is fetched after.
     """
-    mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.filter("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "fine", "small")
+    of_label = members.groupBy("key", "label").agg(F.sum("weight").alias("weight"))
+    of_key = of_label.groupBy("key").agg(
+        F.max(F.struct("weight", "label")).alias("most"), F.sum("weight").alias("all"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    blocks = lambda weight: F.ceil(weight / limit).cast("int")
+    of_key = of_key.select("key", F.col("most.label").alias("main"), blocks(F.col("most.weight")).alias("mains"),
+                           blocks(F.col("all") - F.col("most.weight")).alias("others"))
+    placed = members.join(of_key, "key").withColumn("is_main", F.col("label") == F.col("main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    placed = placed.withColumn("own", F.when(F.col("is_main"), -1 - own).otherwise(own))
+    meets = F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("others") - 1)).otherwise(
+        F.concat(F.sequence(-F.col("mains"), F.lit(-1)), F.sequence(F.lit(0), F.col("others") - 1)))
+    dealt = placed.withColumn("other", F.explode(meets))
+    return dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label")
+
+
+def _sides(own: np.ndarray, i: int, j: int) -> tuple[np.ndarray, Callable[[int], int]]:
+    """Places of the nodes that look for partners, and from which place on the partners of one stand; nodes are ordered by ``own``."""
+    if i == j:
+        return np.arange(len(own)), lambda at: at + 1
+    first = np.flatnonzero(own == i)
+    return first, lambda at: len(first)
+
+
+def _groups(dealt: DataFrame, run: Callable) -> DataFrame:
     keys = ["key", "i", "j"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, keys):
-            if group.num_rows < 2:
-                continue
-            order = np.argsort(group.column("own").to_numpy(), kind="stable")
-            own, node, label, n = (group.column(c).to_numpy()[order] for c in ("own", "node", "label", "n"))
-            table, sets = _table(group.column("fine"))[order], group.column("small").take(pa.array(order))
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-            first = np.arange(len(own)) if i == j else np.flatnonzero(own == i)
-            start = None if i == j else len(first)
-            left, right = [], []
-            for at in first.tolist():
-                rest = slice(at + 1 if start is None else start, None)
-                fit = np.flatnonzero((label[rest] != label[at]) & (100 * np.minimum(n[rest], n[at]) >= percent * np.maximum(n[rest], n[at])))
-                if len(fit):
-                    fit = fit[may_link(table[at], n[at], table[rest][fit], n[rest][fit], percent)]
-                if len(fit) and n[at] <= SMALL:
-                    own_set, first_of_rest = sets[at].as_py(), rest.start
-                    tiny = n[rest][fit] <= SMALL
-                    settled = small_may_link(own_set, [sets[first_of_rest + f].as_py() for f in fit[tiny].tolist()], percent) if tiny.any() else []
-                    keep = ~tiny
-                    keep[tiny] = settled
-                    fit = fit[keep]
-                if len(fit):
-                    left.append(np.full(len(fit), node[at]))
-                    right.append(node[rest][fit])
-            if left:
-                x, y = np.concatenate(left), np.concatenate(right)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
-
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "x long, y long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        lambda batches: (out for group in grouped(batches, keys) if group.num_rows > 1 for out in run(group)), "x long, y long")
+
+
+def _forest(dealt: DataFrame, percent: int) -> DataFrame:
+    """Edges (x, y) that connect all nodes of different labels that share a bucket and may be linked."""
+
+    def run(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(group.column("own").to_numpy(), kind="stable")
+        own, node, label, n = (group.column(c).to_numpy()[order] for c in ("own", "node", "label", "n"))
+        table, tree = _table(group.column("fine"))[order], np.arange(len(order))
+        places, after = _sides(own, group.column("i")[0].as_py(), group.column("j")[0].as_py())
+        left, right = [], []
+        for at in places.tolist():
+            rest = np.arange(after(at), len(own))
+            # partners of a tree this node is in already bring nothing new
+            fit = rest[(label[rest] != label[at]) & (tree[rest] != tree[at]) & (100 * np.minimum(n[rest], n[at]) >= percent * np.maximum(n[rest], n[at]))]
+            if len(fit):
+                fit = fit[may_link(table[at], n[at], table[fit], n[fit], percent)]
+            if len(fit):
+                trees, one = np.unique(tree[fit], return_index=True)
+                left.append(np.full(len(one), node[at]))
+                right.append(node[fit[one]])
+                tree[np.isin(tree, trees)] = tree[at]
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["x", "y"])
+
+    return _groups(dealt, run)
+
+
+def _joining(dealt: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) on full sets that connect all labels that any link of the group connects."""
+
+    def run(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(group.column("own").to_numpy(), kind="stable")
+        own, node, label = (group.column(c).to_numpy()[order] for c in ("own", "node", "label"))
+        sets = [np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in group.column("members").take(pa.array(order))]
+        n, tree = np.array([len(s) for s in sets]), label.copy()
+        table = np.stack([folded(s) for s in sets])
+        places, after = _sides(own, group.column("i")[0].as_py(), group.column("j")[0].as_py())
+        left, right = [], []
+        for at in places.tolist():
+            rest = np.arange(after(at), len(own))
+            fit = rest[(tree[rest] != tree[at]) & (100 * np.minimum(n[rest], n[at]) >= percent * np.maximum(n[rest], n[at]))]
+            if len(fit):
+                fit = fit[may_link(table[at], n[at], table[fit], n[fit], percent)]
+            for other in fit.tolist():
+                if tree[other] != tree[at] and linked(sets[at], sets[other], percent):
+                    left.append(node[at])
+                    right.append(node[other])
+                    tree[tree == tree[other]] = tree[at]
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["x", "y"])
+
+    return _groups(dealt, run)
+
+
+def across(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Written links between different components of nodes that share a bucket; joins every pair of components that a link joins.
+
+    ``members`` is (key, node), ``labels`` the components (node, label) of the nodes that have links.
+    """
+    labelled = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), F.lit(1).alias("weight"))
+    dealt = written(deal(labelled, BLOCK), "near-dealt")
+    forest = written(_forest(dealt.join(nodes.select("node", "n", "fine"), "node"), percent).distinct(), "near-forest")
+    discard(dealt)
+    if forest.isEmpty():
+        return forest
+    trees = connected_components(forest)
+    full = full_sets(trees.select("node"), nodes, docs, id_col, text_col)
+    sized = trees.join(nodes.select("node", "n"), "node").join(labels.withColumnRenamed("label", "component"), "node", "left")
+    sized = sized.select(F.col("label").alias("key"), "node", F.coalesce("component", "node").alias("label"), (8 * F.col("n")).alias("weight"))
+    dealt = written(deal(sized, BLOCK_BYTES), "near-dealt")
+    found = written(_joining(dealt.join(full, "node"), percent).distinct(), "near-joining")
+    discard(dealt, full, forest)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, digest (of the text), n_shingles, component_id (smallest id reachable by links)."""
     rows = written(sketch(docs, id_col, text_col), "near-sketches")
-    nodes = rows.filter("n > 0").groupBy("a", "b", "n", "registers", "fine", "small").agg(F.min("id").alias("first_id"))
+    # sets of equal hashes are equal, and so are their registers
+    nodes = rows.filter("n > 0").groupBy("a", "b", "n").agg(
+        F.first("registers").alias("registers"), F.first("fine").alias("fine"), F.min("id").alias("first_id"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     keys = band_keys(nodes)
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -286,13 +348,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = written(_possible(stars, nodes, percent), "near-stars")
     links = verify(stars, nodes, docs, id_col, text_col, percent)
     labels = connected_components(links)
-    named = members.join(labels, "node", "left").join(nodes.select("node", "n", "fine", "small"), "node").select(
-        "key", "node", "n", "fine", "small", F.coalesce("label", "node").alias("label"))
-    more = written(_across(named, percent).join(stars, ["x", "y"], "left_anti"), "near-more")
+    more = across(members, labels, nodes, docs, id_col, text_col, percent)
+    discard(members, stars)
     if not more.isEmpty():
-        found = verify(more, nodes, docs, id_col, text_col, percent)
-        if not found.isEmpty():
-            labels = connected_components(links.unionByName(found))
+        labels = connected_components(links.unionByName(more))
     of_node = written(nodes.join(labels, "node", "left").select("a", "b", F.coalesce("label", "node").alias("label"), "first_id"), "near-labels")
     smallest = of_node.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named_nodes = of_node.join(smallest, "label").select("a", "b", "component_id")

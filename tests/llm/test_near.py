@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gaugework.llm import near_dedup
@@ -98,9 +99,49 @@ def test_registers():
             found = near_dedup.may_link(near_dedup.folded(x)[None], np.array([n]), near_dedup.folded(y)[None], np.array([len(y)]))[0]
             assert found or not near_dedup.linked(x, y)
             assert not found or share > 0.5
-            if n <= near_dedup.SMALL:
-                assert near_dedup.small_may_link(near_dedup.small(x), [near_dedup.small(y), near_dedup.small(x)]).tolist() == \
-                    [near_dedup.linked(x, y), True]
+
+
+def near_misses(prose, n, seed, changed=9):
+    """Texts that each change other words of one text: similar, yet below the threshold with one another; every fifth has a twin."""
+    base, rows = prose(900, seed).split(), []
+    for i in range(n):
+        words = list(base)
+        for k in range(changed):
+            words[(i * 37 + k * 97) % 900] = f"changed{i}x{k}"
+        rows.append((seed * 1000 + i, " ".join(words)))
+        if i % 5 == 0:
+            rows.append((seed * 1000 + 500 + i, " ".join([*words, "twin"])))
+    return rows
+
+
+@pytest.mark.parametrize("block,size", [(1024, 4 << 20), (4, 20_000)])
+def test_near_misses_are_settled_in_tasks(docs, prose, monkeypatch, block, size):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
+    made = []
+    for name in ("_forest", "_joining"):
+        def counted(dealt, percent, step=getattr(near_dedup, name)):
+            found = step(dealt, percent).cache()
+            made.append((found.count(), dealt.count()))
+            return found
+        monkeypatch.setattr(near_dedup, name, counted)
+    rows = near_misses(prose, 60, 1) + near_misses(prose, 40, 2, 8) + corpus(prose)[:60]
+    found = near_dedup.near_duplicates(docs(rows)).collect()
+    assert sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == brute(rows)
+    assert made and all(out <= taken for out, taken in made)
+
+
+def test_dealing_makes_every_pair_of_labels_meet(spark):
+    rng = random.Random(0)
+    members = [(k, 100 * k + i, 100 * k + (0 if i < 20 * k else i), 1) for k in range(4) for i in range(30)]
+    rng.shuffle(members)
+    dealt = near_dedup.deal(spark.createDataFrame(members, "key long, node long, label long, weight int"), 7).collect()
+    met = set()
+    for r in dealt:
+        for s in dealt:
+            if (r["key"], r["i"], r["j"]) == (s["key"], s["i"], s["j"]) and r["label"] != s["label"] and (r["i"] == r["j"] or r["own"] != s["own"]):
+                met.add((r["node"], s["node"]))
+    assert met == {(a, b) for k, a, x, _ in members for m, b, y, _ in members if k == m and x != y}
 
 
 def test_components(spark):
