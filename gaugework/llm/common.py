@@ -20,15 +20,15 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def written(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors.
+def written(df: DataFrame, name: str, mode: str = "error", path: str | None = None, by: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, survives lost executors. ``by`` partitions it.
 
     The shuffles of the job are given up as soon as the table stands, as nothing reads them again.
     """
     spark, path = df.sparkSession, path or new_table_path(df.sparkSession, name)
     with _no_shuffles_left(spark):
-        df.write.mode(mode).parquet(path)
-    return spark.read.parquet(path)
+        (df.write.mode(mode).partitionBy(by) if by else df.write.mode(mode)).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -42,15 +42,19 @@ def _no_shuffles_left(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of a table made here."""
+    assert "/tables/" in folder, folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by ``written`` that nothing will read again."""
+    """Delete tables made by ``written`` (without ``by``) that nothing will read again."""
     for table in tables:
         files = table.inputFiles()
         if files:
-            spark, folder = table.sparkSession, files[0].rsplit("/", 1)[0]
-            assert "/tables/" in folder, folder
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(table.sparkSession, files[0].rsplit("/", 1)[0])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -1,235 +1,37 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
+"""Quality by perplexity under interpolated modified Kneser-Ney models of trusted text.
 
 The units are words: trigrams are counted over all trusted texts (every row whose labels say so, no sample)
-and the model and the scores are joins and aggregates of the count tables (``words``).
+and the models and the scores are joins and aggregates of the count tables (``words``).
 
-A document is judged by its excess: the mean bits per word above the median of trusted documents of its
-language, times the square root of its words, so that a short text needs a larger deviation. It is
-accepted up to the ``keep`` quantile of that excess among trusted documents of its language. Medians
-and quantiles come from all trusted texts, each half scored by a model of the other half, so they
-hold for unseen texts too; documents are scored by the model of both. A language with too few trusted texts
-for a quantile of its own keeps its median and takes the quantile of all languages' excesses.
+Texts are halved by a hash; every document, trusted or not, is scored by the model of the trusted texts of the other
+half, so trusted documents are judged like all others. A document is judged by its excess: the mean bits per word above the
+median of trusted documents of its language, times the square root of its words, so that a short text needs a larger
+deviation. It is accepted up to the ``keep`` quantile of that excess among trusted documents of its language. A language
+with too few trusted texts for a quantile of its own keeps its median and takes the quantile of all languages' excesses.
 
 Edge cases: null and empty texts have no perplexity and are not accepted. A language without
-trusted documents, null included, takes the figures of all trusted documents. Without trusted
-documents at all every text with content is accepted and perplexities are null. An id with several labels is
-trusted only if all agree; null labels are not trust. Repeated rows are scored as rows. Empty tables
-give empty results. Added columns get names that the table does not have.
-
-``train`` and ``score`` are a model of byte 4-grams in shards built on the driver. No query uses them.
+trusted documents, null included, takes the figures of all trusted documents. Texts whose model has no trusted text
+(few trusted documents, all in one half, or none) have a null perplexity and are accepted if they have content. An id with several labels is
+trusted only if all agree; null labels are not trust. Equal texts get equal verdicts within a language; repeated rows are scored as rows. Empty tables
+give empty results. Texts are taken whole. Added columns get names that the table does not have.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import lru_cache
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugework.llm import words
-from gaugework.llm.common import bounded_broadcast, slices, written
-from gaugework.llm.words import discounts, discounts_of  # noqa: F401
+from gaugework.llm.common import bounded_broadcast, discard, fresh, written
 
-ORDER = 4
-PAD = b"\0" * (ORDER - 1)
-SHARD_CONTEXTS = 65_535
 KEEP = 0.997
 #: Trusted texts beyond the quantile that a language needs for a limit of its own: 1,000 texts at ``KEEP``.
 SUPPORT = 3
-#: Distinct n-grams that a task gathers before it sends them on.
-TASK_GRAMS = 2_000_000
-#: Bytes of texts scored in one step; the arrays of a step take some twenty times that.
-SLICE_BYTES = 1 << 20
-
-
-def _buffer(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the padded texts in a row, and the byte length of each text."""
-    encoded = [(t or "").encode() for t in texts]
-    joined = np.frombuffer(PAD + PAD.join(encoded), dtype=np.uint8)
-    return joined, np.fromiter(map(len, encoded), np.int64, len(encoded))
-
-
-def _contexts(joined: np.ndarray) -> np.ndarray:
-    """The three bytes before each place from the fourth on, as one number."""
-    b = joined.astype(np.int32)
-    return (b[:-3] << 16) | (b[1:-2] << 8) | b[2:-1]
-
-
-def _inside(lengths: np.ndarray) -> np.ndarray:
-    """Which places from the fourth on are text and not the padding before the next one."""
-    gaps = np.full(len(lengths), len(PAD))
-    gaps[-1] = 0
-    pattern = np.tile([True, False], len(lengths))
-    return np.repeat(pattern, np.column_stack((lengths, gaps)).ravel())
-
-
-def count_grams(docs: DataFrame, text_col: str) -> DataFrame:
-    """(gram, n): four-byte n-grams of all texts, the last byte lowest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
-
-        for part in slices(batches, "text", SLICE_BYTES):
-            joined, lengths = _buffer(part.column("text").to_pylist())
-            found = ((_contexts(joined).astype(np.int64) << 8) | joined[3:])[_inside(lengths)]
-            new, n = np.unique(found, return_counts=True)
-            merged, place = np.unique(np.concatenate((grams, new)), return_inverse=True)
-            counts = np.bincount(place, weights=np.concatenate((counts, n)), minlength=len(merged)).astype(np.int64)
-            grams = merged
-            if len(grams) > TASK_GRAMS:
-                yield batch()
-                grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(grams):
-            yield batch()
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "gram long, n long")
-    return found.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Shard:
-    """Log2 probabilities of the bytes after the contexts of one shard."""
-
-    index: int
-    shards: int
-    contexts: np.ndarray
-    log2: np.ndarray  # row 0 is unused; row r belongs to contexts[r - 1]
-    lower_contexts: np.ndarray
-    lower_log2: np.ndarray
-    lowest_log2: np.ndarray
-    name: str = field(default_factory=lambda: uuid.uuid4().hex)
-
-
-def interpolate(grams: np.ndarray, n: np.ndarray, discount: np.ndarray, lower) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts of ``grams`` and the probabilities of all bytes after each; ``lower`` gives those of shorter contexts."""
-    contexts, row = np.unique(grams >> 8, return_inverse=True)
-    total = np.bincount(row, weights=n)
-    d = discount[np.minimum(n, 3)]
-    table = np.zeros((len(contexts), 256))
-    table[row, grams & 255] = (n - d) / total[row]
-    table += (np.bincount(row, weights=d) / total)[:, None] * lower(contexts)
-    return contexts, table
-
-
-def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = df.select("gram", "n").toArrow()
-    return table.column("gram").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(np.int64)
-
-
-def train(docs: DataFrame, text_col: str = "text") -> Iterator[Shard]:
-    """The shards of the model of all ``docs``; none if they hold no text."""
-    orders = {4: written(count_grams(docs, text_col), "kn-grams")}
-    for order in (3, 2, 1):
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1)).alias("gram")
-        orders[order] = orders[order + 1].select(shorter).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    orders[3] = written(orders[3], "kn-grams")  # the shorter ones derive from it or from the table above
-    grams, n = _arrays(orders[1])
-    if not len(grams):
-        return
-    d = discounts_of(orders[1])[np.minimum(n, 3)]
-    unigram = np.full(256, d.sum() / n.sum() / 256)
-    unigram[grams] += (n - d) / n.sum()
-    bi_contexts, bi = interpolate(*_arrays(orders[2]), discounts_of(orders[2]), lambda c: unigram[None, :])
-    bigram = np.tile(unigram, (256, 1))
-    bigram[bi_contexts] = bi
-    tri_contexts, tri = interpolate(*_arrays(orders[3]), discounts_of(orders[3]), lambda c: bigram[c & 255])
-
-    def lower(contexts: np.ndarray) -> np.ndarray:
-        short = contexts & 0xFFFF
-        at = np.minimum(np.searchsorted(tri_contexts, short), len(tri_contexts) - 1)
-        return np.where((tri_contexts[at] == short)[:, None], tri[at], bigram[short & 255])
-
-    of = F.shiftright("gram", 8)
-    shards = max(1, -(-orders[4].select(of.alias("c")).distinct().count() // SHARD_CONTEXTS))
-    discount = discounts_of(orders[4])
-    while True:
-        sizes = orders[4].select(of.alias("c")).distinct().groupBy((F.col("c") % shards).alias("s")).count().collect()
-        if max(r["count"] for r in sizes) <= SHARD_CONTEXTS:
-            break
-        shards += 1
-    log2 = lambda t: np.log2(t).astype(np.float32)
-    for i in range(shards):
-        contexts, table = interpolate(*_arrays(orders[4].filter(of % shards == i)), discount, lower)
-        yield Shard(i, shards, contexts.astype(np.int32), np.vstack((np.zeros((1, 256), np.float32), log2(table))),
-                    tri_contexts.astype(np.int32), log2(tri), log2(bigram))
-
-
-@lru_cache(maxsize=1)
-def _rows_of(name: str, holder) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers by context, for the long and the short contexts of a shard."""
-    shard = holder.value
-    long = np.zeros(1 << 24, dtype=np.uint16)
-    long[shard.contexts] = np.arange(1, len(shard.contexts) + 1)
-    short = np.full(1 << 16, -1, dtype=np.int32)
-    short[shard.lower_contexts] = np.arange(len(shard.lower_contexts))
-    return long, short
-
-
-def bits(shard: Shard, rows_of: tuple[np.ndarray, np.ndarray], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the shard's positions in each text, and the bytes of each text."""
-    joined, lengths = _buffer(texts)
-    long, short = rows_of
-    context, byte = _contexts(joined), joined[3:]
-    row = long[context]
-    value = shard.log2[row, byte]
-    unseen = np.flatnonzero(row == 0)
-    if len(unseen):
-        c, b = context[unseen], byte[unseen]
-        low = short[c & 0xFFFF]
-        value[unseen] = np.where(low >= 0, shard.lower_log2[np.maximum(low, 0), b], shard.lowest_log2[c & 255, b])
-    if shard.shards > 1:
-        value = np.where(context % shard.shards == shard.index, value, np.float32(0))
-    value = np.where(_inside(lengths), value, np.float32(0))
-    starts = np.cumsum(lengths + len(PAD)) - lengths - len(PAD)
-    sums = np.add.reduceat(np.append(value, np.float32(0)), starts, dtype=np.float64)
-    return np.where(lengths > 0, -sums, 0.0), lengths
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name like ``name`` that ``df`` does not have, in any case of letters."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
-def score(docs: DataFrame, shards: list[Shard], text_col: str = "text") -> tuple[DataFrame, str, str]:
-    """``docs`` with two more columns, bits and bytes, and the names of these."""
-    bits_col, bytes_col = fresh(docs, "kn_bits"), fresh(docs, "kn_bytes")
-    schema = T.StructType([*docs.schema.fields, T.StructField(bits_col, T.DoubleType()), T.StructField(bytes_col, T.LongType())])
-    context = docs.sparkSession.sparkContext
-
-    def pass_over(frame: DataFrame, holder) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shard = holder.value
-            rows_of = _rows_of(shard.name, holder)
-            for part in slices(batches, text_col, SLICE_BYTES):
-                found, sizes = bits(shard, rows_of, part.column(text_col).to_pylist())
-                columns = list(part.columns)
-                if more:
-                    columns[-2:] = [pa.array(found + columns[-2].to_numpy()), columns[-1]]
-                else:
-                    columns += [pa.array(found), pa.array(sizes)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-        more = bits_col in frame.columns
-        return frame.mapInArrow(run, schema)
 
-    if not shards:
-        empty = F.lit(None).cast("double").alias(bits_col)
-        size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias(bytes_col)
-        return docs.select("*", empty, size), bits_col, bytes_col
-    for shard in shards:
-        docs = pass_over(docs, context.broadcast(shard))
-    return docs, bits_col, bytes_col
+def half_of(text: Column) -> Column:
+    """0 or 1; copies of a text are in one half."""
+    return F.pmod(F.xxhash64(text), F.lit(2))
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -245,26 +47,19 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = bounded_broadcast(written(trusted_ids(labels, id_col), "kn-trusted"), 1_000_000)
     trusted = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     trusted = trusted.join(ids, "trusted_id", "left_semi").drop("trusted_id")
-    trusted = trusted.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)))  # copies of a text are in one half
-    counts = words.count(trusted)
-    model = words.train(counts, F.col("n0") + F.col("n1"))
-    base = _means(trusted.filter("half = 1"), words.train(counts, F.col("n0")))
-    base = base.unionByName(_means(trusted.filter("half = 0"), words.train(counts, F.col("n1"))))
-    if base.isEmpty():  # all trusted texts are in one half
-        base = _means(trusted, model)
+    models = words.train(words.count(trusted.withColumn("half", half_of(F.col("text")))), docs.sparkSession)
+    scores = words.score(docs.select(F.col(text_col).alias("text"), half_of(F.col(text_col)).alias("half")), models)
+    discard(models.weights)
+    base = _means(trusted, scores)
     figures = _thresholds(base, keep)
     overall = _thresholds(base.withColumn("lang", F.lit("all")), keep).first()
     center_all, limit_all = (overall["center"], overall["limit"]) if overall else (0.0, float("inf"))
     bytes_col = fresh(docs, "kn_bytes")
     found = docs.withColumn(bytes_col, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
     bits_col, units_col = fresh(found, "kn_bits"), fresh(found, "kn_units")
-    if model is None:
-        found = found.withColumns({bits_col: F.lit(None).cast("double"), units_col: F.lit(None).cast("double")})
-    else:
-        a, b = fresh(found, "kn_a"), fresh(found, "kn_b")
-        scores = words.score(docs.select(F.col(text_col).alias("text")), model).toDF(a, b, bits_col, units_col)
-        keys = dict(zip((a, b), words.text_key(text_col)))
-        found = found.withColumns(keys).join(bounded_broadcast(scores, 250_000), [a, b], "left").drop(a, b)
+    a, b = fresh(found, "kn_a"), fresh(found, "kn_b")
+    keys = dict(zip((a, b), words.text_key(text_col)))
+    found = found.withColumns(keys).join(bounded_broadcast(scores.toDF(a, b, bits_col, units_col), 250_000), [a, b], "left").drop(a, b)
     names = {n: fresh(found, n) for n in ("perplexity", "excess", "threshold", "accepted")}
     center, limit = fresh(found, "kn_center"), fresh(found, "kn_limit")
     lang = fresh(found, "kn_lang")
@@ -280,12 +75,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     }).drop(center, limit, lang, bits_col, units_col), names | {"bytes": bytes_col}
 
 
-def _means(docs: DataFrame, model: words.Model | None) -> DataFrame:
-    """(lang, mean bits per word, words) of the texts with content, written; none without a model."""
-    if model is None:
-        return docs.limit(0).select("lang", F.lit(0.0).alias("mean"), F.lit(0.0).alias("units"))
-    named = docs.select("lang", *(c.alias(n) for c, n in zip(words.text_key("text"), "ab")))
-    scored = named.join(bounded_broadcast(words.score(docs, model), 250_000), ["a", "b"])
+def _means(trusted: DataFrame, scores: DataFrame) -> DataFrame:
+    """(lang, mean bits per word, words) of the trusted texts that have a score, written."""
+    named = trusted.select("lang", *(c.alias(n) for c, n in zip(words.text_key("text"), "ab")))
+    scored = named.join(bounded_broadcast(scores.filter("bits IS NOT NULL"), 250_000), ["a", "b"])
     return written(scored.select("lang", (F.col("bits") / F.col("units")).alias("mean"), "units"), "kn-trusted-scores")
 
 

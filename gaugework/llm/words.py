@@ -1,16 +1,29 @@
-"""Interpolated modified Kneser-Ney model of word trigrams, as joins and aggregates of count tables.
+"""Interpolated modified Kneser-Ney models of word trigrams, as joins and aggregates of count tables.
 
 Words are lower-cased runs of letters and digits, single characters of scripts written without spaces, and
 single other characters that are not white space; each is a 64-bit hash. Two start words stand before every
 text and one end word after it. Trigrams are counted over all texts, bigrams and words are continuation
 counts of the order above, and the word of the lowest order falls back to one of V + 1 equal words.
 
+There are two models, of the texts of half 0 and of half 1, and a text is scored by the model of the other half, so
+no text is scored by what it taught. The lowest bit of a word's hash names the model: one chain of
+tables trains both, and an n-gram's key belongs to one of them.
+
+Trigrams are counted in ``PASSES`` passes over the texts, each for a share of the middle words, and used up in
+``SHARDS`` shards of middle words: a shard holds all that its trigram contexts and its bigrams need. Tables and
+shuffles are given up as soon as nothing reads them again, so that the disk holds the counts about once.
+
 Scoring is one equi-join. With backed-off probabilities the log probability of a text is a sum over
 its n-grams alone: ``unseen`` for every position, and for every n-gram of the model what it adds as the
 end of a position and as the context of the next one. The table of these weights is keyed by the hash of the
-n-gram. Frequent n-grams (at least ``HOT_SHARE`` of the positions, so at most 5 / HOT_SHARE) are added inside the
-scan; a bitmap of fixed size drops n-grams that no weight can belong to; the rest are counted per text
-and meet the weights by a shuffle. Only counts of counts, the frequent weights and the bitmap reach the driver.
+n-gram and may hold several parts of one weight. The most frequent ``HOT_KEYS`` n-grams are added inside the scan; a bitmap of the model's
+n-grams drops most that no weight can belong to, and is asked for longer n-grams only where their parts
+are known; the rest are counted per text and meet the weights by a shuffle, in ``ROUNDS`` rounds by
+key. Only counts of counts, the frequent weights and the bitmap reach the driver. The bitmap has eight places per n-gram, up to
+``MAP_BITS``: with more than some 10**8 n-grams it lets more of them through, never fewer.
+
+Edge cases: null and empty texts have no n-grams and no score. Equal texts are counted as often as they
+occur and scored once. Texts of any length are taken whole; a step holds one slice of texts. Without trained n-grams there is no model.
 """
 
 from __future__ import annotations
@@ -18,21 +31,25 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugework.llm.common import Memo, slices, written
+from gaugework.llm.common import Memo, delete, discard, slices, written
+from gaugework.session import new_table_path
 
 _SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 WORD = re.compile(rf"[{_SINGLE}]|[^\W{_SINGLE}]+|[^\w\s]")
-START, END = 1, 2
-HOT_SHARE = 1 / 40_000
-#: Bits of the bitmap's places; 16 MB for any model.
-MAP_BITS = 27
+START, END = 2, 4
+#: N-grams whose weights are added in the scan.
+HOT_KEYS = 1 << 16
+#: Binary logarithm of the bitmap's places at least and at most: 64 MB.
+MAP_BITS = (20, 29)
+#: Passes that count trigrams, shards that use them, rounds of the join with the weights.
+PASSES, SHARDS, ROUNDS = 2, 6, 2
 SLICE_BYTES = 1 << 20
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
@@ -57,36 +74,49 @@ def _hashes() -> Memo:
     return Memo(xxhash.xxh64_intdigest)
 
 
-def sequence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of the texts in a row with start and end words, and the text each belongs to."""
+def sequence(texts: list[str], models: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of the texts in a row with start and end words, and the text each belongs to; ``models`` has 0 or 1 for each."""
     of, flat, lengths = _hashes().__getitem__, [], []
     for t in texts:
         found = WORD.findall(t.lower())
         flat += [START, START, *map(of, found), END]
         lengths.append(len(found) + 3)
-    return np.array(flat, dtype=np.uint64), np.repeat(np.arange(len(lengths)), lengths)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    return (np.array(flat, dtype=np.uint64) & ~np.uint64(1)) | models.astype(np.uint64)[owner], owner
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def count(docs: DataFrame) -> DataFrame:
-    """Written (u, v, w, n0, n1): word trigrams of ``text`` in rows of ``half`` 0 and 1."""
+def _model(word: str) -> Column:
+    return F.col(word).bitwiseAND(F.lit(1).cast("long"))
+
+
+def _shard(word: str) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SHARDS)).cast("int")
+
+
+def count(docs: DataFrame) -> str:
+    """Folder of the table (u, v, w, n, shard): word trigrams of ``text``, in the model that ``half`` names."""
+    folder = new_table_path(docs.sparkSession, "kn-words")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", SLICE_BYTES):
-            part = part.filter(pa.array([bool(t) for t in part.column("text").to_pylist()], pa.bool_()))
-            if part.num_rows:
-                flat, owner = sequence(part.column("text").to_pylist())
-                at = np.flatnonzero(owner[2:] == owner[:-2])
-                one = part.column("half").to_numpy()[owner[at]].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [_long(flat[at]), _long(flat[at + 1]), _long(flat[at + 2]), pa.array(1 - one), pa.array(one)], names=["u", "v", "w", "n0", "n1"])
+    def run(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text", SLICE_BYTES):
+            rows = rows.filter(pa.array([bool(t) for t in rows.column("text").to_pylist()], pa.bool_()))
+            if not rows.num_rows:
+                continue
+            flat, owner = sequence(rows.column("text").to_pylist(), rows.column("half").to_numpy())
+            shard = np.mod(chained(flat[1:-1]).view(np.int64), SHARDS)
+            at = np.flatnonzero((owner[2:] == owner[:-2]) & (shard % PASSES == part))
+            yield pa.RecordBatch.from_arrays([_long(flat[at]), _long(flat[at + 1]), _long(flat[at + 2])], names=["u", "v", "w"])
         _hashes().clear()
 
-    found = docs.select("text", "half").mapInArrow(run, "u long, v long, w long, n0 long, n1 long")
-    return written(found.groupBy("u", "v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "kn-words")
+    for part in range(PASSES):
+        found = docs.select("text", "half").mapInArrow(partial(run, part=part), "u long, v long, w long")
+        counted = found.groupBy("u", "v", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("shard", _shard("v"))
+        written(counted, "kn-words", mode="append", path=folder, by="shard")
+    return folder
 
 
 def discounts(counts: dict[int, int]) -> np.ndarray:
@@ -98,71 +128,104 @@ def discounts(counts: dict[int, int]) -> np.ndarray:
     return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 1, 2, 3])
 
 
-def discounts_of(grams: DataFrame) -> np.ndarray:
-    rows = grams.filter("n <= 4").groupBy("n").count().collect()
-    return discounts({int(r["n"]): r["count"] for r in rows})
+def _taken(grams: DataFrame, word: str) -> Column:
+    """The discount of ``n`` in ``grams``, by the model of ``word``."""
+    counts: list[dict[int, int]] = [{}, {}]
+    for r in grams.filter("n <= 4").groupBy(_model(word).alias("m"), "n").count().collect():
+        counts[r["m"]][int(r["n"])] = r["count"]
+    n, one = F.col("n"), _model(word) == 1
+    d = [discounts(c) for c in counts]
+    of = lambda i: F.when(one, float(d[1][i])).otherwise(float(d[0][i]))
+    return F.when(n == 1, of(1)).when(n == 2, of(2)).otherwise(of(3))
 
 
 @dataclass
-class Model:
+class Models:
     weights: DataFrame  # (key, x), the frequent ones not among them
     hot_keys: np.ndarray  # sorted
     hot: np.ndarray
     map: np.ndarray
-    unseen: float  # log2 probability of an unseen word in an unseen context
+    unseen: np.ndarray  # per model: log2 probability of an unseen word in an unseen context; nan without a model
 
+    @property
+    def any(self) -> bool:
+        return not np.isnan(self.unseen).all()
 
-def _taken(n: Column, grams: DataFrame) -> Column:
-    d = discounts_of(grams)
-    return F.when(n == 1, float(d[1])).when(n == 2, float(d[2])).otherwise(float(d[3]))
 
+def _context(grams: DataFrame, taken: Column, *words: str) -> DataFrame:
+    """Per context the sum of its counts and the share left to the order below."""
+    return grams.groupBy(*words).agg(F.sum("n").alias("total"), (F.sum(taken) / F.sum("n")).alias("left"))
 
-def train(counts: DataFrame, n: Column) -> Model | None:
-    """The model of the trigrams with counts ``n``; None without any.
 
-    All words of ``counts`` are known words, so models of parts of it give a new word the same share.
-    """
-    tri = counts.select("u", "v", "w", n.alias("n")).filter("n > 0")
-    two = written(tri.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("f")), "kn-words-2")
-    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("f")), "kn-words-1")
-    d1, d2, d3 = (_taken(F.col("n"), t) for t in (one, two, tri))
-    sums = one.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("f").alias("f"), F.sum(d1).alias("d")).first()
-    if not sums["words"]:
-        return None
-    unseen = sums["d"] / sums["n"] / (counts.select("w").distinct().count() + 1)
+def train(folder: str, spark: SparkSession) -> Models:
+    """The models of the trigrams in ``folder``, which are given up."""
     log = F.log2
-    p1 = one.select("w", "f", ((F.col("n") - d1) / F.lit(sums["n"]) + F.lit(unseen)).alias("lower"))
-    after = lambda table, d, *keys: table.groupBy(*keys).agg(
-        F.sum("n").alias("total"), (F.sum(d) / F.sum("n")).alias("left"), F.sum("f" if "f" in table.columns else "n").alias("f"))
-    c2 = written(after(two, d2, "v"), "kn-contexts-1")
-    c3 = written(after(tri, d3, "u", "v"), "kn-contexts-2")
-    p = (F.col("n") - d2) / F.col("total") + F.col("left") * F.col("lower")
-    p2 = two.join(c2.drop("f"), "v").join(p1.drop("f"), "w").select(
-        "v", "w", "f", p.alias("lower"), (log(p) - log("left") - log("lower")).alias("x"))
-    p2 = written(p2, "kn-bigrams")
-    p = (F.col("n") - d3) / F.col("total") + F.col("left") * F.col("lower")
-    p3 = tri.join(c3.drop("f"), ["u", "v"]).join(p2.select("v", "w", "lower"), ["v", "w"]).select(
-        F.xxhash64("u", "v", "w").alias("key"), F.col("n").alias("f"), (log(p) - log("left") - log("lower")).alias("x"))
-    parts = [
-        p1.select(F.xxhash64("w").alias("key"), "f", (log("lower") - F.lit(float(np.log2(unseen)))).alias("x")),
-        c2.select(F.xxhash64("v").alias("key"), "f", log("left").alias("x")),
-        p2.select(F.xxhash64("v", "w").alias("key"), "f", "x"),
-        c3.select(F.xxhash64("u", "v").alias("key"), "f", log("left").alias("x")),
-    ]
-    for part in parts:
-        p3 = p3.unionByName(part)
-    weights = written(p3.groupBy("key").agg(F.sum("x").alias("x"), F.max("f").alias("f")), "kn-weights")
-    often = F.col("f") >= max(1, sums["f"] * HOT_SHARE)
-    hot = weights.filter(often).select("key", "x").toArrow()
-    keys = hot.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    rest = weights.filter(~often).select("key", "x")
-    place = F.shiftrightunsigned("key", 64 - MAP_BITS)
-    filled = rest.groupBy(F.shiftrightunsigned(place, 6).alias("at")).agg(F.bit_or(F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - MAP_BITS}) & 63 AS int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (MAP_BITS - 6), dtype=np.int64)
+    tri = spark.read.schema("u long, v long, w long, n long, shard int").parquet(folder)
+    d3 = _taken(tri, "w")
+    two = new_table_path(spark, "kn-words-2")
+    for part in range(PASSES):
+        own = tri.filter(F.col("shard") % PASSES == part).groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"))
+        written(own.withColumn("shard", _shard("v")), "kn-words-2", mode="append", path=two, by="shard")
+    bi = spark.read.schema("v long, w long, n long, shard int").parquet(two)
+    d2 = _taken(bi, "w")
+    one = written(bi.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "kn-words-1")
+    d1 = _taken(one, "w")
+    known = one.select(F.shiftrightunsigned("w", 1)).distinct().count() + 1  # words of either model: a new word has the same share in both
+    mass, total = [float("nan")] * 2, [1] * 2
+    for r in one.groupBy(_model("w").alias("m")).agg(F.sum("n").alias("n"), F.sum(d1).alias("d")).collect():
+        mass[r["m"]], total[r["m"]] = r["d"] / r["n"] / known, r["n"]
+    of = lambda pair: F.when(_model("w") == 1, pair[1]).otherwise(pair[0])
+    p1 = written(one.select("w", "n", ((F.col("n") - d1) / of(total) + of(mass)).alias("lower"), of(mass).alias("unseen")), "kn-lower-1")
+    c2 = written(_context(bi, d2, "v"), "kn-contexts-1")
+    weights = new_table_path(spark, "kn-weights")
+
+    def add(part: DataFrame) -> None:
+        written(part.select("key", F.col("x").cast("float").alias("x"), F.col("f").cast("int").alias("f")), "kn-weights", mode="append", path=weights)
+
+    add(p1.select(F.xxhash64("w").alias("key"), (log("lower") - log("unseen")).alias("x"), F.col("n").alias("f")))
+    add(c2.select(F.xxhash64("v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
+    of_context = (F.col("n") - d2) / F.col("total")
+    for shard in range(SHARDS):
+        p2 = bi.filter(F.col("shard") == shard).drop("shard").join(c2, "v").join(p1.select("w", F.col("lower").alias("below")), "w").select(
+            "v", "w", "n", "below", "left", (of_context + F.col("left") * F.col("below")).alias("lower"))
+        p2 = written(p2, "kn-lower-2")
+        add(p2.select(F.xxhash64("v", "w").alias("key"), (log("lower") - log("left") - log("below")).alias("x"), F.col("n").alias("f")))
+        own = tri.filter(F.col("shard") == shard).drop("shard")
+        c3 = written(_context(own, d3, "u", "v"), "kn-contexts-2")
+        p = (F.col("n") - d3) / F.col("total") + F.col("left") * F.col("lower")
+        add(own.join(c3, ["u", "v"]).join(p2.select("v", "w", "lower"), ["v", "w"]).select(
+            F.xxhash64("u", "v", "w").alias("key"), (log(p) - log("left") - log("lower")).alias("x"), F.col("n").alias("f")))
+        add(c3.select(F.xxhash64("u", "v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
+        discard(p2, c3)
+        for table in (folder, two):
+            delete(spark, f"{table}/shard={shard}")
+    discard(one, p1, c2)
+    return _models(spark.read.schema("key long, x float, f int").parquet(weights), np.log2(mass))
+
+
+def _models(weights: DataFrame, unseen: np.ndarray) -> Models:
+    step = F.floor(4 * F.log2("f"))
+    steps = sorted((r["step"], r["count"]) for r in weights.groupBy(step.alias("step")).count().collect())
+    total = sum(n for _, n in steps)
+    rarer = total
+    least = 0  # parts of weights from this step on are at most HOT_KEYS
+    for at, n in steps:
+        if rarer <= HOT_KEYS:
+            break
+        rarer, least = rarer - n, at + 1
+    frequent = weights.filter(step >= least)
+    keys = F.broadcast(frequent.select("key").distinct())
+    hot = weights.join(keys, "key", "left_semi").groupBy("key").agg(F.sum("x").alias("x")).toArrow()
+    sorted_keys = hot.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(sorted_keys)
+    rest = weights.join(keys, "key", "left_anti").select("key", "x")
+    bits = min(max((8 * total).bit_length(), MAP_BITS[0]), MAP_BITS[1])
+    place = F.shiftrightunsigned("key", 64 - bits)
+    filled = weights.groupBy(F.shiftrightunsigned(place, 6).alias("at")).agg(F.bit_or(F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 AS int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (bits - 6), dtype=np.int64)
     bitmap[filled.column("at").to_numpy()] = filled.column("bits").to_numpy()
-    return Model(rest, keys[order], hot.column("x").to_numpy()[order], bitmap.view(np.uint64), float(np.log2(unseen)))
+    return Models(rest, sorted_keys[order], hot.column("x").to_numpy()[order].astype(float), bitmap.view(np.uint64), unseen)
 
 
 def text_key(text: str | Column) -> list[Column]:
@@ -170,55 +233,82 @@ def text_key(text: str | Column) -> list[Column]:
     return [F.xxhash64(text), F.hash(text).cast("long")]
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Written (a, b, bits, units): one row per distinct ``text`` with content; ``a`` and ``b`` name it."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.hot_keys, model.hot, model.map, model.unseen))
+def _known(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bits = len(bitmap).bit_length() + 5
+    place = key >> np.uint64(64 - bits)
+    return ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def score(docs: DataFrame, models: Models) -> DataFrame:
+    """Written (a, b, bits, units): a row per distinct ``text`` with content, scored by the model of the other ``half``.
+
+    ``a`` and ``b`` name the text; bits are null if that model has no text.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((models.hot_keys, models.hot, models.map, models.unseen))
     names = ["a", "b", "key", "n", "x", "units", "copies"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
         hot_keys, hot, bitmap, unseen = shared.value
-        for part in slices(batches, "text", SLICE_BYTES):
+        for rows in slices(batches, "text", SLICE_BYTES):
             own: dict[tuple[int, int], list] = {}  # copies of a slice count together
-            for a, b, t in zip(*(part.column(c).to_pylist() for c in ("a", "b", "text")), strict=True):
+            for a, b, half, t in zip(*(rows.column(c).to_pylist() for c in ("a", "b", "half", "text")), strict=True):
                 if t:
-                    own.setdefault((a, b), [t, 0])[1] += 1
+                    own.setdefault((a, b), [t, 1 - half, 0])[2] += 1
             if not own:
                 continue
             name = np.array(list(own), dtype=np.int64)
-            copies = np.array([c for _, c in own.values()], dtype=np.int64)
-            flat, owner = sequence([t for t, _ in own.values()])
+            model, copies = (np.array([v[i] for v in own.values()], dtype=np.int64) for i in (1, 2))
+            flat, owner = sequence([v[0] for v in own.values()], model)
             h1 = chained(flat)
             h2 = chained(flat[1:], h1[:-1])  # of the words at i and i + 1
             h3 = chained(flat[2:], h2[:-1])
-            pair, triple = owner[1:] == owner[:-1], owner[2:] == owner[:-2]
-            key = np.concatenate((h1[1:][pair], h2[pair], h3[triple]))
-            row = np.concatenate((owner[1:][pair], owner[1:][pair], owner[2:][triple]))
+            # a bigram is known only if both words are, a trigram only if both bigrams are; start words are contexts alone
+            first = _known(bitmap, h1)
+            second = (owner[1:] == owner[:-1]) & first[1:] & first[:-1]
+            second[second] = _known(bitmap, h2[second])
+            third = (owner[2:] == owner[:-2]) & second[1:] & second[:-1]
+            third[third] = _known(bitmap, h3[third])
+            first[0] = False
+            first[1:] &= owner[1:] == owner[:-1]
+            key = np.concatenate((h1[first], h2[second], h3[third]))
+            row = np.concatenate((owner[first], owner[1:][second], owner[2:][third]))
             units = np.bincount(owner, minlength=len(own)) - 2
-            x = units * unseen
+            mine = part == 0  # the first round counts what is known already
+            x = units * unseen[model] if mine else np.zeros(len(own))
             if len(hot_keys):
                 at = np.minimum(np.searchsorted(hot_keys, key), len(hot_keys) - 1)
                 hit = hot_keys[at] == key
-                x = x + np.bincount(row[hit], weights=hot[at[hit]], minlength=len(own))
+                if mine:
+                    x = x + np.bincount(row[hit], weights=hot[at[hit]], minlength=len(own))
                 key, row = key[~hit], row[~hit]
-            place = key >> np.uint64(64 - MAP_BITS)
-            may = ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-            key, row = key[may], row[may]
+            here = (key >> np.uint64(8)) % np.uint64(ROUNDS) == part
+            key, row = key[here], row[here]
             order = np.lexsort((key, row))
             key, row = key[order], row[order]
             new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (row[1:] != row[:-1])))[:len(key)])
             n = np.diff(np.append(new, len(key))) * copies[row[new]]
             key, row, none = key[new], row[new], np.zeros(len(new), np.int64)
             # the row of the text itself has its own hash as key and no count, so no weight enters
+            seen = len(own) if mine else 0
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
-                np.concatenate((name[row, 0], name[:, 0])), np.concatenate((name[row, 1], name[:, 1])),
-                np.concatenate((key.view(np.int64), name[:, 0])), np.concatenate((n, np.zeros(len(own), np.int64))),
-                np.concatenate((none.astype(float), x * copies)), np.concatenate((none, units * copies)), np.concatenate((none, copies)),
+                np.concatenate((name[row, 0], name[:seen, 0])), np.concatenate((name[row, 1], name[:seen, 1])),
+                np.concatenate((key.view(np.int64), name[:seen, 0])), np.concatenate((n, np.zeros(seen, np.int64))),
+                np.concatenate((none.astype(float), (x * copies)[:seen])), np.concatenate((none, (units * copies)[:seen])),
+                np.concatenate((none, copies[:seen])),
             )], names=names)
         _hashes().clear()
 
-    named = docs.select(*(c.alias(n) for c, n in zip(text_key("text"), "ab")), "text")
-    rows = named.mapInArrow(run, "a long, b long, key long, n long, x double, units long, copies long")
-    met = rows.join(model.weights.withColumnRenamed("x", "weight"), "key", "left").filter("weight IS NOT NULL OR copies > 0")
-    sums = met.groupBy("a", "b").agg(
-        F.sum(F.col("x") + F.when(F.col("n") > 0, F.col("n") * F.coalesce("weight", F.lit(0.0))).otherwise(0.0)).alias("x"), F.sum("units").alias("units"), F.sum("copies").alias("copies"))
-    return written(sums.select("a", "b", (-F.col("x") / F.col("copies")).alias("bits"), (F.col("units") / F.col("copies")).alias("units")), "kn-bits")
+    named = docs.select(*(c.alias(n) for c, n in zip(text_key("text"), "ab")), "half", "text")
+    folder = new_table_path(docs.sparkSession, "kn-sums")
+    for part in range(ROUNDS):
+        rows = named.mapInArrow(partial(run, part=part), "a long, b long, key long, n long, x double, units long, copies long")
+        own = models.weights.filter(F.pmod(F.shiftrightunsigned("key", 8), F.lit(ROUNDS)) == part)
+        met = rows.join(own.withColumnRenamed("x", "weight"), "key", "left").filter("weight IS NOT NULL OR copies > 0")
+        sums = met.groupBy("a", "b").agg(
+            F.sum(F.col("x") + F.when(F.col("n") > 0, F.col("n") * F.coalesce("weight", F.lit(0.0))).otherwise(0.0)).alias("x"),
+            F.sum("units").alias("units"), F.sum("copies").alias("copies"))
+        written(sums, "kn-sums", mode="append", path=folder)
+    sums = docs.sparkSession.read.schema("a long, b long, x double, units long, copies long").parquet(folder).groupBy("a", "b").agg(
+        *(F.sum(c).alias(c) for c in ("x", "units", "copies")))
+    return written(sums.select("a", "b", F.when(~F.isnan("x"), -F.col("x") / F.col("copies")).alias("bits"),
+                               (F.col("units") / F.col("copies")).alias("units")), "kn-bits")
