@@ -19,10 +19,13 @@ from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugework.operators import svm
+from gaugework.operators import svm, trees
+from gaugework.session import materialise
 
 FEATURES = "features"
 TARGET = "target"
+#: Algorithms that are grown together for all folds and sets.
+TREES = ("DECISION_TREE", "RANDOM_FOREST")
 
 
 def labels_of(df: DataFrame, label: str = "label") -> list[str]:
@@ -87,6 +90,27 @@ def build(algorithm: str, settings: dict, rows: int, seed: int = 42) -> Pipeline
     return Pipeline(stages=stages)
 
 
+def grow_trees(
+    ready: DataFrame, features: Sequence[str], classes: int, models: Sequence[tuple[dict, str, int]], key: str = "id",
+    keep_nodes: bool = False,
+) -> tuple[DataFrame, trees.Fitted]:
+    """All trees and forests of ``models`` (typed settings, algorithm, held-out fold) in joint passes.
+
+    Returns the held-out rows of ``ready`` with ``forest`` (the model's place) and ``shares`` (a probability per
+    class), and the fit.
+    """
+    def forest(settings: dict, algorithm: str, held: int) -> trees.Forest:
+        if algorithm == "DECISION_TREE":
+            return trees.Forest(held, settings["impurity"], settings["max_depth"])
+        return trees.Forest(held, "gini", settings["max_depth"], settings["num_trees"], settings.get("subsampling_rate", 1.0))
+
+    laid = materialise(ready.drop(FEATURES).withColumns({
+        "row": F.monotonically_increasing_id(), "hash": F.xxhash64(key), "x": F.array(*[F.col(c).cast("double") for c in features])}))
+    fitted = trees.fit(laid, [forest(*m) for m in models], len(features), classes, keep_nodes)
+    scores = laid.drop("hash", "x").join(fitted.scores.withColumnRenamed("probs", "shares"), "row")
+    return scores, fitted
+
+
 def train_machines(
     ready: DataFrame, settings: dict, features: Sequence[str], classes: int, seed: int = 42
 ) -> dict[int, Pipeline]:

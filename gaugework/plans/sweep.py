@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
-from gaugework.operators import classifiers, knn
+from gaugework.operators import classifiers, knn, trees
 from gaugework.operators.catalog import ParameterSet, model_name
 from gaugework.operators.folds import check_folds, holdout
 from gaugework.session import materialise
@@ -32,8 +32,9 @@ def run_sweep(
 
     Returns one scored table: (run_id, model_name, fold_id, parameter_set_id, algorithm,
     version_tag, key, features, actual, predicted, probs). The prepared table is cached once
-    for all fits; the fits are independent Spark jobs, ``parallelism`` of them at a time
-    (support vector machines of one parameter set train for all folds together). Rows without a label
+    for all fits. Decision trees and forests of all folds and sets are grown together, and so are the support
+    vector machines of one parameter set; the other fits are independent Spark jobs, ``parallelism`` of them at a time.
+    Rows without a label
     or with a missing feature are not trained on and get no prediction. With
     ``model_folder`` each fitted pipeline is saved under ``<folder>/<run>/<model name>``.
     """
@@ -47,7 +48,8 @@ def run_sweep(
     check_folds(len(fold_ids))
 
     machines = [p for p in sets if p.algorithm == "SVM"]
-    jobs = [(p, fold) for p in sets for fold in fold_ids]
+    wooden = [p for p in sets if p.algorithm in classifiers.TREES]
+    jobs = [(p, fold) for p in sets if p not in wooden for fold in fold_ids]
 
     def train(p: ParameterSet) -> dict[int, Pipeline]:
         return classifiers.train_machines(ready, p.typed(), features, len(labels), seed)
@@ -83,12 +85,35 @@ def run_sweep(
         F.lit(None).cast("string").alias("predicted"),
         F.lit(None).cast("map<string,double>").alias("probs"),
     )
+    def grow(chosen: list[ParameterSet]) -> list[DataFrame]:
+        if not chosen:
+            return []
+        models = [(p, fold) for p in chosen for fold in fold_ids]
+        scores, fitted = classifiers.grow_trees(ready, features, len(labels), [(p.typed(), p.algorithm, fold) for p, fold in models], key,
+                                                model_folder is not None)
+        names = [f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}" for p, fold in models]
+        if model_folder:
+            for i, (_, fold) in enumerate(models):
+                trees.save(fitted, i, fold, f"{model_folder}/{run_id}/{names[i]}", features, labels)
+        about = F.array(*[F.struct(
+            F.lit(run_id).alias("run_id"), F.lit(name).alias("model_name"), F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
+            F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag")) for name, (p, _) in zip(names, models)])
+        label_names = F.array(*[F.lit(x) for x in labels])
+        named = scores.withColumn("about", about[F.col("forest").cast("int")])
+        return [named.select(
+            "about.run_id", "about.model_name", "fold_id", "about.parameter_set_id", "about.algorithm", "about.version_tag",
+            key, *features, F.col(label).alias("actual"),
+            F.element_at(label_names, F.array_position("shares", F.array_max("shares")).cast("int")).alias("predicted"),
+            F.map_from_arrays(label_names, "shares").alias("probs"))]
+
     on_thread = inheritable_thread_target(spark)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
+            grown = pool.submit(on_thread(grow), wooden)
             by_set = pool.map(on_thread(train), machines)
             trained = {p.parameter_set_id: m for p, m in zip(machines, by_set)}
             parts = list(pool.map(on_thread(fit_and_score), jobs))
+            parts += grown.result()
         return materialise(reduce(DataFrame.unionByName, [*parts, unscored]))
     finally:
         ready.unpersist()
