@@ -174,10 +174,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A verdict for every page's URL: the stated rule's, else that of the rules mined from labels."""
+    """A verdict for every page's URL: the stated rule's, else that of rules mined from the URLs that stated rules decide."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    index = url_filter.mine(url_filter.labelled_pages(pages, labels))
+    index = url_filter.mine(url_filter.labelled_pages(pages))
     return url_filter.judge(pages, index).withColumnRenamed("id", "page_id")
 
 

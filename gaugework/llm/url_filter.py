@@ -1,20 +1,24 @@
 """URL filters by association rules over URL tokens.
 
-Stated rules (host and path start) decide first. For the rest, combinations of URL tokens are mined with a
-label, allow or block: up to three tokens from anywhere in the URL by exact counts, longer ones by Spark's FP-growth. The rules mined are kept if their support,
-confidence and lift are high enough, ranked, and indexed by the rarest token of their condition: a URL's
+Stated rules (host and path start) decide first. For the rest, Spark's FP-growth mines combinations of URL
+tokens that go with a label, allow or block, in labelled URLs. The rules mined are kept if their support,
+confidence and lift are high enough, and indexed by the rarest token of their condition: a URL's
 tokens meet that inverted index in one join, the rest of the condition is checked on the URL's
-token set, and the best-ranked rule decides. A URL that no rule meets is allowed.
+token set, and the best rule decides (confidence, support, shortest condition, then order of text). A URL
+that no rule meets is allowed.
 
-Tokens are the domain suffixes of the host, the path segments with their depth, and the query's keys.
-Tokens below the minimum support are dropped by one exact count first. Combinations of up to ``COMBINED``
-of the others are counted, whatever their places; longer ones are mined among the first ``MINED_TOKENS``
-tokens of a URL (suffixes of up to three names, two segments, three keys), as all subsets of a URL's tokens would be
-exponentially many. Matching takes all tokens of every URL.
+Tokens are the domain suffixes of the host, the path segments with their depth, and the query's keys, from any place
+of a URL and of any number. What is mined is made small without losing a verdict:
+
+- tokens of fewer than ``LEAST_URLS`` labelled URLs, or less than the support, cannot be in a rule;
+- a token that goes with one label alone is a rule by itself, which outranks every longer rule with it;
+- tokens that occur in exactly the same URLs (the suffixes of a host, say) are mined as one, named by the shortest.
+
+What is left is inherent to FP-growth: its work follows the number of frequent sets of undecided tokens.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path, meets no rule and is allowed. Equal
-URLs get equal verdicts; repeated rows are rows; null ids stay null. Without labels nothing is
-mined. An empty table gives an empty result. Extra columns do not matter.
+URLs get equal verdicts; repeated rows are rows; null ids stay null. Without labels, or with one label only, nothing is
+mined. An empty table gives an empty result. URLs are taken whole. Extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -24,18 +28,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugework.llm.common import LOWER, UPPER, bounded_broadcast, written
+from gaugework.llm.common import LOWER, UPPER, written
+from gaugework.session import broadcast_if_small
 
 ALLOW, BLOCK = "allow", "block"
-MINED_TOKENS = 8
-#: Longest conditions of tokens from any place.
-COMBINED = 3
+#: Least support of a rule: a share of the labelled URLs, and a number of them.
 SUPPORT = 0.002
+LEAST_URLS = 10
 CONFIDENCE = 0.9
 LIFT = 1.05
-MAX_BROADCAST_RULES = 300_000
 _LABEL = "label="
 
 
@@ -81,8 +84,8 @@ def stated(host_: Column, path_: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def tokens(url: Column, mined_only: bool = False) -> Column:
-    """Distinct tokens of a URL; ``mined_only`` leaves those that long combinations are mined of."""
+def tokens(url: Column) -> Column:
+    """Distinct tokens of a URL."""
     names = F.split(host(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.concat(
         F.lit("host="), F.concat_ws(".", F.slice(names, F.size(names) - i + 1, i))))
@@ -90,94 +93,69 @@ def tokens(url: Column, mined_only: bool = False) -> Column:
     segments = F.transform(parts, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), s))
     query = F.coalesce(F.regexp_extract(url, r"://[^?#]*\?([^#]*)", 1), F.lit(""))
     keys = F.transform(F.array_remove(F.split(query, "&"), ""), lambda p: F.concat(F.lit("key="), F.substring_index(p, "=", 1)))
-    if mined_only:
-        suffixes, segments, keys = F.slice(suffixes, 1, 3), F.slice(segments, 1, 2), F.slice(F.array_distinct(keys), 1, 3)
     return F.array_distinct(F.concat(suffixes, segments, keys))
 
 
 def mine(labelled: DataFrame, url_col: str = "url", label_col: str = "label", support: float = SUPPORT,
-         confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
-    """Written table of rules (rank, token, condition, verdict): ``token`` is the rarest of ``condition``."""
-    label = F.concat(F.lit(_LABEL), F.col(label_col))
-    named = labelled.filter(F.col(url_col).contains("://") & F.col(label_col).isin(ALLOW, BLOCK)).select(
-        tokens(F.col(url_col)).alias("tokens"), F.array_append(tokens(F.col(url_col), True), label).alias("items"), label.alias("label"))
-    named = written(named, "url-items")
-    of_label = named.groupBy("label").count()
-    total = sum(r["count"] for r in of_label.collect())
-    least = math.ceil(support * total)
-    single = written(named.select(F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least), "url-tokens")
-    rules = combined(named, single, of_label, total, least).filter((F.col("confidence") >= confidence) & (F.col("lift") >= lift))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(named.select("items"))
-    long = model.associationRules.select(
-        F.array_sort("antecedent").alias("condition"), F.col("consequent")[0].alias("consequent"), "confidence", "lift", "support")
-    long = long.filter(F.col("consequent").startswith(_LABEL) & (F.col("lift") >= lift) & (F.size("condition") > COMBINED))
-    rules = written(rules.unionByName(long), "url-rules")
-    best = Window.orderBy(F.desc("confidence"), F.desc("support"), F.size("condition"), "condition", "consequent")
-    ranked = rules.withColumn("rank", F.row_number().over(best))  # rules, not rows: each has the minimum support
-    rarest = Window.partitionBy("rank").orderBy("freq", "token")
-    return written(ranked.select("*", F.explode("condition").alias("token")).join(single, "token").withColumn(
-        "place", F.row_number().over(rarest)).filter("place = 1").select(
-        "rank", "token", "condition", F.substring_index("consequent", "=", -1).alias("verdict")), "url-index")
-
-
-def combined(named: DataFrame, single: DataFrame, of_label: DataFrame, total: int, least: int) -> DataFrame:
-    """(condition, consequent, confidence, lift, support) of up to ``COMBINED`` frequent tokens with each label.
-
-    Level by level: a combination is extended only if it is frequent itself.
-    """
-    row = F.monotonically_increasing_id()
-    rows = written(named.select(row.alias("row"), "label", F.explode("tokens").alias("token")).join(
-        bounded_broadcast(single.select("token"), MAX_BROADCAST_RULES), "token"), "url-frequent")
-    of_row = rows.groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("tokens"))  # the tokens of one URL
-    held = rows.select("row", "label", F.array("token").alias("condition"))
-    base = of_label.select(F.col("label").alias("consequent"), (F.col("count") / F.lit(total)).alias("share"))
-    found = None
-    for size in range(1, COMBINED + 1):
-        counted = written(held.groupBy("condition", "label").count(), "url-combinations")
-        sums = counted.groupBy("condition").agg(F.sum("count").alias("all"))
-        level = counted.filter(F.col("count") >= least).join(sums, "condition").withColumnRenamed("label", "consequent")
-        level = level.join(F.broadcast(base), "consequent").select(
-            "condition", "consequent", (F.col("count") / F.col("all")).alias("confidence"),
-            (F.col("count") / F.col("all") / F.col("share")).alias("lift"), (F.col("count") / F.lit(total)).alias("support"))
-        found = level if found is None else found.unionByName(level)
-        if size < COMBINED:
-            frequent = sums.filter(F.col("all") >= least).select("condition")
-            kept = held.join(bounded_broadcast(frequent, MAX_BROADCAST_RULES), "condition").join(of_row, "row")
-            later = F.filter("tokens", lambda t: t > F.element_at("condition", -1))
-            held = kept.select("row", "label", "condition", F.explode(later).alias("token")).select(
-                "row", "label", F.array_append("condition", F.col("token")).alias("condition"))
-    return found
+         confidence: float = CONFIDENCE, lift: float = LIFT, least_urls: int = LEAST_URLS) -> DataFrame:
+    """Written table of rules (token, condition, verdict, confidence, support): ``token`` is the rarest of ``condition``."""
+    known = labelled.filter(F.col(url_col).contains("://") & F.col(label_col).isin(ALLOW, BLOCK))
+    named = written(known.select(F.monotonically_increasing_id().alias("row"), F.col(label_col).alias("label"), tokens(F.col(url_col)).alias("tokens")), "url-items")
+    of_label = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}
+    total = sum(of_label.values())
+    least = max(least_urls, math.ceil(support * total))
+    share = F.lit(None).cast("double")
+    for name, n in of_label.items():
+        share = F.when(F.col("verdict") == name, n / total).otherwise(share)
+    each = named.select("row", "label", F.explode("tokens").alias("token"))
+    blocked = F.sum((F.col("label") == BLOCK).cast("long"))
+    rows = [F.bit_xor(F.xxhash64("row", F.lit(i))).alias(f"rows_{i}") for i in range(2)]  # names the set of rows
+    single = written(each.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), blocked.alias("blocked"), *rows).filter(F.col("freq") >= least), "url-tokens")
+    pure = single.filter((F.col("blocked") == 0) | (F.col("blocked") == F.col("freq"))).select(
+        F.array("token").alias("condition"), F.when(F.col("blocked") == 0, ALLOW).otherwise(BLOCK).alias("verdict"),
+        F.lit(1.0).alias("confidence"), (F.col("freq") / F.lit(max(total, 1))).alias("support"))
+    undecided = single.filter((F.col("blocked") > 0) & (F.col("blocked") < F.col("freq")))
+    items = undecided.groupBy("freq", "blocked", "rows_0", "rows_1").agg(
+        F.min(F.struct(F.length("token"), "token"))["token"].alias("token")).select("token")
+    baskets = each.join(broadcast_if_small(written(items, "url-items")), "token").groupBy("row", "label").agg(F.collect_list("token").alias("items"))
+    baskets = written(baskets.select(F.array_append("items", F.concat(F.lit(_LABEL), F.col("label"))).alias("items")), "url-baskets")
+    found, n = pure, baskets.count()
+    if n >= least:
+        # half a URL less than the least count, as the share is turned into a count again
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=confidence).fit(baskets)
+        mined = model.associationRules.filter(F.col("consequent")[0].startswith(_LABEL)).select(
+            F.array_sort("antecedent").alias("condition"), F.substring_index(F.col("consequent")[0], "=", -1).alias("verdict"),
+            "confidence", (F.col("support") * F.lit(n / total)).alias("support"))
+        found = pure.unionByName(mined)
+    rules = written(found.filter((F.col("confidence") >= confidence) & (F.col("confidence") >= lift * share)), "url-rules")
+    key = ["condition", "verdict", "confidence", "support"]
+    rarest = rules.select(*key, F.explode("condition").alias("token")).join(single.select("token", "freq"), "token").groupBy(*key).agg(
+        F.min(F.struct("freq", "token")).alias("rarest"))
+    return written(rarest.select(F.col("rarest.token").alias("token"), *key), "url-index")
 
 
 def judge(urls: DataFrame, index: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: id, host, path, rule (stated rule or null), verdict, by (stated, mined or default)."""
-    index = bounded_broadcast(index, MAX_BROADCAST_RULES)
+    index = broadcast_if_small(index)
     url = F.col("url")
     base = urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select(
         "id", host(url).alias("host"), path(url).alias("path"), tokens(url).alias("tokens"),
         F.monotonically_increasing_id().alias("row"),
     ).withColumn("stated", stated(F.col("host"), F.col("path"), rules))
+    base = base.select("id", "host", "path", "row", F.col("stated.rule").alias("rule"), F.col("stated.verdict").alias("stated_verdict"), "tokens")
     # rows that a stated rule decides bring one empty token, so they stay and match nothing
-    each = F.explode_outer(F.when(F.col("stated").isNull(), F.col("tokens")))
-    exploded = base.select("id", "host", "path", "row", F.col("stated.rule").alias("rule"),
-                           F.col("stated.verdict").alias("stated_verdict"), "tokens", each.alias("own"))
+    exploded = base.select("*", F.explode_outer(F.when(F.col("rule").isNull(), F.col("tokens"))).alias("own"))
     meets = (F.col("own") == index["token"]) & (F.size(F.array_except(index["condition"], F.col("tokens"))) == 0)
-    best = exploded.join(index, meets, "left").groupBy("row", "id", "host", "path", "rule", "stated_verdict").agg(
-        F.min("rank").alias("rank"))
-    verdicts = bounded_broadcast(index.select("rank", F.col("verdict").alias("mined")), MAX_BROADCAST_RULES)
-    return best.join(verdicts, "rank", "left").select(
+    met = F.when(F.col("token").isNotNull(), F.struct(
+        (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.size("condition").alias("n"), "condition", F.col("verdict").alias("v")))
+    best = exploded.join(index, meets, "left").groupBy("row", "id", "host", "path", "rule", "stated_verdict").agg(F.min(met)["v"].alias("mined"))
+    return best.select(
         "id", "host", "path", "rule", F.coalesce("stated_verdict", "mined", F.lit(ALLOW)).alias("verdict"),
         F.when(F.col("rule").isNotNull(), "stated").when(F.col("mined").isNotNull(), "mined").otherwise("default").alias("by"),
     )
 
 
-def labelled_pages(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """(url, label) for mining: the stated rules' verdicts, else the labels of the page's id if all agree."""
-    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    agreed = labels.groupBy("doc_id").agg(F.min(good.cast("int")).alias("low"), F.max(good.cast("int")).alias("high"))
-    agreed = agreed.filter("low = high").select(
-        F.col("doc_id").alias("labelled_id"), F.when(F.col("low") == 1, ALLOW).otherwise(BLOCK).alias("given"))
-    named = pages.select("page_id", "url", stated(host(F.col("url")), path(F.col("url")), rules)["verdict"].alias("stated"))
-    joined = named.join(agreed, named["page_id"] == agreed["labelled_id"], "left")
-    return joined.select("url", F.coalesce("stated", "given").alias("label")).filter("label IS NOT NULL")
+def labelled_pages(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """(url, label) for mining: the URLs that a stated rule decides, with its verdict."""
+    verdict = stated(host(F.col("url")), path(F.col("url")), rules)["verdict"]
+    return pages.select("url", verdict.alias("label")).filter("label IS NOT NULL")

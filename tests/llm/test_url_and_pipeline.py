@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import random
 
 import corpus_pipeline
 import public_tokenizers
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugework.llm import bpe, quality, url_filter
 
+ALLOW_BY_DEFAULT = "allow"
 URLS = [
     (1, "https://a.net/x"), (2, "http://A.Example.NET/en/1?q#f"), (3, "http://example.net/en"), (4, "https://m.example.com/de/3"),
     (5, "https://notexample.com/de/3"), (6, "https://b.org/fr/9"), (7, "https://org/fr/"), (8, "https://b.org/fr"), (9, None), (10, "no scheme"),
@@ -54,6 +57,80 @@ def test_rules_from_any_place(spark):
     assert [(r["verdict"], r["by"]) for r in url_filter.judge(pages, index).orderBy("id").collect()] == [("block", "mined")] * 3
 
 
+def shuffled(seed, n):
+    return random.Random(seed).sample(range(n), n)
+
+
+def test_pairs_and_triples_that_no_part_decides(spark):
+    """Blocked if two tokens meet (and, elsewhere, three); each alone, and each pair of the three, occurs with both labels."""
+    labelled = []
+    for i in range(60):
+        for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)):
+            labelled.append((f"https://h{i}{a}{b}.org/a{a}/b{b}", "block" if a == b == 1 else "allow"))
+        for k in range(8):
+            a, b, c = k & 1, k >> 1 & 1, k >> 2
+            labelled.append((f"https://g{i}x{k}.info/z/y/p{a}/q{b}/r{c}", "block" if a + b + c == 3 else "allow"))
+    labelled = [labelled[i] for i in shuffled(1, len(labelled))]
+    index = url_filter.mine(spark.createDataFrame(labelled, "url string, label string"), support=0.01)
+    rules = {tuple(r["condition"]): r["verdict"] for r in index.collect()}
+    assert rules["path0=a1", "path1=b1"] == "block" and rules["path2=p1", "path3=q1", "path4=r1"] == "block"
+    urls = ["https://n.org/a1/b1", "https://n.org/a1/b0", "https://n.info/z/y/p1/q1/r1", "https://n.info/z/y/p1/q1/r0", "https://n.info/z/y/p0/q1/r1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert [r["verdict"] for r in url_filter.judge(pages, index).orderBy("id").collect()] == ["block", "allow", "block", "allow", "allow"]
+
+
+def test_rules_equal_all_sets_by_hand(spark):
+    """Every verdict equals that of all frequent sets of tokens, counted and ranked one by one."""
+    rng = random.Random(4)
+    labelled = []
+    for i in range(240):
+        parts = [f"{w}{rng.randint(0, 1)}" for w in "abcd"]
+        block = (parts[0] == "a1" and parts[1] == "b1") or (parts[2] == "c0" and rng.random() < 0.9)
+        labelled.append((f"https://{rng.choice(['x', 'y'])}.com/{'/'.join(parts)}", "block" if block else "allow"))
+    index = url_filter.mine(spark.createDataFrame(labelled, "url string, label string"), support=0.05, confidence=0.8, lift=1.1)
+
+    def own(url):
+        name, *parts = url.split("://")[1].split("/")
+        names = name.split(".")
+        return {*("host=" + ".".join(names[i:]) for i in range(len(names))), *(f"path{i}={p}" for i, p in enumerate(parts))}
+
+    sets = [(own(u), label) for u, label in labelled]
+    every = sorted(set().union(*(s for s, _ in sets)))
+    rules = []
+    for size in range(1, 6):
+        for condition in itertools.combinations(every, size):
+            held = [label for s, label in sets if s.issuperset(condition)]
+            for verdict in ("allow", "block"):
+                n = held.count(verdict)
+                share = sum(label == verdict for _, label in sets) / len(sets)
+                if n >= 12 and n / len(held) >= 0.8 and n / len(held) >= 1.1 * share:
+                    rules.append((-n / len(held), -n, size, condition, verdict))
+    urls = [f"https://{h}.com/{'/'.join(p)}" for h in "xyz" for p in itertools.product(("a0", "a1"), ("b0", "b1"), ("c0", "c1"), ("d0", "d1"))]
+    want = [min((r for r in rules if own(u).issuperset(r[3])), default=[ALLOW_BY_DEFAULT])[-1] for u in urls]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert [r["verdict"] for r in url_filter.judge(pages, index).orderBy("id").collect()] == want
+
+
+def test_long_urls_and_single_urls_make_no_rules(spark):
+    """300 tokens that always meet are one item; URLs below the least count are none; one label teaches nothing."""
+    long = "https://l.com/" + "/".join(f"s{i}" for i in range(300))
+    labelled = [(long + f"/{i}", "block" if i % 2 else "allow") for i in range(30)] + [(f"https://only{i}.com/", "block") for i in range(5)]
+    index = url_filter.mine(spark.createDataFrame(labelled, "url string, label string"))
+    assert index.count() == 0
+    assert url_filter.mine(spark.createDataFrame([(f"https://a.com/{i}", "block") for i in range(50)], "url string, label string")).count() == 0
+
+
+def test_mined_rules_hold_for_pages_they_have_not_seen(spark):
+    """Rules mined from two thirds of the pages that stated rules decide give most of the others the same verdict."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    held = F.crc32(F.encode("url", "UTF-8")) % 3 == 1
+    index = url_filter.mine(url_filter.labelled_pages(pages.filter(~held)))
+    verdict = url_filter.stated(url_filter.host(F.col("url")), url_filter.path(F.col("url")), url_filter.RULES)["verdict"]
+    truth = pages.filter(held).select("page_id", verdict.alias("truth")).filter("truth IS NOT NULL")
+    found = url_filter.judge(pages.filter(held), index, rules=()).join(truth, F.col("id") == F.col("page_id")).filter("by = 'mined'").collect()
+    assert len(found) > 20 and sum(r["verdict"] == r["truth"] for r in found) / len(found) >= 0.9
+
+
 @pytest.fixture(scope="module")
 def sf(spark, docs, prose, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sf"))
