@@ -22,12 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugework.llm.common import bounded_broadcast, lower_ascii, written
+from gaugework.session import broadcast_if_small
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 #: Windows in one broadcast block; a window is at most ``window`` words.
 BLOCK_WINDOWS = 100_000
+#: Bytes of a block that is broadcast.
+BLOCK_BYTES = 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -119,7 +122,8 @@ def contamination(
     found = None
     for i in range(blocks):
         block = index.filter(F.pmod("shingle", F.lit(blocks)) == i) if blocks > 1 else index
-        block = F.broadcast(block.withColumnRenamed("shingle", "prefix"))
+        # words may be of any length, so bytes are checked too; beyond them Spark shuffles the join
+        block = broadcast_if_small(block.withColumnRenamed("shingle", "prefix"), 2 * BLOCK_WINDOWS, BLOCK_BYTES)
         joined = _exploded(docs, text_col, sizes, *key).join(
             block, (F.col("shingle") == F.col("prefix")) & fits & same, "inner" if i else "left",
         )

@@ -4,7 +4,7 @@ Texts are equal when identical after each run of ``[\\x20\\x09-\\x0D]`` is repla
 A row first joins the group of its normalised length. Only groups of two or more go on to the
 hash of a prefix, and only groups of two or more of those to SHA-256 of the whole normalised
 text. All groups are counted by hash aggregation, which combines before the shuffle, so a group
-of copies with a third of all rows is one row per task; texts themselves are never shuffled.
+of copies with a third of all rows is one row per task; finding the groups shuffles no texts.
 
 Edge cases: a null text counts as empty. Of equal texts the smallest id stays; ids that are null
 count as larger than all others. Of repeated rows with the same id exactly one stays. An empty
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugework.llm.common import bounded_broadcast, written
+from gaugework.llm.common import bounded_broadcast, fresh, written
 
 PREFIX_CHARS = 64
 #: Surviving (length, prefix hash) pairs, 16 bytes each, that may be broadcast.
@@ -35,7 +35,7 @@ def survivors(keys: DataFrame) -> DataFrame:
 
 
 def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, sha256 (binary).
+    """One row per input row: id, keep_id, group_size, kept, sha256 (hex), n and prefix (length and prefix hash).
 
     ``sha256`` is null for rows that no longer had company after the prefix hash, unless
     ``digest_all`` asks for it: then the single scan that takes the prefix takes it too.
@@ -70,9 +70,9 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
             )
             rows = written(full, "dedup-rows").join(in_company, ["n", "prefix"], "left")
     alone = rows.filter(F.col("alive").isNull()).select(
-        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha256",
+        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha256", "n", "prefix",
     )
-    alive = rows.filter("alive").select("id", "row", "sha256")
+    alive = rows.filter("alive").select("id", "row", "sha256", "n", "prefix")
     # ids first, then the row that stands for a repeated id: longs only, so both are hash aggregates
     by_id = alive.groupBy("sha256", "id").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first_row"))
     groups = by_id.groupBy("sha256").agg(F.min("id").alias("keep_id"), F.sum("rows").alias("group_size"))
@@ -80,28 +80,35 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
         "sha256", "keep_id", "group_size", "first_row",
     )
     grouped = alive.join(firsts, "sha256").select(
-        "id", "keep_id", "group_size", (F.col("row") == F.col("first_row")).alias("kept"), "sha256",
+        "id", "keep_id", "group_size", (F.col("row") == F.col("first_row")).alias("kept"), "sha256", "n", "prefix",
     )
     return alone.unionByName(grouped)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one row of each group of equal texts."""
-    decided = written(refine(docs, id_col, text_col).filter("group_size > 1"), "dedup-decided")
-    gone = decided.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "sha256")
-    repeated = decided.filter(F.col("id").eqNullSafe(F.col("keep_id")) & ~F.col("kept")).select("id", "sha256").distinct()
-
-    def company(keys: DataFrame, how: str, frame: DataFrame) -> DataFrame:
-        # the hash is taken inside the join condition's projection, so no column name can clash
-        keys = bounded_broadcast(keys, MAX_BROADCAST_ROWS // 4)
-        same = frame[id_col].eqNullSafe(keys["id"]) & (F.sha2(normalised(frame[text_col]), 256) == keys["sha256"])
-        return frame.join(keys, same, how)
+    """The rows of ``docs`` that stay, with all their columns: one row of each group of equal texts.
 
-    stay = company(gone, "left_anti", docs)
-    if repeated.isEmpty():
+    Rows are marked by id, length and prefix hash first; only texts of marked rows are hashed again. Up to
+    ``MAX_BROADCAST_ROWS / 4`` rows to drop are sent to the texts; beyond that Spark shuffles both, texts included.
+    """
+    decided = written(refine(docs, id_col, text_col).filter("group_size > 1"), "dedup-decided")
+    gone = decided.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "n", "prefix", "sha256", F.lit(True).alias("out"))
+    once = decided.filter(F.col("id").eqNullSafe(F.col("keep_id")) & ~F.col("kept")).select("id", "n", "prefix", "sha256", F.lit(False).alias("out"))
+    marks = written(gone.unionByName(once).distinct(), "dedup-marks")
+    names = {c: fresh(docs, f"dedup_{c}") for c in ("id", "n", "prefix", "sha256", "out", "marked")}
+    marks = marks.toDF(*(names[c] for c in ("id", "n", "prefix", "sha256", "out")))
+    text = normalised(F.col(text_col))
+    near = bounded_broadcast(marks.select(names["id"], names["n"], names["prefix"]).distinct(), MAX_BROADCAST_ROWS // 4).withColumn(names["marked"], F.lit(True))
+    same = F.col(id_col).eqNullSafe(F.col(names["id"])) & (F.length(text) == F.col(names["n"])) & (
+        F.xxhash64(F.substring(text, 1, PREFIX_CHARS)) == F.col(names["prefix"]))
+    marked = docs.join(near, same, "left").drop(names["id"], names["n"], names["prefix"])
+    digest = fresh(marked, "dedup_digest")
+    hashed = marked.withColumn(digest, F.when(F.col(names["marked"]), F.sha2(text, 256))).drop(names["marked"])
+    exact = bounded_broadcast(marks.select(names["id"], names["sha256"], names["out"]).distinct(), MAX_BROADCAST_ROWS // 4)
+    found = hashed.join(exact, F.col(id_col).eqNullSafe(F.col(names["id"])) & (F.col(digest) == F.col(names["sha256"])), "left")
+    stay = found.filter(F.col(names["out"]).isNull()).select(*docs.columns)
+    if once.isEmpty():
         return stay
-    once = company(repeated, "left_semi", docs)
-    key = F.struct(F.col(id_col), F.sha2(normalised(F.col(text_col)), 256))
-    name = "_" + "_".join(docs.columns)  # longer than every column, so it is new
-    once = once.withColumn(name, key).dropDuplicates([name]).drop(name)
-    return company(repeated, "left_anti", stay).unionByName(once)
+    # several rows of one id and text: one of them stays
+    single = found.filter(~F.col(names["out"])).dropDuplicates([names["id"], digest]).select(*docs.columns)
+    return stay.unionByName(single)

@@ -123,7 +123,9 @@ def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
     name = f"texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts.write.bucketBy(buckets, "a", "b").option("path", new_table_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the entry of the catalog alone: the files and the frame that reads them stay
+    return table
 
 
 def _names(text_col: str) -> list:
@@ -188,9 +190,10 @@ def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(a, b, places, starts): anchors all of whose windows are repeated, and starts of other repeated windows."""
     found = occurrences(texts, window)
     # of all copies one text is left, but an anchor may recur within it
-    recurring = found.groupBy("anchor").agg(
+    # written, so that the join deals its rows anew and Spark can split those of a frequent anchor
+    recurring = written(found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("extended").alias("low"), F.max("extended").alias("high"),
-    ).filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("several"))
+    ).filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("several")), "substring-recurring")
     hits = written(found.join(recurring, "anchor"), "substring-hits")
     classes = written(hits.groupBy("anchor", "extended").agg(
         F.count(F.lit(1)).alias("n"), F.first("a").alias("a"), F.first("b").alias("b"), F.first("at").alias("at"),

@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
@@ -84,19 +85,39 @@ def access(levels: Sequence[Level], place: int) -> int:
     return found
 
 
+class Encoder:
+    """The library's ids: chunks through a memo, texts that hold an added token's literal whole."""
+
+    def __init__(self, chunks: ChunkMemo, whole: Callable[[list[str]], Sequence[bytes]], literals: list[str]):
+        self.chunks, self.whole, self.literals = chunks, whole, literals
+
+    def forget(self) -> None:
+        self.chunks.forget()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """``texts`` has no nulls."""
+        held = pa.array(np.zeros(len(texts), dtype=bool))
+        for literal in self.literals:
+            held = pc.or_(held, pc.match_substring(texts, literal))
+        some = iter(self.whole(texts.filter(held).to_pylist()))
+        rest = iter(self.chunks.encode(texts.filter(pc.invert(held))))
+        return [next(some) if h else next(rest) for h in held.to_pylist()]
+
+
 @lru_cache(maxsize=2)
-def memo(tokenizer_json: str) -> ChunkMemo:
+def memo(tokenizer_json: str) -> Encoder:
     """One per worker process, so that tasks share it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
 
     def whole(strings: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    literals = sorted(token.content for token in tokenizer.get_added_tokens_decoder().values() if token.content)
+
     # a byte-level token has one character for each of its bytes
     n_bytes = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
     for token, i in tokenizer.get_vocab().items():
@@ -114,7 +135,7 @@ def memo(tokenizer_json: str) -> ChunkMemo:
             encoded += map(packed.__getitem__, map(slice, [0, *last[:-1]], last))
         return encoded
 
-    return ChunkMemo(whole, after_space, MEMO)
+    return Encoder(ChunkMemo(whole, after_space, MEMO), whole, literals)
 
 
 def _segment_schema(kind: T.DataType) -> T.StructType:

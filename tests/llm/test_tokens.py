@@ -80,11 +80,10 @@ def test_addressable_codes(ids):
 
 def test_files(spark, docs, prose, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_TOKENS", 500)
-    rows = [(i * 7 % 101, prose(40 + i, i)) for i in range(101)] + [(200, None), (201, ""), (202, "w " * 9000), (None, "first"), (5, "twin")]
+    rows = [(i * 7 % 101, prose(40 + i, i)) for i in range(101)] + [(200, None), (201, ""), (202, "w " * 9000), (None, "first"), (5, "twin"), (203, "<|endoftext|> hi"), (204, "a <|endoftext|>b\n<|endoftext|>")]
     folder = new_table_path(spark, "test-token-files")
     token_files.write(docs(rows), folder, JSON, end_id=2)
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     ids = {r: [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2] for r in rows}
     found = sorted(token_files.read_documents(spark, folder).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in found] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
@@ -103,6 +102,20 @@ def test_files(spark, docs, prose, monkeypatch):
     assert token_files.read_documents(spark, empty).count() == 0
 
 
+def test_random_strings_equal_the_library():
+    """Spaces, controls, letters, literals of added tokens and parts of them."""
+    import random
+
+    rng, parts = random.Random(7), ["a", "Bc", "é", " ", "  ", "\n", "\t", "\r", "\x00", "\x1c", "\u00a0", "\u3000", "1", "'s", "<|endoftext|>", "<|endo", "|>", "."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    tokenizer = Tokenizer.from_file(JSON)
+    want = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    with open(JSON) as f:
+        found = token_files.memo(f.read()).encode(pa.array(texts))
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in found] == want
+    assert tokenizer.encode("<|endoftext|> hi", add_special_tokens=False).ids[0] == 50256
+
+
 def test_digest_is_stable(encoder):
     assert hashlib.sha256(encoder.encode(pa.array(["Hello world"]))[0]).hexdigest() == \
         hashlib.sha256(np.array([15496, 995], dtype="<u4").tobytes()).hexdigest()
