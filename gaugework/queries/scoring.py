@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from gaugework.functions.exprs import prob_in_array, prob_of
-from gaugework.operators import knn, metrics
+from gaugework.operators import knn, metrics, pivots
 from gaugework.operators.folds import assign_folds
 from gaugework.plans.sweep import run_knn
 from gaugework.queries.base import query, table, tidy
 from gaugework.queries.inputs import (
     BY, BY_SQL, CUSTOMERS_SQL, EVENT_FOLDS_SQL, FEATURES, K, P_PREDICTED_SQL, P_TRUE_SQL, SC_SQL, SEED,
-    customer_folds, event_folds, scored,
+    customer_folds, embedding_rows, event_folds, scored,
 )
 
 NEIGHBOURS = 5
@@ -55,6 +55,23 @@ def knn_predict_events(spark, sf_dir):
     return tidy(knn.predict(event_folds(spark, sf_dir), FEATURES, NEIGHBOURS))
 
 
+_VECTORS_SQL = f"""vs AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS VARCHAR) AS label,
+         ntile({K}) OVER (ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id) AS fold_id FROM embeddings)"""
+
+
+@query(f"""WITH {_VECTORS_SQL},
+near AS (
+  SELECT id, fold_id, unnest(best) AS b, unnest(range(1, len(best) + 1)) AS rank
+  FROM (SELECT q.id, q.fold_id, min({{'distance': list_distance(q.x, t.x), 'id': t.id, 'label': t.label}}, {NEIGHBOURS}) AS best
+        FROM vs q JOIN vs t ON q.fold_id <> t.fold_id GROUP BY q.id, q.fold_id))
+SELECT id, fold_id, rank, b.id AS neighbour_id, b.label AS neighbour_label, round(b.distance, 6) AS distance FROM near""")
+def knn_embeddings(spark, sf_dir):
+    """The nearest embeddings by all 64 components."""
+    split = assign_folds(embedding_rows(spark, sf_dir), K, seed=SEED)
+    return tidy(pivots.search(split, "features", NEIGHBOURS).near)
+
+
 @query(f"""WITH {CUSTOMERS_SQL}, {_near_sql('cu')}, {_VOTES_SQL},
 f AS (
   SELECT fold_id, count(*) AS total, count(*) FILTER (WHERE predicted = label) AS correct
