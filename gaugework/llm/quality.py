@@ -47,8 +47,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = bounded_broadcast(written(trusted_ids(labels, id_col), "kn-trusted"), 1_000_000)
     trusted = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     trusted = trusted.join(ids, "trusted_id", "left_semi").drop("trusted_id")
-    models = words.train(words.count(trusted.withColumn("half", half_of(F.col("text")))), docs.sparkSession)
-    scores = words.score(docs.select(F.col(text_col).alias("text"), half_of(F.col(text_col)).alias("half")), models)
+    texts = docs.select(F.col(text_col).alias("text"), half_of(F.col(text_col)).alias("half"))
+    models = words.train(words.count(trusted.withColumn("half", half_of(F.col("text")))), texts)
+    scores = words.score(texts, models)
     discard(models.weights)
     base = _means(trusted, scores)
     figures = _thresholds(base, keep)

@@ -16,11 +16,12 @@ shuffles are given up as soon as nothing reads them again, so that the disk hold
 Scoring is one equi-join. With backed-off probabilities the log probability of a text is a sum over
 its n-grams alone: ``unseen`` for every position, and for every n-gram of the model what it adds as the
 end of a position and as the context of the next one. The table of these weights is keyed by the hash of the
-n-gram and may hold several parts of one weight. The most frequent ``HOT_KEYS`` n-grams are added inside the scan; a bitmap of the model's
-n-grams drops most that no weight can belong to, and is asked for longer n-grams only where their parts
-are known; the rest are counted per text and meet the weights by a shuffle, in ``ROUNDS`` rounds by
-key. Only counts of counts, the frequent weights and the bitmap reach the driver. The bitmap has eight places per n-gram, up to
-``MAP_BITS``: with more than some 10**8 n-grams it lets more of them through, never fewer.
+n-gram and may hold several parts of one weight. Most n-grams of a model occur in no text that it scores, and most
+of a text are in no model; two bitmaps keep both out. One of all n-grams of the models is laid over the texts, asked for longer n-grams only
+where their parts are known; what it lets through makes the second, and only n-grams in that get weights. The most frequent ``HOT_KEYS`` n-grams are added inside the scan;
+the rest are counted per text and meet the weights by a shuffle, in ``ROUNDS`` rounds by key. Only counts of counts, the frequent weights and the
+bitmaps reach the driver. A bitmap has four to eight places per n-gram, up to ``MAP_BITS``: with more than some 10**8 n-grams it lets more of them
+through, never fewer.
 
 Edge cases: null and empty texts have no n-grams and no score. Equal texts are counted as often as they
 occur and scored once. Texts of any length are taken whole; a step holds one slice of texts. Without trained n-grams there is no model.
@@ -50,6 +51,9 @@ HOT_KEYS = 1 << 16
 MAP_BITS = (20, 29)
 #: Passes that count trigrams, shards that use them, rounds of the join with the weights.
 PASSES, SHARDS, ROUNDS = 2, 6, 2
+#: Places that a task gathers before it sends them to a bitmap.
+GATHERED = 1 << 21
+_CHUNK_BITS = 16
 SLICE_BYTES = 1 << 20
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
@@ -97,6 +101,79 @@ def _shard(word: str) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(SHARDS)).cast("int")
 
 
+def _place(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).astype(np.uint32)
+
+
+def _sent(batches: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """(chunk, places): the distinct places of keys, two bytes each, by the leading bits of the place."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        places = np.unique(np.concatenate(held))
+        chunk = places >> np.uint32(_CHUNK_BITS)
+        first = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
+        low = (places & np.uint32((1 << _CHUNK_BITS) - 1)).astype("<u2").tobytes()
+        ends = [*(2 * first[1:]).tolist(), len(low)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(chunk[first].astype(np.int64)), pa.array([low[x:y] for x, y in zip((2 * first).tolist(), ends)], pa.binary())], names=["chunk", "places"])
+
+    for keys in batches:
+        if len(keys):
+            held.append(np.unique(_place(keys, bits)))
+            size += len(held[-1])
+            if size > GATHERED:
+                yield out()
+                held, size = [], 0
+    if held:
+        yield out()
+
+
+def _bitmap(sent: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap of sent places: chunks are put together in tasks."""
+
+    def join(key: tuple, table: pa.Table) -> pa.Table:
+        mark = np.zeros(1 << _CHUNK_BITS, dtype=bool)
+        for blob in table.column("places").to_pylist():
+            mark[np.frombuffer(blob, dtype="<u2")] = True
+        return pa.table({"chunk": pa.array([key[0].as_py()]), "marks": pa.array([np.packbits(mark, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    size = 1 << (_CHUNK_BITS - 3)
+    for batch in sent.groupBy("chunk").applyInArrow(join, "chunk long, marks binary").toArrow().to_batches():
+        for chunk, marks in zip(batch.column("chunk").to_pylist(), batch.column("marks").to_pylist()):
+            out[chunk * size:(chunk + 1) * size] = np.frombuffer(marks, dtype=np.uint8)
+    return out.view(np.uint64)
+
+
+def _known(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bits = len(bitmap).bit_length() + 5
+    place = key >> np.uint64(64 - bits)
+    return ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def _unsigned(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).to_numpy().view(np.uint64)
+
+
+def _lookups(flat: np.ndarray, owner: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams that the bitmap knows, and the text each is in.
+
+    A bigram is known only if both words are, a trigram only if both bigrams are; start words are contexts alone.
+    """
+    h1 = chained(flat)
+    h2 = chained(flat[1:], h1[:-1])  # of the words at i and i + 1
+    h3 = chained(flat[2:], h2[:-1])
+    first = _known(bitmap, h1)
+    second = (owner[1:] == owner[:-1]) & first[1:] & first[:-1]
+    second[second] = _known(bitmap, h2[second])
+    third = (owner[2:] == owner[:-2]) & second[1:] & second[:-1]
+    third[third] = _known(bitmap, h3[third])
+    first[0] = False
+    first[1:] &= owner[1:] == owner[:-1]
+    return np.concatenate((h1[first], h2[second], h3[third])), np.concatenate((owner[first], owner[1:][second], owner[2:][third]))
+
+
 def count(docs: DataFrame) -> str:
     """Folder of the table (u, v, w, n, shard): word trigrams of ``text``, in the model that ``half`` names."""
     folder = new_table_path(docs.sparkSession, "kn-words")
@@ -157,15 +234,71 @@ def _context(grams: DataFrame, taken: Column, *words: str) -> DataFrame:
     return grams.groupBy(*words).agg(F.sum("n").alias("total"), (F.sum(taken) / F.sum("n")).alias("left"))
 
 
-def train(folder: str, spark: SparkSession) -> Models:
-    """The models of the trigrams in ``folder``, which are given up."""
-    log = F.log2
+def _keys_of(table: DataFrame, bits: int, *grams: tuple[str, ...]) -> DataFrame:
+    """The places of n-grams of a table of words, sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def keys() -> Iterator[np.ndarray]:
+            for batch in batches:
+                for gram in grams:
+                    h = None
+                    for word in gram:
+                        h = chained(_unsigned(batch, word), h)
+                    yield h
+
+        yield from _sent(keys(), bits)
+
+    return table.mapInArrow(run, "chunk long, places binary")
+
+
+def _seen_in(docs: DataFrame, bitmap: np.ndarray) -> np.ndarray:
+    """The bitmap of those n-grams in ``bitmap`` that texts hold which are scored by their model."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    bits = len(bitmap).bit_length() + 5
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def keys() -> Iterator[np.ndarray]:
+            for rows in slices(batches, "text", SLICE_BYTES):
+                own = {t: 1 - h for t, h in zip(rows.column("text").to_pylist(), rows.column("half").to_pylist()) if t}
+                if own:
+                    yield _lookups(*sequence(list(own), np.array(list(own.values()))), shared.value)[0]
+            _hashes().clear()
+
+        yield from _sent(keys(), bits)
+
+    found = _bitmap(docs.select("text", "half").mapInArrow(run, "chunk long, places binary"), bits)
+    shared.unpersist()
+    return found
+
+
+def _kept(table: DataFrame, bitmap, *grams: tuple[str, ...]) -> DataFrame:
+    """``table`` with a column per gram, ``in_0`` and so on: whether the (broadcast) bitmap knows it; rows without any are left out."""
+    names = [f"in_{i}" for i in range(len(grams))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = []
+            for gram in grams:
+                h = None
+                for word in gram:
+                    h = chained(_unsigned(batch, word), h)
+                marks.append(_known(bitmap.value, h))
+            out = pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, marks)], names=[*batch.schema.names, *names])
+            yield out.filter(pa.array(np.logical_or.reduce(marks)))
+
+    kinds = ", ".join([*(f"{n} {t}" for n, t in table.dtypes), *(f"{n} boolean" for n in names)])
+    return table.mapInArrow(run, kinds)
+
+
+def train(folder: str, docs: DataFrame) -> Models:
+    """The models of the trigrams in ``folder``, which are given up; weights are those that scoring ``docs`` (text, half) needs."""
+    log, spark = F.log2, docs.sparkSession
     tri = spark.read.schema("u long, v long, w long, n long, shard int").parquet(folder)
     d3 = _taken(tri, "w")
     two = new_table_path(spark, "kn-words-2")
-    for part in range(PASSES):
-        own = tri.filter(F.col("shard") % PASSES == part).groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"))
-        written(own.withColumn("shard", _shard("v")), "kn-words-2", mode="append", path=two, by="shard")
+    for shard in range(SHARDS):
+        own = tri.filter(F.col("shard") == shard).groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"))
+        written(own.withColumn("shard", F.lit(shard)), "kn-words-2", mode="append", path=two, by="shard")
     bi = spark.read.schema("v long, w long, n long, shard int").parquet(two)
     d2 = _taken(bi, "w")
     one = written(bi.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "kn-words-1")
@@ -177,33 +310,41 @@ def train(folder: str, spark: SparkSession) -> Models:
     of = lambda pair: F.when(_model("w") == 1, pair[1]).otherwise(pair[0])
     p1 = written(one.select("w", "n", ((F.col("n") - d1) / of(total) + of(mass)).alias("lower"), of(mass).alias("unseen")), "kn-lower-1")
     c2 = written(_context(bi, d2, "v"), "kn-contexts-1")
+    n_grams = tri.count() + 2 * bi.count() + 2 * one.count()
+    bits = min(max((4 * n_grams).bit_length(), MAP_BITS[0]), MAP_BITS[1])
+    sent = _keys_of(tri.select("u", "v", "w"), bits, ("u", "v"), ("u", "v", "w")).unionByName(
+        _keys_of(bi.select("v", "w"), bits, ("v",), ("v", "w"))).unionByName(_keys_of(one.select("w"), bits, ("w",)))
+    seen = _seen_in(docs, _bitmap(sent, bits))
+    shared = spark.sparkContext.broadcast(seen)
     weights = new_table_path(spark, "kn-weights")
 
     def add(part: DataFrame) -> None:
         written(part.select("key", F.col("x").cast("float").alias("x"), F.col("f").cast("int").alias("f")), "kn-weights", mode="append", path=weights)
 
-    add(p1.select(F.xxhash64("w").alias("key"), (log("lower") - log("unseen")).alias("x"), F.col("n").alias("f")))
-    add(c2.select(F.xxhash64("v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
-    of_context = (F.col("n") - d2) / F.col("total")
+    add(_kept(p1, shared, ("w",)).select(F.xxhash64("w").alias("key"), (log("lower") - log("unseen")).alias("x"), F.col("n").alias("f")))
+    add(_kept(c2, shared, ("v",)).select(F.xxhash64("v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
     for shard in range(SHARDS):
-        p2 = bi.filter(F.col("shard") == shard).drop("shard").join(c2, "v").join(p1.select("w", F.col("lower").alias("below")), "w").select(
-            "v", "w", "n", "below", "left", (of_context + F.col("left") * F.col("below")).alias("lower"))
+        # bigrams that are asked for; those of a trigram that is asked for are among them
+        p2 = _kept(bi.filter(F.col("shard") == shard).drop("shard"), shared, ("v", "w")).join(c2, "v").join(
+            p1.select("w", F.col("lower").alias("below")), "w").select(
+            "v", "w", "n", "below", "left", ((F.col("n") - d2) / F.col("total") + F.col("left") * F.col("below")).alias("lower"))
         p2 = written(p2, "kn-lower-2")
         add(p2.select(F.xxhash64("v", "w").alias("key"), (log("lower") - log("left") - log("below")).alias("x"), F.col("n").alias("f")))
-        own = tri.filter(F.col("shard") == shard).drop("shard")
-        c3 = written(_context(own, d3, "u", "v"), "kn-contexts-2")
+        own = _kept(tri.filter(F.col("shard") == shard).drop("shard"), shared, ("u", "v"), ("u", "v", "w"))
+        c3 = written(_context(own.filter("in_0"), d3, "u", "v"), "kn-contexts-2")
+        add(c3.select(F.xxhash64("u", "v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
         p = (F.col("n") - d3) / F.col("total") + F.col("left") * F.col("lower")
-        add(own.join(c3, ["u", "v"]).join(p2.select("v", "w", "lower"), ["v", "w"]).select(
+        add(own.filter("in_0 AND in_1").join(c3, ["u", "v"]).join(p2.select("v", "w", "lower"), ["v", "w"]).select(
             F.xxhash64("u", "v", "w").alias("key"), (log(p) - log("left") - log("lower")).alias("x"), F.col("n").alias("f")))
-        add(c3.select(F.xxhash64("u", "v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
         discard(p2, c3)
         for table in (folder, two):
             delete(spark, f"{table}/shard={shard}")
     discard(one, p1, c2)
-    return _models(spark.read.schema("key long, x float, f int").parquet(weights), np.log2(mass))
+    shared.unpersist()
+    return _models(spark.read.schema("key long, x float, f int").parquet(weights), np.log2(mass), seen)
 
 
-def _models(weights: DataFrame, unseen: np.ndarray) -> Models:
+def _models(weights: DataFrame, unseen: np.ndarray, bitmap: np.ndarray) -> Models:
     step = F.floor(4 * F.log2("f"))
     steps = sorted((r["step"], r["count"]) for r in weights.groupBy(step.alias("step")).count().collect())
     total = sum(n for _, n in steps)
@@ -219,13 +360,7 @@ def _models(weights: DataFrame, unseen: np.ndarray) -> Models:
     sorted_keys = hot.column("key").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(sorted_keys)
     rest = weights.join(keys, "key", "left_anti").select("key", "x")
-    bits = min(max((8 * total).bit_length(), MAP_BITS[0]), MAP_BITS[1])
-    place = F.shiftrightunsigned("key", 64 - bits)
-    filled = weights.groupBy(F.shiftrightunsigned(place, 6).alias("at")).agg(F.bit_or(F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 AS int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (bits - 6), dtype=np.int64)
-    bitmap[filled.column("at").to_numpy()] = filled.column("bits").to_numpy()
-    return Models(rest, sorted_keys[order], hot.column("x").to_numpy()[order].astype(float), bitmap.view(np.uint64), unseen)
+    return Models(rest, sorted_keys[order], hot.column("x").to_numpy()[order].astype(float), bitmap, unseen)
 
 
 def text_key(text: str | Column) -> list[Column]:
@@ -233,12 +368,6 @@ def text_key(text: str | Column) -> list[Column]:
     return [F.xxhash64(text), F.hash(text).cast("long")]
 
 
-def _known(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bits = len(bitmap).bit_length() + 5
-    place = key >> np.uint64(64 - bits)
-    return ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 def score(docs: DataFrame, models: Models) -> DataFrame:
     """Written (a, b, bits, units): a row per distinct ``text`` with content, scored by the model of the other ``half``.
 
@@ -259,19 +388,7 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
             name = np.array(list(own), dtype=np.int64)
             model, copies = (np.array([v[i] for v in own.values()], dtype=np.int64) for i in (1, 2))
             flat, owner = sequence([v[0] for v in own.values()], model)
-            h1 = chained(flat)
-            h2 = chained(flat[1:], h1[:-1])  # of the words at i and i + 1
-            h3 = chained(flat[2:], h2[:-1])
-            # a bigram is known only if both words are, a trigram only if both bigrams are; start words are contexts alone
-            first = _known(bitmap, h1)
-            second = (owner[1:] == owner[:-1]) & first[1:] & first[:-1]
-            second[second] = _known(bitmap, h2[second])
-            third = (owner[2:] == owner[:-2]) & second[1:] & second[:-1]
-            third[third] = _known(bitmap, h3[third])
-            first[0] = False
-            first[1:] &= owner[1:] == owner[:-1]
-            key = np.concatenate((h1[first], h2[second], h3[third]))
-            row = np.concatenate((owner[first], owner[1:][second], owner[2:][third]))
+            key, row = _lookups(flat, owner, bitmap)
             units = np.bincount(owner, minlength=len(own)) - 2
             mine = part == 0  # the first round counts what is known already
             x = units * unseen[model] if mine else np.zeros(len(own))

@@ -84,15 +84,16 @@ def test_word_models_equal_definition(docs, spark, monkeypatch, hot, passes, sha
         s, p = sequence(t), models[1 - i]
         want.append((-sum(math.log2(p((s[k - 2], s[k - 1]), s[k], 3)) for k in range(2, len(s))), len(s) - 2))
     folder = words.count(docs(list(enumerate(trusted))).withColumn("half", F.col("doc_id") % 2))
-    found = words.train(folder, spark)
-    scored = words.score(docs(rows).withColumn("half", F.col("doc_id") % 2), found).collect()
+    texts = docs(rows).withColumn("half", F.col("doc_id") % 2)
+    scored = words.score(texts, words.train(folder, texts)).collect()
     assert np.allclose(sorted((r["bits"], r["units"]) for r in scored), sorted(want), rtol=1e-5)
 
 
 def test_one_half_without_a_model(docs, spark):
     """Texts whose model has no text have no score."""
     folder = words.count(docs([(0, "a b c"), (2, "a b")]).withColumn("half", F.col("doc_id") % 2))
-    scored = words.score(docs([(0, "a b"), (1, "a b c")]).withColumn("half", F.col("doc_id") % 2), words.train(folder, spark)).collect()
+    texts = docs([(0, "a b"), (1, "a b c")]).withColumn("half", F.col("doc_id") % 2)
+    scored = words.score(texts, words.train(folder, texts)).collect()
     assert sorted(r["bits"] is None for r in scored) == [False, True]
 
 
