@@ -6,9 +6,11 @@ so the fold number and the id never become features.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,7 +21,7 @@ from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugework.operators import svm, trees
+from gaugework.operators import logistic, svm, trees
 from gaugework.session import materialise
 
 FEATURES = "features"
@@ -90,47 +92,74 @@ def build(algorithm: str, settings: dict, rows: int, seed: int = 42) -> Pipeline
     return Pipeline(stages=stages)
 
 
-def grow_trees(
-    ready: DataFrame, features: Sequence[str], classes: int, models: Sequence[tuple[dict, str, int]], key: str = "id",
-    keep_nodes: bool = False,
-) -> tuple[DataFrame, trees.Fitted]:
-    """All trees and forests of ``models`` (typed settings, algorithm, held-out fold) in joint passes.
+def numbered(ready: DataFrame, features: Sequence[str], key: str = "id") -> DataFrame:
+    """``ready`` written once with a row number, the hash of its key and the features as an array, for joint fits."""
+    return materialise(ready.drop(FEATURES).withColumns({
+        "row": F.monotonically_increasing_id(), "hash": F.xxhash64(key), "x": F.array(*[F.col(c).cast("double") for c in features])}))
 
-    Returns the held-out rows of ``ready`` with ``forest`` (the model's place) and ``shares`` (a probability per
-    class), and the fit.
-    """
+
+def grow_trees(
+    laid: DataFrame, features: Sequence[str], classes: int, models: Sequence[tuple[dict, str, int]], keep_nodes: bool = False,
+) -> trees.Fitted:
+    """All trees and forests of ``models`` (typed settings, algorithm, held-out fold) on ``numbered`` rows, in joint passes."""
     def forest(settings: dict, algorithm: str, held: int) -> trees.Forest:
         if algorithm == "DECISION_TREE":
             return trees.Forest(held, settings["impurity"], settings["max_depth"])
         return trees.Forest(held, "gini", settings["max_depth"], settings["num_trees"], settings.get("subsampling_rate", 1.0))
 
-    laid = materialise(ready.drop(FEATURES).withColumns({
-        "row": F.monotonically_increasing_id(), "hash": F.xxhash64(key), "x": F.array(*[F.col(c).cast("double") for c in features])}))
-    fitted = trees.fit(laid, [forest(*m) for m in models], len(features), classes, keep_nodes)
-    scores = laid.drop("hash", "x").join(fitted.scores.withColumnRenamed("probs", "shares"), "row")
-    return scores, fitted
+    return trees.fit(laid, [forest(*m) for m in models], len(features), classes, keep_nodes)
+
+
+@dataclass
+class Linear:
+    """Logistic models fitted together; ``saved`` makes the transformers of one."""
+
+    designs: list[logistic.Design]
+    weights: list[np.ndarray]
+    saved: Callable[[int], PipelineModel]
 
 
 def train_machines(
-    ready: DataFrame, settings: dict, features: Sequence[str], classes: int, seed: int = 42
-) -> dict[int, Pipeline]:
-    """Per held-out fold the pipeline of trained machines with an unfitted calibration.
+    ready: DataFrame, settings: dict, features: Sequence[str], classes: int, fold_ids: Sequence[int], seed: int = 42,
+    cross_fitted: bool = True,
+) -> Linear:
+    """Support vector machines for all held-out folds with their calibration.
 
-    The machines of all folds are trained together. Fitting the pipeline turns margins into
-    probabilities by a logistic fit, a joint multi-class form of Platt (1999).
+    All machines are trained together, and so are the calibrations: a multi-class form of Platt (1999), on margins of machines
+    that have not seen the row (``cross_fitted``), or on those of the training rows themselves.
     """
     kernels = svm.fold_kernels(ready, features, settings["kernel"] == "gaussian", seed,
-                               settings.get("fourier_features", svm.FOURIER_FEATURES))
-    weights = svm.fit(ready, features, classes, settings["complexity"], kernels)
-    calibration = LogisticRegression(
-        featuresCol="margins", labelCol=TARGET, family="multinomial", maxIter=20,
-    )
-    return {
-        held: Pipeline(stages=[
-            *svm.margin_stages(features, kernel, weights[held], "margins"), calibration
-        ])
-        for held, kernel in kernels.items()
-    }
+                               settings.get("fourier_features", svm.FOURIER_FEATURES), pairs=cross_fitted)
+    machines = svm.fit(ready, features, classes, settings["complexity"], kernels)
+    margins = [svm.Margins(f, kernels, machines) for f in fold_ids]
+    designs = [m.design() for m in margins]
+    weights = logistic.fit(ready, features, classes, designs)
+
+    def saved(i: int) -> PipelineModel:
+        own = (margins[i].held,)
+        return logistic.pipeline(svm.margin_stages(features, kernels[own], machines[own]), "machine_margins", weights[i])
+
+    return Linear(designs, weights, saved)
+
+
+def train_regressions(
+    ready: DataFrame, models: Sequence[tuple[dict, int]], features: Sequence[str], classes: int,
+) -> Linear:
+    """Logistic regressions of all (typed settings, held-out fold), together.
+
+    The catalog's plain "0.1" is the ridge on the mean loss and standardised features. A set that names the ``lbfgs`` solver gets
+    that library's default: C = 1 on the summed loss, and raw features. Newton steps reach the same optimum as any solver.
+    """
+    known = logistic.moments(ready, features)
+    designs = []
+    for settings, held in models:
+        rows, mean, var = known[held]
+        named = settings.get("solver") == "lbfgs"
+        penalty = 1.0 / max(rows, 1) if named else settings.get("l2_reg", 0.0)
+        designs.append(logistic.regression(held, rows, mean, var, penalty, not named))
+    weights = logistic.fit(ready, features, classes, designs)
+    return Linear(designs, weights, lambda i: logistic.pipeline(
+        [logistic.standardising(features, designs[i].score)], "regression_x", weights[i]))
 
 
 def score(

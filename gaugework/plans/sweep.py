@@ -7,10 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
-from gaugework.operators import classifiers, knn, trees
+from gaugework.operators import classifiers, knn, logistic, trees
 from gaugework.operators.catalog import ParameterSet, model_name
 from gaugework.operators.folds import check_folds, holdout
 from gaugework.session import materialise
@@ -27,13 +26,15 @@ def run_sweep(
     parallelism: int = 4,
     seed: int = 42,
     model_folder: str | None = None,
+    cross_fitted: bool = True,
 ) -> DataFrame:
     """Fit every (fold, parameter set) on the other folds and score the held-out fold.
 
     Returns one scored table: (run_id, model_name, fold_id, parameter_set_id, algorithm,
     version_tag, key, features, actual, predicted, probs). The prepared table is cached once
-    for all fits. Decision trees and forests of all folds and sets are grown together, and so are the support
-    vector machines of one parameter set; the other fits are independent Spark jobs, ``parallelism`` of them at a time.
+    for all fits. Decision trees and forests of all folds and sets are grown together, logistic regressions are fitted
+    together, and so are the support vector machines of one parameter set with their calibration (``cross_fitted``: on margins
+    of machines that have not seen the row). Only regressions too wide for that are Spark ML jobs, ``parallelism`` at a time.
     Rows without a label
     or with a missing feature are not trained on and get no prediction. With
     ``model_folder`` each fitted pipeline is saved under ``<folder>/<run>/<model name>``.
@@ -47,26 +48,61 @@ def run_sweep(
     fold_ids = sorted(rows)
     check_folds(len(fold_ids))
 
-    machines = [p for p in sets if p.algorithm == "SVM"]
-    wooden = [p for p in sets if p.algorithm in classifiers.TREES]
-    jobs = [(p, fold) for p in sets if p not in wooden for fold in fold_ids]
+    def chosen(*algorithms: str) -> list[tuple[ParameterSet, int]]:
+        return [(p, fold) for p in sets if p.algorithm in algorithms for fold in fold_ids]
 
-    def train(p: ParameterSet) -> dict[int, Pipeline]:
-        return classifiers.train_machines(ready, p.typed(), features, len(labels), seed)
+    together = logistic.fits(len(labels), len(features))
+    wooden = chosen(*classifiers.TREES)
+    machines = [[m for m in chosen("SVM") if m[0] == p] for p in sets if p.algorithm == "SVM"]
+    regressions = chosen("LOGISTIC_REGRESSION") if together else []
+    single = [] if together else chosen("LOGISTIC_REGRESSION")
+    laid = classifiers.numbered(ready, features, key) if len(labels) and (wooden or machines or regressions) else None
 
-    def fit_and_score(job: tuple[ParameterSet, int]) -> DataFrame:
+    def name_of(p: ParameterSet, fold: int) -> str:
+        return f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}"
+
+    def scored(scores: DataFrame, models: list[tuple[ParameterSet, int]]) -> DataFrame:
+        """Scores (row, forest: place of the model, probs) as lines of the scored table."""
+        about = F.array(*[F.struct(
+            F.lit(run_id).alias("run_id"), F.lit(name_of(p, f)).alias("model_name"), F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
+            F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag")) for p, f in models])
+        names = F.array(*[F.lit(x) for x in labels])
+        named = laid.join(scores.withColumnRenamed("probs", "shares"), "row").withColumn("about", about[F.col("forest").cast("int")])
+        return named.select(
+            "about.run_id", "about.model_name", "fold_id", "about.parameter_set_id", "about.algorithm", "about.version_tag",
+            key, *features, F.col(label).alias("actual"),
+            F.element_at(names, F.array_position("shares", F.array_max("shares")).cast("int")).alias("predicted"),
+            F.map_from_arrays(names, "shares").alias("probs"))
+
+    def grow() -> list[DataFrame]:
+        if not wooden:
+            return []
+        fitted = classifiers.grow_trees(laid, features, len(labels), [(p.typed(), p.algorithm, f) for p, f in wooden], model_folder is not None)
+        if model_folder:
+            for i, (p, fold) in enumerate(wooden):
+                trees.save(fitted, i, fold, f"{model_folder}/{run_id}/{name_of(p, fold)}", features, labels)
+        return [scored(fitted.scores, wooden)]
+
+    def separate(models: list[tuple[ParameterSet, int]]) -> list[DataFrame]:
+        if not models:
+            return []
+        if models[0][0].algorithm == "SVM":
+            fitted = classifiers.train_machines(laid, models[0][0].typed(), features, len(labels), [f for _, f in models], seed, cross_fitted)
+        else:
+            fitted = classifiers.train_regressions(laid, [(p.typed(), f) for p, f in models], features, len(labels))
+        if model_folder:
+            for i, m in enumerate(models):
+                fitted.saved(i).write().overwrite().save(f"{model_folder}/{run_id}/{name_of(*m)}")
+        return [scored(logistic.score(laid, features, fitted.designs, fitted.weights, len(labels)), models)]
+
+    def fit_alone(job: tuple[ParameterSet, int]) -> DataFrame:
         p, fold = job
         train_rows, test_rows = holdout(ready, fold)
-        if p.algorithm == "SVM":
-            estimator = trained[p.parameter_set_id][fold]
-        else:
-            estimator = classifiers.build(p.algorithm, p.typed(), sum(rows.values()) - rows[fold], seed)
-        model = estimator.fit(train_rows)
-        name = f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}"
+        model = classifiers.build(p.algorithm, p.typed(), sum(rows.values()) - rows[fold], seed).fit(train_rows)
         if model_folder:
-            model.write().overwrite().save(f"{model_folder}/{run_id}/{name}")
+            model.write().overwrite().save(f"{model_folder}/{run_id}/{name_of(p, fold)}")
         return classifiers.score(model, test_rows, labels, features, key, label).select(
-            F.lit(run_id).alias("run_id"), F.lit(name).alias("model_name"), "fold_id",
+            F.lit(run_id).alias("run_id"), F.lit(name_of(p, fold)).alias("model_name"), "fold_id",
             F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
             F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag"),
             key, *features, "actual", "predicted", "probs",
@@ -85,35 +121,13 @@ def run_sweep(
         F.lit(None).cast("string").alias("predicted"),
         F.lit(None).cast("map<string,double>").alias("probs"),
     )
-    def grow(chosen: list[ParameterSet]) -> list[DataFrame]:
-        if not chosen:
-            return []
-        models = [(p, fold) for p in chosen for fold in fold_ids]
-        scores, fitted = classifiers.grow_trees(ready, features, len(labels), [(p.typed(), p.algorithm, fold) for p, fold in models], key,
-                                                model_folder is not None)
-        names = [f"{prefix}_{p.algorithm}_F{fold}_{p.version_tag}" for p, fold in models]
-        if model_folder:
-            for i, (_, fold) in enumerate(models):
-                trees.save(fitted, i, fold, f"{model_folder}/{run_id}/{names[i]}", features, labels)
-        about = F.array(*[F.struct(
-            F.lit(run_id).alias("run_id"), F.lit(name).alias("model_name"), F.lit(p.parameter_set_id).cast("bigint").alias("parameter_set_id"),
-            F.lit(p.algorithm).alias("algorithm"), F.lit(p.version_tag).alias("version_tag")) for name, (p, _) in zip(names, models)])
-        label_names = F.array(*[F.lit(x) for x in labels])
-        named = scores.withColumn("about", about[F.col("forest").cast("int")])
-        return [named.select(
-            "about.run_id", "about.model_name", "fold_id", "about.parameter_set_id", "about.algorithm", "about.version_tag",
-            key, *features, F.col(label).alias("actual"),
-            F.element_at(label_names, F.array_position("shares", F.array_max("shares")).cast("int")).alias("predicted"),
-            F.map_from_arrays(label_names, "shares").alias("probs"))]
-
     on_thread = inheritable_thread_target(spark)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            grown = pool.submit(on_thread(grow), wooden)
-            by_set = pool.map(on_thread(train), machines)
-            trained = {p.parameter_set_id: m for p, m in zip(machines, by_set)}
-            parts = list(pool.map(on_thread(fit_and_score), jobs))
-            parts += grown.result()
+            grown = pool.submit(on_thread(grow))
+            joint = list(pool.map(on_thread(separate), [*machines, regressions]))
+            parts = [part for group in [grown.result(), *joint] for part in group]
+            parts += pool.map(on_thread(fit_alone), single)
         return materialise(reduce(DataFrame.unionByName, [*parts, unscored]))
     finally:
         ready.unpersist()

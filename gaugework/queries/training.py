@@ -1,6 +1,6 @@
 """Fitted models. Predictions depend on the trainer, so these queries return what must hold for any."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from gaugework.operators import metrics
 from gaugework.operators.catalog import (
@@ -83,6 +83,33 @@ def sweep_scored(spark, sf_dir):
     return _audit(spark, sf_dir, CATALOG)
 
 
+def _loss_of_shares(folds):
+    """Log loss of predicting, for every row, the class shares of the other folds."""
+    own = folds.groupBy("fold_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    of_fold, of_label = Window.partitionBy("fold_id"), Window.partitionBy("label")
+    share = (F.sum("n").over(of_label) - F.col("n")) / (F.sum("n").over(Window.partitionBy()) - F.sum("n").over(of_fold))
+    return own.withColumn("loss", -F.log(share) * F.col("n")).agg((F.sum("loss") / F.sum("n")).alias("loss")).first()["loss"]
+
+
+@query("""SELECT v AS version_tag, (SELECT count(*) FROM customer) AS n_rows, true AS no_worse_than_shares, true AS no_worse_than_in_sample
+FROM (SELECT unnest(['v1', 'v2']) AS v)""")
+def svm_calibration(spark, sf_dir):
+    """Held-out log loss of machines calibrated on margins of unseen rows, beside that of the class shares and of the calibration on training rows.
+
+    A hundredth is allowed for the weights that are fitted to noise.
+    """
+    folds = customer_folds(spark, sf_dir).cache()
+    shares = _loss_of_shares(folds)
+    found = {}
+    for cross in (True, False):
+        scored = run_sweep(folds, FEATURES, parameter_sets(CATALOG[4:6]), "run-1", cross_fitted=cross)
+        found[cross] = metrics.evaluate(scored, "BUILDING", ["version_tag"]).select(
+            "version_tag", F.col("total_predictions").alias("n_rows"), F.col("log_loss").alias(f"loss_{int(cross)}"))
+    return tidy(found[True].join(found[False].drop("n_rows"), "version_tag").select(
+        "version_tag", "n_rows", (F.col("loss_1") <= shares + 0.01).alias("no_worse_than_shares"),
+        (F.col("loss_1") <= F.col("loss_0") + 0.01).alias("no_worse_than_in_sample")))
+
+
 _LEARNERS = [CATALOG[0], CATALOG[2], CATALOG[4], CATALOG[5], LOGISTIC_200]
 
 

@@ -128,6 +128,6 @@ def test_wide_svm_without_driver_sums(spark, monkeypatch):
     df = folds.assign_folds(spark.createDataFrame(rows, ", ".join(["id long", *[f"{n} double" for n in names], "label string"])), 2)
     ready = classifiers.prepare(df, names, [f"c{i}" for i in range(6)])
     weights = svm.fit(ready, names, 6, 1.0, svm.fold_kernels(ready, names, False, 1))
-    assert {f: w.shape for f, w in weights.items()} == {1: (6, 41), 2: (6, 41)}
+    assert {f: w.shape for f, w in weights.items()} == {(1,): (6, 41), (2,): (6, 41)}
     scored = run_sweep(df, names, catalog.parameter_sets(catalog.CATALOG[4:5]), "r")
     assert metrics.fold_accuracy(scored, ["run_id"]).first()["accuracy"] > 0.95
