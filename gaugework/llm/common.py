@@ -26,20 +26,29 @@ def written(df: DataFrame, name: str, mode: str = "error", path: str | None = No
     The shuffles of the job are given up as soon as the table stands, as nothing reads them again.
     """
     spark, path = df.sparkSession, path or new_table_path(df.sparkSession, name)
-    with _no_shuffles_left(spark):
+    with lean(spark):
         (df.write.mode(mode).partitionBy(by) if by else df.write.mode(mode)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Settings of jobs that write tables: shuffles are given up after the job, Arrow batches are bounded by bytes too.
+LEAN = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 @contextmanager
-def _no_shuffles_left(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def lean(spark: SparkSession) -> Iterator[None]:
+    """Jobs run with ``LEAN``; the session's own settings come back after them."""
+    before = {key: spark.conf.get(key, None) for key in LEAN}
+    for key, value in LEAN.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def delete(spark: SparkSession, folder: str) -> None:

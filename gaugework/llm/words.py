@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugework.llm.common import Memo, delete, discard, slices, written
+from gaugework.llm.common import Memo, delete, discard, lean, slices, written
 from gaugework.session import new_table_path
 
 _SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
@@ -51,6 +51,8 @@ HOT_KEYS = 1 << 16
 MAP_BITS = (20, 29)
 #: Passes that count trigrams, shards that use them, rounds of the join with the weights.
 PASSES, SHARDS, ROUNDS = 2, 6, 2
+#: Word hashes that a worker remembers.
+MEMO = 50_000
 #: Places that a task gathers before it sends them to a bitmap.
 GATHERED = 1 << 21
 _CHUNK_BITS = 16
@@ -75,7 +77,7 @@ def chained(x: np.ndarray, seed: np.ndarray | None = None) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _hashes() -> Memo:
-    return Memo(xxhash.xxh64_intdigest)
+    return Memo(xxhash.xxh64_intdigest, MEMO)
 
 
 def sequence(texts: list[str], models: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +142,9 @@ def _bitmap(sent: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros(1 << (bits - 3), dtype=np.uint8)
     size = 1 << (_CHUNK_BITS - 3)
-    for batch in sent.groupBy("chunk").applyInArrow(join, "chunk long, marks binary").toArrow().to_batches():
+    with lean(sent.sparkSession):
+        found = sent.groupBy("chunk").applyInArrow(join, "chunk long, marks binary").toArrow()
+    for batch in found.to_batches():
         for chunk, marks in zip(batch.column("chunk").to_pylist(), batch.column("marks").to_pylist()):
             out[chunk * size:(chunk + 1) * size] = np.frombuffer(marks, dtype=np.uint8)
     return out.view(np.uint64)
@@ -330,13 +334,13 @@ def train(folder: str, docs: DataFrame) -> Models:
             "v", "w", "n", "below", "left", ((F.col("n") - d2) / F.col("total") + F.col("left") * F.col("below")).alias("lower"))
         p2 = written(p2, "kn-lower-2")
         add(p2.select(F.xxhash64("v", "w").alias("key"), (log("lower") - log("left") - log("below")).alias("x"), F.col("n").alias("f")))
-        own = _kept(tri.filter(F.col("shard") == shard).drop("shard"), shared, ("u", "v"), ("u", "v", "w"))
+        own = written(_kept(tri.filter(F.col("shard") == shard).drop("shard"), shared, ("u", "v"), ("u", "v", "w")), "kn-asked")
         c3 = written(_context(own.filter("in_0"), d3, "u", "v"), "kn-contexts-2")
         add(c3.select(F.xxhash64("u", "v").alias("key"), log("left").alias("x"), F.col("total").alias("f")))
         p = (F.col("n") - d3) / F.col("total") + F.col("left") * F.col("lower")
         add(own.filter("in_0 AND in_1").join(c3, ["u", "v"]).join(p2.select("v", "w", "lower"), ["v", "w"]).select(
             F.xxhash64("u", "v", "w").alias("key"), (log(p) - log("left") - log("lower")).alias("x"), F.col("n").alias("f")))
-        discard(p2, c3)
+        discard(p2, c3, own)
         for table in (folder, two):
             delete(spark, f"{table}/shard={shard}")
     discard(one, p1, c2)
