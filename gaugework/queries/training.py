@@ -96,9 +96,11 @@ FROM (SELECT unnest(['v1', 'v2']) AS v)""")
 def svm_calibration(spark, sf_dir):
     """Held-out log loss of machines calibrated on margins of unseen rows, beside that of the class shares and of the calibration on training rows.
 
-    A hundredth is allowed for the weights that are fitted to noise.
+    Weights fitted to noise cost half their number over the rows, in expectation; twice that is allowed.
     """
     folds = customer_folds(spark, sf_dir).cache()
+    classes = folds.select("label").distinct().count()
+    allowed = classes * (classes + 1) / (folds.count() * (K - 1) / K)
     shares = _loss_of_shares(folds)
     found = {}
     for cross in (True, False):
@@ -106,8 +108,8 @@ def svm_calibration(spark, sf_dir):
         found[cross] = metrics.evaluate(scored, "BUILDING", ["version_tag"]).select(
             "version_tag", F.col("total_predictions").alias("n_rows"), F.col("log_loss").alias(f"loss_{int(cross)}"))
     return tidy(found[True].join(found[False].drop("n_rows"), "version_tag").select(
-        "version_tag", "n_rows", (F.col("loss_1") <= shares + 0.01).alias("no_worse_than_shares"),
-        (F.col("loss_1") <= F.col("loss_0") + 0.01).alias("no_worse_than_in_sample")))
+        "version_tag", "n_rows", (F.col("loss_1") <= shares + allowed).alias("no_worse_than_shares"),
+        (F.col("loss_1") <= F.col("loss_0") + allowed).alias("no_worse_than_in_sample")))
 
 
 _LEARNERS = [CATALOG[0], CATALOG[2], CATALOG[4], CATALOG[5], LOGISTIC_200]
