@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugework.functions.exprs import box_gap, box_reach, euclidean, ratio
 from gaugework.session import broadcast_if_small, materialise
@@ -92,6 +92,26 @@ def predict(
     return answered.unionByName(unanswered)
 
 
+def sql_function(spark: SparkSession, train: str, features: Sequence[str], name: str = "knn_predict", key: str = "id", label: str = "label") -> None:
+    """Create the SQL table function ``name(<feature>..., k, exclude_fold) -> (label, confidence)`` over the view ``train``.
+
+    It is called LATERAL on a small list of points: each compares with every row of the view. Whole tables go
+    through ``predict``. Ties and confidence are those of ``predict``.
+    """
+    squares = " + ".join(f"pow(t.`{f}` - {name}.q{i}, 2D)" for i, f in enumerate(features))
+    points = ", ".join(f"q{i} DOUBLE" for i in range(len(features)))
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}({points}, k INT, exclude_fold BIGINT)
+        RETURNS TABLE (label STRING, confidence DOUBLE)
+        RETURN SELECT best.l, CAST(-best.v AS DOUBLE) / {name}.k FROM (
+          SELECT min(struct(-votes AS v, near AS l)) AS best FROM (
+            SELECT near, count(*) AS votes FROM (
+              SELECT near, row_number() OVER (ORDER BY distance, neighbour) AS place FROM (
+                SELECT t.`{key}` AS neighbour, t.`{label}` AS near, sqrt({squares}) AS distance
+                FROM {train} t WHERE t.fold_id <> {name}.exclude_fold))
+            WHERE place <= {name}.k GROUP BY near))""")
+
+
 def _base(folds: DataFrame, features: Sequence[str], key: str, label: str) -> DataFrame:
     names = _names(len(features))
     df = folds.select(

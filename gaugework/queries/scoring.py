@@ -342,3 +342,21 @@ def evaluate_null_group(spark, sf_dir):
     """All metrics where the grouping column is NULL for three folds out of five."""
     rows = scored(spark, sf_dir).withColumn("fold_id", F.when(F.col("fold_id") < 3, F.col("fold_id").cast("string")))
     return tidy(metrics.evaluate(rows, "P", ["fold_id"])).select("fold_id", "total_predictions", "accuracy", "log_loss")
+
+
+@query(f"""WITH {CUSTOMERS_SQL}, p AS (SELECT * FROM cu WHERE id IN (SELECT n_nationkey + 1 FROM nation)),
+near AS (
+  SELECT id, unnest(best) AS b
+  FROM (SELECT q.id, min({{'distance': sqrt({" + ".join(f"(q.{f} - t.{f}) * (q.{f} - t.{f})" for f in FEATURES)}), 'id': t.id, 'label': t.label}}, {NEIGHBOURS}) AS best
+        FROM p q JOIN cu t ON q.fold_id <> t.fold_id GROUP BY q.id)),
+votes AS (SELECT id, b.label AS label, count(*) AS v FROM near GROUP BY id, b.label)
+SELECT id, label AS predicted, v / 5e0 AS confidence FROM votes QUALIFY row_number() OVER (PARTITION BY id ORDER BY v DESC, label) = 1""")
+def knn_sql_function(spark, sf_dir):
+    """The SQL table function called for a stated list of points, one per nation, over all customers."""
+    customer_folds(spark, sf_dir).createOrReplaceTempView("knn_customers")
+    points = table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1).cast("long").alias("id"))
+    customer_folds(spark, sf_dir).join(points, "id").createOrReplaceTempView("knn_points")
+    knn.sql_function(spark, "knn_customers", FEATURES)
+    arguments = ", ".join(f"p.{f}" for f in FEATURES)
+    return tidy(spark.sql(
+        f"SELECT p.id, n.label AS predicted, n.confidence FROM knn_points p, LATERAL knn_predict({arguments}, {NEIGHBOURS}, CAST(p.fold_id AS BIGINT)) n"))

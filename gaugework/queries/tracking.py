@@ -1,11 +1,12 @@
 """Metric logs, run and model records, and the unified metrics table."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from gaugework.operators import checks, metrics, reshape
-from gaugework.plans import mlmetrics, records
+from gaugework.plans import keyed, lookup, mlmetrics, records
 from gaugework.queries.base import query, tidy
 from gaugework.queries.inputs import (
     AS_OF_SQL, BY, BY_SQL, MM_SQL, P_PREDICTED_SQL, SC_SQL, as_of, instant, metric_rows, scored,
@@ -355,3 +356,76 @@ def metrics_wide_log(spark, sf_dir):
     rows = scored(spark, sf_dir)
     wide = metrics.evaluate(rows, "P", ["model_id"])
     return tidy(records.metrics_wide_log(wide, rows.select(*MODEL).distinct(), F.lit("catalog"), as_of()))
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, metric_name, round(metric_value, 6) AS metric_value, recorded_at, metadata_json
+FROM mm QUALIFY row_number() OVER (
+  PARTITION BY pipeline_id, run_id, metric_name
+  ORDER BY recorded_at >= TIMESTAMP '{_HALF}' DESC, recorded_at DESC, metric_value DESC) = 1""")
+def merge_partitions(spark, sf_dir):
+    """A keyed table made of the first half of the rows, after a merge of the second half."""
+    path = new_table_path(spark, "keyed-metrics")
+    rows = metric_rows(spark, sf_dir).select(*ML_METRICS_KEY, "metric_value", "recorded_at", "metadata_json")
+    order = [F.col("recorded_at"), F.col("metric_value")]
+    keyed.create(rows.filter(F.col("recorded_at") < instant(_HALF)), path, ML_METRICS_KEY, order)
+    keyed.merge(path, rows.filter(F.col("recorded_at") >= instant(_HALF)), ML_METRICS_KEY, order)
+    return tidy(keyed.read(spark, path))
+
+
+def _by_tags(spark, sf_dir, every):
+    folder = new_table_path(spark, "metric-tags")
+    lookup.write_postings(metric_rows(spark, sf_dir), folder)
+    found = lookup.rows_with_tags(spark, folder, ["error", "production"], every)
+    return tidy(found.select("pipeline_id", "run_id", "metric_value", "environment_label"))
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, round(metric_value, 6) AS metric_value, environment_label FROM mm
+WHERE pipeline_id = 'error' OR environment_label = 'production'""")
+def metrics_tag_postings(spark, sf_dir):
+    """Rows with any of two tags, found by the inverted table."""
+    return _by_tags(spark, sf_dir, False)
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, round(metric_value, 6) AS metric_value, environment_label FROM mm
+WHERE pipeline_id = 'error' AND environment_label = 'production'""")
+def metrics_tag_postings_all(spark, sf_dir):
+    """Rows with both of two tags, found by the inverted table."""
+    return _by_tags(spark, sf_dir, True)
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, round(metric_value, 6) AS metric_value,
+       CAST(json_extract_string(metadata_json, '$.k') AS DOUBLE) AS k
+FROM mm WHERE CAST(json_extract_string(metadata_json, '$.k') AS DOUBLE) >= 50""")
+def metrics_json_typed(spark, sf_dir):
+    """The JSON filter on a layout that holds frequent paths as typed columns."""
+    path = new_table_path(spark, "metric-json")
+    rows = metric_rows(spark, sf_dir)
+    lookup.write_typed_json(rows, path, lookup.frequent_paths(rows))
+    table = spark.read.parquet(path)
+    k = lookup.json_path(table, "k")
+    return tidy(table.filter(k >= 50).select("pipeline_id", "run_id", "metric_value", k.alias("k")))
+
+
+@query(f"""WITH {MM_SQL},
+v AS (SELECT pipeline_id, min(recorded_at) AS since FROM mm GROUP BY pipeline_id)
+SELECT pipeline_id, count(*) AS n_values, round(sum(metric_value), 4) AS total_value,
+       count(*) FILTER (WHERE recorded_at >= since + INTERVAL 7 DAY) AS n_later
+FROM mm JOIN v USING (pipeline_id) GROUP BY pipeline_id""")
+def metrics_by_pipeline(spark, sf_dir):
+    """Rows and a table of pipelines, both dealt by pipeline, joined and added up where they lie."""
+    rows = metric_rows(spark, sf_dir).select("pipeline_id", "run_id", "metric_value", "recorded_at")
+    heavy, names = lookup.dominant(rows, 4), [f"pipelines_{uuid.uuid4().hex}" for _ in range(2)]
+    since = rows.groupBy("pipeline_id").agg(F.min("recorded_at").alias("since"))
+    left = lookup.save_distributed(rows, names[0], new_table_path(spark, names[0]), heavy, 8, 4, ["run_id", "recorded_at"])
+    right = lookup.save_distributed(since, names[1], new_table_path(spark, names[1]), heavy, 8, 4, [], copies=True)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # the entries alone; files and frames stay
+    joined = left.join(right, ["pipeline_id", lookup.SALT])
+    later = F.col("recorded_at") >= F.col("since") + F.expr("INTERVAL 7 DAY")
+    totals = lookup.totals_by_key(joined, {
+        "n_values": F.count(F.lit(1)), "total_value": F.sum("metric_value"), "n_later": F.count_if(later)})
+    return totals.select("pipeline_id", "n_values", F.round("total_value", 4).alias("total_value"), "n_later")
