@@ -1,13 +1,16 @@
 import hashlib
 import itertools
+import math
 import random
+from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from gaugework.llm import bpe, quality, url_filter
+from gaugework.llm import bpe, quality, url_filter, words
+from gaugework.llm.common import written
 
 ALLOW_BY_DEFAULT = "allow"
 URLS = [
@@ -174,3 +177,70 @@ def test_near_stage_drops_copies_of_0_81(spark, docs, prose):
         words[at] = f"changed{at}"
     table = docs([(1, prose(200, 3)), (2, " ".join(words))])
     assert [r["doc_id"] for r in corpus_pipeline.near_stage(spark, table, "").collect()] == [1]
+
+
+def test_stages_take_odd_tables(spark, docs, prose, tmp_path):
+    """Empty tables, repeated rows, a very long text, null ids and texts, clashing columns, no labels, no benchmark."""
+    folder = str(tmp_path)
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    rows = [(1, prose(60, 1)), (1, prose(60, 1)), (2, prose(30_000, 2)), (None, prose(60, 3)), (None, None), (4, ""), (5, prose(60, 1).replace(" ", "\n"))]
+    for table, n in ((docs([]), [0, 0, 0, 0]), (docs(rows), [5, 3, 3, 3])):
+        for (name, stage), want in zip(corpus_pipeline.STAGES[:-1], n):
+            columns = table.columns
+            table = stage(spark, table, folder)
+            assert table.columns == columns and table.count() == want, name
+            table = written(table, "odd")
+        assert corpus_pipeline.STAGES[-1][1](spark, table, folder).count() == n[-1]
+
+
+def test_first_stage_against_the_other_half_by_hand(spark, docs, prose):
+    """The stage's verdicts follow from perplexities of models built by hand, medians and quantiles."""
+    rows = [(i, prose(40, i)) for i in range(60)] + [(100 + i, " ".join(reversed(prose(40, i).split()))) for i in range(5)]
+    table = docs(rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    half = {r["text"]: r["half"] for r in table.select("text", quality.half_of(F.col("text")).alias("half")).collect()}
+
+    def sequence(t):
+        return ["<s>", "<s>", *words.WORD.findall(t.lower()), "</s>"]
+
+    trusted = [t for i, t in rows if i < 50]
+    known = len({w for t in trusted for w in sequence(t)[2:]})
+
+    def model(texts):
+        counts = {3: Counter(tuple(s[i - 2:i + 1]) for t in texts for s in [sequence(t)] for i in range(2, len(s)))}
+        for n in (2, 1):
+            counts[n] = Counter(g[1:] for g in counts[n + 1])
+        d = {n: words.discounts(Counter(min(c, 5) for c in counts[n].values())) for n in counts}
+        after = {n: {} for n in counts}
+        for n in counts:
+            for g, c in counts[n].items():
+                after[n].setdefault(g[:-1], {})[g[-1]] = c
+
+        def p(context, word, n):
+            if n == 0:
+                return 1 / (known + 1)
+            own, lower = after[n].get(context), p(context[1:], word, n - 1)
+            if not own:
+                return lower
+            c, total = own.get(word, 0), sum(own.values())
+            return max(c - d[n][min(c, 3)], 0) / total + sum(d[n][min(x, 3)] for x in own.values()) / total * lower
+
+        return p
+
+    models = [model([t for t in trusted if half[t] == h]) for h in (0, 1)]
+    mean, size = {}, {}
+    for _, t in rows:
+        s, p = sequence(t), models[1 - half[t]]
+        size[t] = len(s) - 2
+        mean[t] = -sum(math.log2(p((s[k - 2], s[k - 1]), s[k], 3)) for k in range(2, len(s))) / size[t]
+    found, names = quality.judge(table, labels)
+    got = found.collect()
+    center = sorted(mean[t] for t in trusted)[24]  # the lower median
+    for r in got:
+        assert r[names["perplexity"]] == pytest.approx(2 ** mean[r["text"]], rel=1e-4)
+        assert r[names["excess"]] == pytest.approx((mean[r["text"]] - center) * math.sqrt(size[r["text"]]), abs=1e-3)
+        assert r[names["accepted"]] == (r[names["excess"]] <= r[names["threshold"]])
+    # fewer texts than a quantile of their own needs: the pooled one, here of the same texts, wider by the error of the median
+    widest = max((mean[t] - center) * math.sqrt(size[t]) for t in trusted)
+    assert got[0][names["threshold"]] == pytest.approx(widest * math.sqrt(1 + math.pi / 2 / 50), rel=1e-3)
