@@ -14,29 +14,50 @@ from gaugework.llm.common import documents, find_package, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the perplexity classifier accepts."""
+    """Documents that the perplexity classifier accepts.
+
+    Null and empty texts go. Equal texts of a language get equal verdicts, repeated rows stay or go together. A null language
+    takes the figures of all. Without labels every text with content stays. An empty table stays empty; all columns stay, whatever
+    their names; texts are judged whole.
+    """
     find_package(spark)
     return quality.accepted_only(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the smallest id, one row of it.
+
+    A null text counts as empty; null ids count as larger than all others. Texts are equal up to white space, compared whole.
+    An empty table stays empty; all columns stay, whatever their names.
+    """
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: 80 % or more of the five-word shingles shared."""
+    """One document of each component of near copies: 80 % or more of the five-word shingles shared.
+
+    The smallest id stays, null ids only in components without others, one row of repeated ones. Null texts and texts without words
+    are near nothing and stay. An empty table stays empty; all columns stay, whatever their names; shingles are those of whole texts.
+    """
     find_package(spark)
     return near_dedup.drop_near_copies(docs, percent=80)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item.
+
+    Null and empty texts have no window and stay, as all documents do with an empty benchmark. Rows of one id and text go or stay
+    together. An empty table stays empty; all columns stay, whatever their names; texts are searched whole.
+    """
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and the digest of the text decoded from them."""
+    """Token ids of each document, and the digest of the text decoded from them: doc_id, n_tokens, ids, decoded_sha256.
+
+    A null text is empty and has no tokens. Null ids and repeated rows are rows. An empty table gives an empty result; other columns
+    are not kept; texts are encoded whole.
+    """
     find_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
