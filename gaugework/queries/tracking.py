@@ -15,6 +15,7 @@ from gaugework.queries.scoring import ACC_SQL, AUC_SQL, LIFT_SQL, LL_SQL, MACRO_
 from gaugework.schemas import METRICS_LOG, ML_METRICS_KEY
 from gaugework.session import new_table_path
 from gaugework.sources.tables import append_log, conform
+from gaugework.streaming import keyed_state
 
 METRICS = ["accuracy", "precision_macro", "recall_macro", "f1_of_macro", "roc_auc", "lift_value", "log_loss"]
 # Column names of the record tables, here and in the SQL below.
@@ -429,3 +430,17 @@ def metrics_by_pipeline(spark, sf_dir):
     totals = lookup.totals_by_key(joined, {
         "n_values": F.count(F.lit(1)), "total_value": F.sum("metric_value"), "n_later": F.count_if(later)})
     return totals.select("pipeline_id", "n_values", F.round("total_value", 4).alias("total_value"), "n_later")
+
+
+@query(f"""WITH {MM_SQL}
+SELECT pipeline_id, run_id, metric_name, round(metric_value, 6) AS metric_value, coalesce(metric_type, 'scalar') AS metric_type, recorded_at,
+       model_version, environment_label, pipeline_id || ',' || environment_label AS tags, metadata_json
+FROM mm QUALIFY row_number() OVER (PARTITION BY pipeline_id, run_id, metric_name ORDER BY recorded_at DESC, metric_value DESC) = 1""")
+def metrics_stream_state(spark, sf_dir):
+    """The unified table that a stream of files keeps with state per key."""
+    folder = new_table_path(spark, "metric-stream")
+    rows = metric_rows(spark, sf_dir).withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    rows.repartition(4).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    keyed_state.start(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    return tidy(keyed_state.current(spark, folder).withColumn("tags", F.concat_ws(",", "tags")))

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from gaugework.schemas import ML_METRICS
+from gaugework.streaming import keyed_state
 from gaugework.streaming.ingest import _BATCHES, _last_marks, _read, _since, compact, current, ingest_stream
 
 
@@ -67,3 +68,45 @@ def test_current_after_compaction_reads_only_later_batches(spark, tmp_path):
     compact(spark, root)
     assert values(current(spark, root)) == {("p", "r1"): 0.1, ("p", "r2"): 0.5}
     assert _since(_read(spark, _BATCHES, f"{root}/batches"), _last_marks(spark, root)[1]).isEmpty()
+
+
+def keyed(spark, source, root, checkpoint):
+    stream = spark.readStream.schema(ML_METRICS).option("maxFilesPerTrigger", 1).json(source)
+    keyed_state.start(stream, root, checkpoint).awaitTermination()
+
+
+def timed(spark, source, rows):
+    full = [("p", r, "m", v, f"2024-01-01T00:00:{s:02d}.000Z", ["a", None], None) for r, v, s in rows]
+    spark.createDataFrame(full, "pipeline_id string, run_id string, metric_name string, metric_value double, recorded_at string, tags array<string>, "
+                          "model_version string").coalesce(1).write.mode("append").json(source)
+
+
+def test_keyed_state_keeps_the_newest_row(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    timed(spark, source, [("r1", 1.0, 5), ("r1", 2.0, 9), ("r2", 1.0, 1), ("r3", None, 3)])
+    timed(spark, source, [("r1", 3.0, 7), ("r2", 5.0, 2), ("r4", 1.0, 1)])  # r1: older than what stands
+    keyed(spark, source, root, checkpoint)
+    assert values(keyed_state.current(spark, root)) == {("p", "r1"): 2.0, ("p", "r2"): 5.0, ("p", "r3"): None, ("p", "r4"): 1.0}
+    timed(spark, source, [("r1", 9.0, 9), ("r1", 1.0, 9), ("r3", 7.0, 3), ("r2", 0.0, 2)])  # equal times: the larger value
+    keyed(spark, source, root, checkpoint)
+    now = keyed_state.current(spark, root)
+    assert values(now) == {("p", "r1"): 9.0, ("p", "r2"): 5.0, ("p", "r3"): 7.0, ("p", "r4"): 1.0}
+    row = now.filter("run_id = 'r1'").first()
+    assert row["tags"] == ["a", None] and row["model_version"] is None and row["metric_type"] == "scalar"
+    changes = spark.read.parquet(f"{root}/changes")
+    assert changes.filter("run_id = 'r1'").agg(F.max("change")).first()[0] <= 3
+
+
+def test_keyed_state_is_safe_to_replay(spark, tmp_path):
+    """A restart writes nothing again; the same rows once more, in other batches, change nothing."""
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    timed(spark, source, [(f"r{i % 5}", float(i), i % 7) for i in range(30)])
+    keyed(spark, source, root, checkpoint)
+    want, written = values(keyed_state.current(spark, root)), spark.read.parquet(f"{root}/changes").count()
+    keyed(spark, source, root, checkpoint)
+    timed(spark, source, [(f"r{i % 5}", float(i), i % 7) for i in reversed(range(30))])
+    keyed(spark, source, root, checkpoint)
+    assert values(keyed_state.current(spark, root)) == want and spark.read.parquet(f"{root}/changes").count() == written
+    other = str(tmp_path / "other")
+    keyed(spark, source, other, str(tmp_path / "ckpt2"))
+    assert values(keyed_state.current(spark, other)) == want
