@@ -6,11 +6,14 @@ from gaugework.functions.exprs import normalise_label
 from gaugework.operators import checks, folds
 from gaugework.operators.catalog import grid_text, model_specs as specs_of, parameter_grid
 from gaugework.operators.reshape import parameters_json
+from gaugework.plans import mlmetrics, records
 from gaugework.queries.base import query, table, tidy
 from gaugework.queries.inputs import (
     BY, BY_SQL, CATALOG, GRID_SQL, K, ORDER_FOLDS_SQL, SC_SQL, SEED,
     embedding_rows, order_folds, scored, tuning_sets,
 )
+from gaugework.session import new_table_path
+from gaugework.sources.tables import load_csv, load_rows, replace_table
 
 LINE_RANGES = {
     "l_quantity": (1.0, 45.0),
@@ -171,3 +174,53 @@ def fold_null_key(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("id"))
     return tidy(folds.assign_folds(rows, 4, seed=SEED).groupBy("fold_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_keys"), F.coalesce(F.sum("id"), F.lit(0)).alias("key_sum")))
+
+
+_CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer")
+def csv_round_trip(spark, sf_dir):
+    """Customers written as delimited files and loaded with a declared schema."""
+    path = new_table_path(spark, "customer-csv")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    rows.write.option("header", True).option("sep", "|").csv(path)
+    return tidy(load_csv(spark, path, _CUSTOMER, delimiter="|"))
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0")
+def replaced_table(spark, sf_dir):
+    """A table that was created from all customers and then replaced by those with a positive balance."""
+    path = new_table_path(spark, "replaced")
+    rows = table(spark, sf_dir, "customer")
+    replace_table(rows.select("c_custkey", "c_mktsegment", "c_name"), path)
+    return tidy(replace_table(rows.filter("c_acctbal >= 0").select("c_custkey", "c_mktsegment"), path))
+
+
+@query("""SELECT n_name, CASE n_regionkey WHEN 0 THEN 'south' WHEN 1 THEN 'west' WHEN 2 THEN 'east' ELSE 'unlisted' END AS side, count(c_custkey) AS n_customers
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+def literal_rows(spark, sf_dir):
+    """A literal table of three lines beside the nations and their customers."""
+    sides = load_rows(spark, [(0, "south"), (1, "west"), (2, "east")], "n_regionkey int, side string")
+    named = table(spark, sf_dir, "nation").join(F.broadcast(sides), "n_regionkey", "left")
+    counted = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
+    return tidy(named.join(counted, "n_nationkey", "left").select(
+        "n_name", F.coalesce("side", F.lit("unlisted")).alias("side"), F.coalesce("n", F.lit(0)).alias("n_customers")))
+
+
+@query("""SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') AS run_id,
+       'PROB_' || upper(replace(event_type, '-', '_')) AS prob_column FROM events""")
+def run_id_texts(spark, sf_dir):
+    """Run ids and probability column names as text, of every event."""
+    return tidy(table(spark, sf_dir, "events").select(
+        "event_id", records.run_id_text(F.col("ts"), F.col("user_id")).alias("run_id"),
+        records.probability_column(F.col("event_type")).alias("prob_column")))
+
+
+@query("SELECT count(*) AS n_rows, true AS all_recent FROM events")
+def default_time(spark, sf_dir):
+    """Rows without a time take the current one."""
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("pipeline_id"), F.col("event_id").cast("string").alias("run_id"), F.lit("v").alias("metric_name"), F.col("value").alias("metric_value"))
+    seconds = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("recorded_at")
+    return mlmetrics.with_defaults(rows).agg(F.count(F.lit(1)).alias("n_rows"), F.every(seconds.between(0, 3600)).alias("all_recent"))
