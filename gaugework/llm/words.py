@@ -20,8 +20,8 @@ n-gram and may hold several parts of one weight. Most n-grams of a model occur i
 of a text are in no model; two bitmaps keep both out. One of all n-grams of the models is laid over the texts, asked for longer n-grams only
 where their parts are known; what it lets through makes the second, and only n-grams in that get weights. The most frequent ``HOT_KEYS`` n-grams are added inside the scan;
 the rest are counted per text and meet the weights by a shuffle, in ``ROUNDS`` rounds by key. Only counts of counts, the frequent weights and the
-bitmaps reach the driver. A bitmap has four to eight places per n-gram, up to ``MAP_BITS``: with more than some 10**8 n-grams it lets more of them
-through, never fewer.
+bitmaps reach the driver. The first has four to eight places per n-gram, up to ``MAP_BITS``, the second half of them: with more than some
+10**8 n-grams they let more through, never fewer.
 
 Edge cases: null and empty texts have no n-grams and no score. Equal texts are counted as often as they
 occur and scored once. Texts of any length are taken whole; a step holds one slice of texts. Without trained n-grams there is no model.
@@ -47,8 +47,8 @@ WORD = re.compile(rf"[{_SINGLE}]|[^\W{_SINGLE}]+|[^\w\s]")
 START, END = 2, 4
 #: N-grams whose weights are added in the scan.
 HOT_KEYS = 1 << 16
-#: Binary logarithm of the bitmap's places at least and at most: 64 MB.
-MAP_BITS = (20, 29)
+#: Binary logarithm of the bitmap's places at least and at most: 32 MB.
+MAP_BITS = (20, 28)
 #: Passes that count trigrams, shards that use them, rounds of the join with the weights.
 PASSES, SHARDS, ROUNDS = 2, 6, 2
 #: Word hashes that a worker remembers.
@@ -56,7 +56,7 @@ MEMO = 50_000
 #: Places that a task gathers before it sends them to a bitmap.
 GATHERED = 1 << 21
 _CHUNK_BITS = 16
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
     0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -129,6 +129,7 @@ def _sent(batches: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
     if held:
         yield out()
+    pa.default_memory_pool().release_unused()
 
 
 def _bitmap(sent: DataFrame, bits: int) -> np.ndarray:
@@ -258,7 +259,7 @@ def _keys_of(table: DataFrame, bits: int, *grams: tuple[str, ...]) -> DataFrame:
 def _seen_in(docs: DataFrame, bitmap: np.ndarray) -> np.ndarray:
     """The bitmap of those n-grams in ``bitmap`` that texts hold which are scored by their model."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    bits = len(bitmap).bit_length() + 5
+    bits = len(bitmap).bit_length() + 4  # these n-grams are fewer: half the places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def keys() -> Iterator[np.ndarray]:
@@ -289,6 +290,7 @@ def _kept(table: DataFrame, bitmap, *grams: tuple[str, ...]) -> DataFrame:
                 marks.append(_known(bitmap.value, h))
             out = pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, marks)], names=[*batch.schema.names, *names])
             yield out.filter(pa.array(np.logical_or.reduce(marks)))
+        pa.default_memory_pool().release_unused()
 
     kinds = ", ".join([*(f"{n} {t}" for n, t in table.dtypes), *(f"{n} boolean" for n in names)])
     return table.mapInArrow(run, kinds)
