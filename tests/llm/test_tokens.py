@@ -60,6 +60,16 @@ def test_merges_one_by_one(encoder):
         assert encoder.encode_pieces([piece]) == [want]
 
 
+def test_long_pieces_alone(encoder, reference):
+    """Pieces without a space, up to 200,000 bytes: the lone tree does what the trees in arrays do."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n, letters in (
+        (2_100, "etaoin"), (5_000, "abcdefghijklmnopqrstuvwxyz"), (9_000, "é字a"), (60_000, "thein"), (200_000, "abcdefghijklmnopqrstuvwxyz"))]
+    assert encoder.encode_strings(texts) == [reference(t) for t in texts]
+    many = [f"{i}".translate(str.maketrans("0123456789", "abcdefghij")) * 500 for i in range(1000, 1040)]
+    assert encoder.encode_strings(many) == [reference(t) for t in many]
+
+
 def test_encode_and_decode(docs, reference):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "n"), (50, None), (3, "again")]
     encoded = bpe.encode(docs(rows), RANKS, public_tokenizers.PATTERN)
