@@ -57,3 +57,17 @@ def test_prediction_learns(spark):
     split = folds.assign_folds(spark.createDataFrame(rows, "id long, label string, v array<double>"), 3)
     got = pivots.predict(split, "v", 5).collect()
     assert len(got) == 120 and all(r["predicted"] == r["actual"] for r in got)
+
+
+def test_written_rows_do_not_grow_with_the_blocks(spark, monkeypatch):
+    """Without structure all blocks meet; still each row sends its k best once, whatever number of blocks, and the answer is that of all pairs."""
+    rng = np.random.default_rng(9)
+    rows = [(i, i % 4, [float(np.float32(c)) for c in rng.normal(size=24)]) for i in range(300)]
+    sent, answer = [], pivots._answer
+    monkeypatch.setattr(pivots, "_answer", lambda found, *rest: sent.append(found) or answer(found, *rest))
+    got = {(r["id"], r["rank"]): r["neighbour_id"] for r in pivots.search(table(spark, rows), "v", 5, pivots=8, block=8).near.collect()}
+    assert got == {p: j for p, (j, _) in brute(rows, 5).items()}
+    assert sent[0].filter("id IS NOT NULL").count() == 5 * len(rows)
+    monkeypatch.setattr(pivots, "READ_BYTES", 1 << 14, raising=False)  # the other side is read in five rounds, each of which improves fewer rows
+    again = {(r["id"], r["rank"]): r["neighbour_id"] for r in pivots.search(table(spark, rows), "v", 5, pivots=8, block=8).near.collect()}
+    assert again == got and sent[1].filter("id IS NOT NULL").count() < 3.5 * 5 * len(rows)
