@@ -1,10 +1,10 @@
 """The unified metrics table as a stream with state per key.
 
-The state of a key is the place of its newest row: time, value, and the number of changes so far. A row that is newer than the
-state (of equal times the larger value) changes it and goes out with the next number; others are dropped. So the work of a
-batch follows its own rows, wherever the table stands, and what comes out does not depend on how rows fall into
-batches or on their order. The changes are written by the file sink, which writes each batch once, also after a
-restart; the table is the change with the highest number of each key.
+The state of a key is its newest row (of equal times that with the larger value, of equal ones the first) and the time of the batch that brought it.
+It is a streaming aggregate, which combines rows before the shuffle and touches the state of a batch's own keys alone, in the JVM. What goes out are the rows
+that the batch at hand brought, numbered by the batch; rows that are older than the state change nothing. So the work of a batch follows its own rows,
+wherever the table stands, and the table does not depend on how rows fall into batches or on their order. Each batch replaces its own folder, so it is
+there once, also after a restart; the table is the change with the highest number of each key.
 
 Key parts must not be null and texts must fit their columns, as in batch ingest. A null or NaN value counts as smaller than all others and is null
 in the table. State lies in RocksDB, so the number of keys is not bounded by memory.
@@ -12,53 +12,21 @@ in the table. State lies in RocksDB, so the number of keys is not bounded by mem
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gaugework.operators.checks import latest_per_key
 from gaugework.plans.mlmetrics import enforce, with_defaults
 from gaugework.schemas import ML_METRICS, ML_METRICS_KEY
 
-# Tasks get this module's code with the function, so workers need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _CHANGES = T.StructType([*ML_METRICS.fields, T.StructField("change", T.LongType())])
 
 
-class _Newest(StatefulProcessor):
-    """Lets out the newest row of a key if it is newer than all before."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "at bigint, value double, change bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, order = None, None
-        for part in rows:
-            part = part.sort_values(["order_at", "order_value"]).tail(1)
-            own = (int(part["order_at"].iloc[0]), float(part["order_value"].iloc[0]))
-            if order is None or own > order:
-                best, order = part, own
-        before = self.place.get() if self.place.exists() else None
-        if before is not None and order <= (before[0], before[1]):
-            return
-        change = 1 if before is None else int(before[2]) + 1
-        self.place.update((*order, change))
-        yield best.drop(columns=["order_at", "order_value"]).assign(change=change)
-
-    def close(self) -> None:
-        pass
-
-
 @contextmanager
 def _rocks(spark: SparkSession):
     before = spark.conf.get(_PROVIDER, None)
@@ -70,19 +38,23 @@ def _rocks(spark: SparkSession):
 
 
 def changes(stream: DataFrame) -> DataFrame:
-    """The rows of ``stream`` that change the table, numbered per key by ``change``. The stream needs RocksDB state."""
+    """The rows of each batch of ``stream`` that change the table, in update mode. The stream needs RocksDB state."""
     value = F.col("metric_value")
-    rows = enforce(with_defaults(stream)).withColumns({
-        "order_at": F.unix_micros("recorded_at"),
-        "order_value": F.when(value.isNull() | F.isnan(value), float("-inf")).otherwise(value)})
-    return rows.groupBy(*ML_METRICS_KEY).transformWithStateInPandas(_Newest(), _CHANGES, "Append", "None")
+    rows = enforce(with_defaults(stream)).select(*ML_METRICS_KEY, F.struct(*[f.name for f in ML_METRICS.fields]).alias("row"), F.struct(
+        F.unix_micros("recorded_at"), F.when(value.isNull() | F.isnan(value), float("-inf")).otherwise(value),
+        -F.unix_micros(F.current_timestamp())).alias("place"))  # in a stream, the time of the batch
+    newest = rows.groupBy(*ML_METRICS_KEY).agg(F.max_by("row", "place").alias("row"), F.max("place").alias("place"))
+    return newest.filter(F.col("place.col3") == -F.unix_micros(F.current_timestamp())).select("row.*")
 
 
 def start(stream: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Start writing the changes that ``stream`` makes below ``root``."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/changes/change={number + 1}")
+
     with _rocks(stream.sparkSession):  # a query keeps the settings it was started with
-        return (changes(stream).writeStream.format("parquet").option("path", f"{root}/changes").option("checkpointLocation", checkpoint)
-                .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
+        return (changes(stream).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                .outputMode("update").trigger(**(trigger or {"availableNow": True})).start())
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:

@@ -110,3 +110,16 @@ def test_keyed_state_is_safe_to_replay(spark, tmp_path):
     other = str(tmp_path / "other")
     keyed(spark, source, other, str(tmp_path / "ckpt2"))
     assert values(keyed_state.current(spark, other)) == want
+
+
+def test_keyed_state_runs_no_python_per_key(spark, tmp_path):
+    """The state is updated in the JVM, after rows of a key were combined, and a batch writes only what it brought."""
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    timed(spark, source, [("r1", 1.0, 5), ("r1", 2.0, 9), ("r2", 1.0, 1)])
+    plan = keyed_state.changes(spark.readStream.schema(ML_METRICS).json(source))._jdf.queryExecution().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
+    keyed(spark, source, root, checkpoint)
+    timed(spark, source, [("r1", 2.0, 9), ("r2", 3.0, 1), ("r1", 5.0, 2)])
+    keyed(spark, source, root, checkpoint)
+    written = spark.read.parquet(f"{root}/changes")
+    assert sorted((r["run_id"], r["metric_value"], r["change"]) for r in written.collect()) == [("r1", 2.0, 1), ("r2", 1.0, 1), ("r2", 3.0, 2)]
