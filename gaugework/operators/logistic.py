@@ -11,6 +11,7 @@ has (c w)**2 numbers; ``fits`` says whether that is small enough for this method
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -188,11 +189,12 @@ def _pass(ready, features, classes, designs, weights):
 
 def score(ready: DataFrame, features: Sequence[str], designs: Sequence[Design], weights: Sequence[np.ndarray], classes: int) -> DataFrame:
     """(row, forest, probs) for every row of ``ready`` (row, fold_id, features) and model that holds its fold out, in one pass."""
-    shared = ready.sparkSession.sparkContext.broadcast((list(designs), list(weights)))
+    # pickled here, so that workers need no copy of the package
+    shared = ready.sparkSession.sparkContext.broadcast(cloudpickle.dumps((list(designs), list(weights))))
     names = list(features)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        designs, weights = shared.value
+        designs, weights = pickle.loads(shared.value)
         for batch in batches:
             x, fold, row = batch[names].to_numpy(float), batch["fold_id"].to_numpy(int), batch["row"].to_numpy()
             for i, (d, w) in enumerate(zip(designs, weights)):
