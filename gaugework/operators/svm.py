@@ -4,7 +4,7 @@ Fitting one machine per fold and class is a separate optimisation each, with its
 over the data. Here all of them advance together: one pass of a Newton iteration on the
 squared hinge loss (Chapelle, "Training a support vector machine in the primal", 2007) sums,
 for every fold and class, the small matrices the next step needs, and passes go on until every
-machine has converged. Tasks send one row per machine; these are added up by machine in the
+machine has converged. The machines of a fold share the matrix of all its rows, from which each takes the rows outside its margin. Tasks send one row per machine; these are added up by machine in the
 executors, where the next step is solved as well. Only weights and losses reach the driver.
 
 Margins become probabilities by a joint logistic fit. Its rows have margins of machines that have not seen them: besides the
@@ -117,13 +117,16 @@ def fit(
     width = (len(features) if first.weights is None else len(first.shifts)) + 1
     if width > MOST_INPUTS:
         raise ValueError(f"SVM: {width} inputs, at most {MOST_INPUTS} are supported")
-    machines = [(f, c) for f in sorted(kernels) for c in range(classes)]
     step = max(1, PARTIAL_SIZE // (width * (width + 2)))
     weights = {f: np.zeros((classes, width)) for f in kernels}
-    for i in range(0, len(machines), step):
-        part = machines[i:i + step]
-        for (f, c), w in zip(part, _fit_machines(ready, features, part, complexity, kernels, width, tolerance)):
-            weights[f][c] = w
+    # machines without two folds start from those without the first of them, which are close
+    for left_out in (1, 2):
+        machines = [(f, c) for f in sorted(kernels) if len(f) == left_out for c in range(classes)]
+        for i in range(0, len(machines), step):
+            part = machines[i:i + step]
+            start = np.array([weights[f[:1]][c] if f[:1] in weights else np.zeros(width) for f, c in part])
+            for (f, c), w in zip(part, _fit_machines(ready, features, part, complexity, kernels, start, tolerance)):
+                weights[f][c] = w
     return weights
 
 
@@ -154,9 +157,9 @@ class Margins:
         return logistic.Design(self.held, self.train, self.score, np.full(classes, CALIBRATION_RIDGE))
 
 
-def _fit_machines(ready, features, machines, complexity, kernels, width, tolerance):
-    n = len(machines)
-    best, best_loss = np.zeros((n, width)), np.full(n, np.inf)
+def _fit_machines(ready, features, machines, complexity, kernels, start, tolerance):
+    n, width = start.shape
+    best, best_loss = start.copy(), np.full(n, np.inf)
     trial, done = best.copy(), np.zeros(n, bool)
     while not done.all():
         todo = np.flatnonzero(~done)
@@ -187,15 +190,21 @@ def _pass(ready, features, machines, complexity, kernels, weights, width):
             for without in left_out:
                 train = ~np.isin(fold, without)
                 z, own = kernels[without].inputs(x[train]), target[train]
-                for at, (f, c) in enumerate(machines):
-                    if f != without:
-                        continue
+                of_fold = [(at, c) for at, (f, c) in enumerate(machines) if f == without]
+                margins = z @ weights[[at for at, _ in of_fold]].T
+                whole = None
+                for (at, c), margin in zip(of_fold, margins.T):
                     y = np.where(own == c, 1.0, -1.0)
-                    slack = np.maximum(0.0, 1.0 - y * (z @ weights[at]))
+                    slack = np.maximum(0.0, 1.0 - y * margin)
                     inside = slack > 0
-                    zi = z[inside]
-                    sums[at, :square] += (zi.T @ zi).ravel()
-                    sums[at, square:-1] += y[inside] @ zi
+                    if 2 * np.count_nonzero(inside) < len(z):
+                        zi = z[inside]
+                        sums[at, :square] += (zi.T @ zi).ravel()
+                    else:  # all rows, whose sum the machines of a fold share, but those outside
+                        whole = z.T @ z if whole is None else whole
+                        zo = z[~inside]
+                        sums[at, :square] += (whole - zo.T @ zo).ravel()
+                    sums[at, square:-1] += np.where(inside, y, 0.0) @ z
                     sums[at, -1] += (slack ** 2).sum()
         salt = TaskContext.get().partitionId() % SPREAD
         yield pd.DataFrame({"machine": range(len(machines)), "salt": salt, "part": [r.tobytes() for r in sums]})

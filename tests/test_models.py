@@ -131,3 +131,25 @@ def test_wide_svm_without_driver_sums(spark, monkeypatch):
     assert {f: w.shape for f, w in weights.items()} == {(1,): (6, 41), (2,): (6, 41)}
     scored = run_sweep(df, names, catalog.parameter_sets(catalog.CATALOG[4:5]), "r")
     assert metrics.fold_accuracy(scored, ["run_id"]).first()["accuracy"] > 0.95
+
+
+def test_machines_without_two_folds_start_close(spark, split, monkeypatch):
+    """They start from those without one fold, so a few passes end them; the weights are those of a start at zero."""
+    from gaugework.operators import classifiers, svm
+
+    laid = classifiers.numbered(classifiers.prepare(split, FEATURES, ["x", "y", "z"]), FEATURES)
+    kernels = svm.fold_kernels(laid, FEATURES, True, 1, 16, pairs=True)
+    passes, one = [], svm._pass
+
+    def counted(ready, features, machines, *rest):
+        passes.append([len(f) for f, _ in machines])
+        return one(ready, features, machines, *rest)
+
+    monkeypatch.setattr(svm, "_pass", counted)
+    warm = svm.fit(laid, FEATURES, 3, 1.0, kernels)
+    pairs = sum(f == 2 for some in passes for f in some)
+    passes.clear()
+    cold = svm.fit(laid, FEATURES, 3, 1.0, {(*f, 99): k for f, k in kernels.items() if len(f) == 1})
+    assert pairs < sum(map(len, passes))  # as many machines
+    for f in (f for f in kernels if len(f) == 1):
+        assert np.allclose(warm[f], cold[*f, 99], rtol=0.05, atol=0.05)
