@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -247,6 +247,32 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return named.mapInArrow(run, out)
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(...))`` in one Python process a task instead of two: id, ids and the bytes decoded from those ids.
+
+    Spark keeps a worker for every process that a task needs at once, through all later stages too.
+    """
+    lines = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = pa.schema([("id", arrow_type(named, "id")), ("ids", pa.binary()), ("decoded", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(lines.value, pattern)
+        token = {rank: token for token, rank in own.vocabulary.ranks.items()}.__getitem__
+        for part in slices(batches, "text", SLICE_BYTES):
+            ids = own.encode(part.column("text"))
+            decoded = [_decoded(x, token) for x in ids]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], schema=schema)
+        own.memo.forget()
+
+    out = T.StructType([named.schema["id"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    return named.mapInArrow(run, out)
+
+
+def _decoded(ids: bytes | None, token: Callable[[int], bytes]) -> bytes:
+    return b"".join(map(token, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with a column ``decoded``: the bytes of its column ``ids``."""
     lines = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
@@ -256,7 +282,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: token for token, rank in parsed(lines.value).items()}.__getitem__
         for part in slices(batches, "ids", SLICE_BYTES):
-            decoded = [b"".join(map(token, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in part.column("ids").to_pylist()]
+            decoded = [_decoded(x, token) for x in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids").cast(pa.binary()), pa.array(decoded, pa.binary())], schema=schema)
 
     out = T.StructType([*named.schema.fields, T.StructField("decoded", T.BinaryType())])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -98,7 +99,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 2
             size += n
         if start < batch.num_rows:
             yield batch.slice(start, batch.num_rows - start)
-    pa.default_memory_pool().release_unused()  # workers are reused: what one stage held is free for the next
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system: workers are reused, and what one stage held is free for the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
 
 
 def arrow_type(df: DataFrame, column: str) -> pa.DataType:

@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugework.llm.common import Memo, delete, discard, lean, slices, written
+from gaugework.llm.common import Memo, delete, discard, give_back, lean, slices, written
 from gaugework.session import new_table_path
 
 _SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
@@ -129,7 +129,7 @@ def _sent(batches: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
     if held:
         yield out()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _bitmap(sent: DataFrame, bits: int) -> np.ndarray:
@@ -290,7 +290,7 @@ def _kept(table: DataFrame, bitmap, *grams: tuple[str, ...]) -> DataFrame:
                 marks.append(_known(bitmap.value, h))
             out = pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, marks)], names=[*batch.schema.names, *names])
             yield out.filter(pa.array(np.logical_or.reduce(marks)))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     kinds = ", ".join([*(f"{n} {t}" for n, t in table.dtypes), *(f"{n} boolean" for n in names)])
     return table.mapInArrow(run, kinds)

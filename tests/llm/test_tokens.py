@@ -79,6 +79,14 @@ def test_encode_and_decode(docs, reference):
     assert bpe.decode(bpe.encode(docs([]), RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
 
 
+def test_round_trip(docs, reference):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "n"), (50, None), (3, "again")]
+    found = bpe.round_trip(docs(rows), RANKS, public_tokenizers.PATTERN).collect()
+    got = sorted((str(r["id"]), bytes(r["ids"]), bytes(r["decoded"])) for r in found)
+    assert got == sorted((str(i), reference(t or ""), (t or "").encode()) for i, t in rows)
+    assert bpe.round_trip(docs([]), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500))
 def test_addressable_codes(ids):

@@ -171,6 +171,11 @@ def test_pipeline(spark, sf):
         assert table.columns == docs.columns, name
 
 
+def test_encode_stage_needs_one_python_process_a_task(spark, docs):
+    plan = corpus_pipeline.encode_stage(spark, docs([(1, "one text")]), "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_near_stage_drops_copies_of_0_81(spark, docs, prose):
     words = prose(200, 3).split()
     for at in (40, 80, 120, 160):
