@@ -21,7 +21,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def written(df: DataFrame, name: str, mode: str = "error", path: str | None = None, by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, mode: str = "error", path: str | None = None, by: str | list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, survives lost executors. ``by`` partitions it.
 
     The shuffles of the job are given up as soon as the table stands, as nothing reads them again.

@@ -89,6 +89,33 @@ def test_word_models_equal_definition(docs, spark, monkeypatch, hot, passes, sha
     assert np.allclose(sorted((r["bits"], r["units"]) for r in scored), sorted(want), rtol=1e-5)
 
 
+def test_few_rows_move(docs, spark):
+    """What tasks send and write are arrays by bucket, not a row per n-gram."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 200) % 5000) for _ in range(300)]
+    trigrams = {g for i, t in enumerate(texts) for s in [words.WORD.findall(t)] for g in zip([i % 2] * len(s), s, s[1:], s[2:])}
+    table = docs(list(enumerate(texts))).withColumn("half", F.col("doc_id") % 2)
+    counts = words.count(table)
+    written = spark.read.parquet(getattr(counts, "folder", counts)).count()
+    assert len(trigrams) > 20_000 and written < 2_000
+    scored = words.score(table, words.train(counts, table))
+    assert scored.filter("bits > 0 AND units = 201").count() == 300
+
+
+def test_words_of_a_row_of_texts(monkeypatch):
+    """Array operations find the words of the definition, whatever the characters and wherever a step ends."""
+    texts = ["", " ", "A b, a.", "x" * 300 + " yy " + "xy" * 90, "ΑΣ Σ İstanbul _a_ 3.5", "中文abc ไทยx \U00020001z", "a\x00b \x1cc\x85 e\u0301é", "b 🙂🙂"]
+    want = [(w, i % 2) for i, t in enumerate(texts) for w in ["<s>", "<s>", *words.WORD.findall(t.lower()), "</s>"]]
+    for step in (words.STEP, 16):
+        monkeypatch.setattr(words, "STEP", step)
+        words._powers.cache_clear()
+        flat, owner = words.sequence(texts, np.arange(len(texts)) % 2)
+        assert np.bincount(owner).tolist() == [len(words.WORD.findall(t.lower())) + 3 for t in texts]
+        names = {}
+        assert all(names.setdefault(int(h), w) == w for h, w in zip(flat, want, strict=True)) and len(names) == len(set(want))
+    words._powers.cache_clear()
+
+
 def test_one_half_without_a_model(docs, spark):
     """Texts whose model has no text have no score."""
     folder = words.count(docs([(0, "a b c"), (2, "a b")]).withColumn("half", F.col("doc_id") % 2))
