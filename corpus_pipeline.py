@@ -60,10 +60,11 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     find_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
+    encoded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+    return written(encoded, "pipeline-encode")  # in batches bounded by bytes
 
 
 STAGES = [

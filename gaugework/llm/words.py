@@ -62,6 +62,8 @@ BUCKET_ROWS, FULL_ROWS, FEW, KEY_ROWS = 1 << 19, 1 << 20, 1024, 1 << 20
 GATHERED = 1 << 20
 _CHUNK_BITS = 16
 SLICE_BYTES = 1 << 19
+#: Bytes of a row between tasks at most. Rows of a few megabytes are wanted: with them the JVM's collector gives memory back sooner.
+ROW_BYTES = 1 << 26
 #: Characters hashed at a time, or up to the end of a word.
 STEP = 1 << 16
 
@@ -249,9 +251,15 @@ def _sent(held: Iterator[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatc
 
 
 def _dealt(kind: int, of: int, to: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
-    """A row per bucket of ``to``, which is sorted."""
+    """Rows of ``ROW_BYTES`` at most for each bucket of ``to``, which is sorted."""
     for value, start, end in _cut(to):
-        yield value, kind, of, _packed(*(c[start:end] for c in columns))
+        yield from _split(value, kind, of, *(c[start:end] for c in columns))
+
+
+def _split(to: int, kind: int, of: int, *columns: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    many = max(ROW_BYTES // sum(c.itemsize for c in columns), 1)
+    for at in range(0, len(columns[0]), many):
+        yield to, kind, of, _packed(*(c[at:at + many] for c in columns))
 
 
 def _met(rows: DataFrame, run: Callable, *order: str) -> DataFrame:
@@ -420,7 +428,7 @@ def count(docs: DataFrame) -> Counts:
 
 
 def _words_bits(buckets: int) -> int:
-    return max(buckets - 3, 4)
+    return max(buckets - 1, 4)
 
 
 def _hist(n: np.ndarray, model: np.ndarray) -> np.ndarray:
@@ -463,7 +471,9 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Iter
             v, w = known[code_v], known[code_w]
             h2, h3 = pair(v, w), triple(known[code_u], np.repeat(v, us), np.repeat(w, us))
             head = np.array([len(known), len(v), len(code_u)], np.int64).tobytes()
-            yield bucket, GRAMS, bucket, head + _packed(known) + _packed(code_v, code_w, us) + _packed(code_u, n)
+            grams = head + _packed(known) + _packed(code_v, code_w, us) + _packed(code_u, n)
+            for piece, at in enumerate(range(0, len(grams), ROW_BYTES)):
+                yield bucket, GRAMS, piece, grams[at:at + ROW_BYTES]
             model = (w & one).astype(np.int64)
             yield bucket, COUNTS, bucket, np.concatenate((_hist(n, np.repeat(model, us)), _hist(us, model))).tobytes()
             as_v = lambda weights: np.bincount(code_v, weights=weights, minlength=len(known)).astype(np.uint32)
@@ -548,8 +558,8 @@ def _summed_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
             for of, p in parts:
                 its = code[at:at + len(p[0])]
                 at += len(its)
-                yield of, WORDS, bucket, _packed(*(s[its] for s in sums))
-            yield bucket, VOCABULARY, bucket, _packed(words, *sums)
+                yield of, WORDS, int(p[0][0] >> np.uint64(1)), _packed(*(s[its] for s in sums))
+            yield from _split(bucket, VOCABULARY, bucket, words, *sums)
             yield from places.add(words)
             model, n = (words & np.uint64(1)).astype(np.int64), sums[0]
             ends = n > 0
@@ -650,7 +660,7 @@ def _word_weights(batches: Iterator[pa.RecordBatch], seen, figures: _Figures, ke
                 left = np.where(total > 0, figures.left(word, total, *several), 1)
                 x = x + np.log2(left)
                 if most:
-                    yield 0, HOT, 0, _packed(*_frequent(word, x, n + total, most))
+                    yield from _split(0, HOT, 0, *_frequent(word, x, n + total, most))
                 yield from weights.add(word, x)
         yield from weights.rest()
 
@@ -672,13 +682,13 @@ def _bigrams(batches: Iterator[pa.RecordBatch], seen, figures: _Figures, buckets
     def found() -> Iterator[tuple[int, int, int, bytes]]:
         held, size = [], 0
         for bucket, came in _by_bucket(batches):
-            known, code_v, code_w, before, code_u, n = _grams(came[GRAMS][0][1])
+            known, code_v, code_w, before, code_u, n = _grams(b"".join(d for _, d in sorted(came[GRAMS])))
             v, w, u = known[code_v], known[code_w], known[code_u]
             there = np.zeros(len(known), bool)
             there[code_v] = there[code_w] = True
             rank = np.cumsum(there) - 1
             of_v, of_w = rank[code_v], rank[code_w]
-            # buckets of words are ranges of words, so their answers in a row are in the order of the words
+            # each answer is about a range of words and names the first one, so in a row they are in the order of the words
             ends, total, *several = _joined([d for _, d in sorted(came[WORDS])], *_STATS[1:])
             model = (w & np.uint64(1)).astype(np.int64)
             below = figures.lower(w, ends[of_w])
@@ -686,8 +696,8 @@ def _bigrams(batches: Iterator[pa.RecordBatch], seen, figures: _Figures, buckets
             lower = (before - figures.discount(2, model, before)) / total[of_v] + left * below
             key = pair(v, w)
             asked = _known(seen.value, key)
-            yield bucket, BIGRAMS, bucket, _packed(
-                key[asked], np.log2(lower[asked] / left[asked] / below[asked]).astype(np.float32), before[asked])
+            x = np.log2(lower[asked] / left[asked] / below[asked]).astype(np.float32)
+            yield from _split(bucket, BIGRAMS, bucket, key[asked], x, before[asked])
             v, w, lower = np.repeat(v, before), np.repeat(w, before), np.repeat(lower, before).astype(np.float32)
             context = pair(u, v)
             at = np.flatnonzero(_known(seen.value, context))
@@ -725,7 +735,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch], figures: _Figures, key_bits: in
             f2 = np.bincount(code, weights=np.concatenate((f2, total)), minlength=len(two))
             key, x = np.concatenate((two, three)), np.concatenate((x2, x3))
             if most:
-                yield 0, HOT, 0, _packed(*_frequent(key, x, np.concatenate((f2, n)), most))
+                yield from _split(0, HOT, 0, *_frequent(key, x, np.concatenate((f2, n)), most))
             yield from weights.add(key, x)
         yield from weights.rest()
 
