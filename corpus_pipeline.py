@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugework.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
-from gaugework.llm.common import documents, find_package, written
+from gaugework.llm.common import documents, find_package, shrink, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +60,11 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     find_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
+    shrink(spark)
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return written(encoded, "pipeline-encode")  # in batches bounded by bytes
 
 
 STAGES = [

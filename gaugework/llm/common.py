@@ -110,6 +110,12 @@ def give_back() -> None:
         trim(0)
 
 
+def shrink(spark: SparkSession) -> None:
+    """Collect the executors' garbage: heap that earlier stages grew is returned, and free for Python workers."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).collect()
+
+
 def arrow_type(df: DataFrame, column: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -172,3 +172,14 @@ def test_language_sample_takes_all_of_few_distinct_texts(docs):
     rows = [(i, f"the of and {i % 20}", "en") for i in range(6000)] + [(i, f"der die {i}", "de") for i in range(3000)]
     found = Counter(r["lang"] for r in language.sample(docs(rows), 100).collect())
     assert found["en"] == 20 and 60 < found["de"] < 140
+
+
+def test_heap_is_returned(spark):
+    """Collecting garbage in the executors leaves less heap than rows of a megabyte filled."""
+    from gaugework.llm import common
+
+    spark.range(400).selectExpr("length(repeat(cast(id as string), 1000000)) n").agg(F.sum("n")).collect()
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    filled = runtime.totalMemory() - runtime.freeMemory()
+    common.shrink(spark)
+    assert runtime.totalMemory() - runtime.freeMemory() < filled
